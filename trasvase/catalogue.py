@@ -264,12 +264,12 @@ def sales_missing_from_profile(g: Given) -> DataFrame:
 
 @query
 def product_drilldown(g: Given) -> DataFrame:
-    return checks.product_drilldown(g.stock, "P-12", "C1", "7")
+    return checks.product_drilldown(g.stock, "P-6", "C1", "7")
 
 
 @query
 def drilldown_sales(g: Given) -> DataFrame:
-    return checks.drilldown_sales(g.ventas, g.stock, "P-12", "C1", "7")
+    return checks.drilldown_sales(g.ventas, g.stock, "P-6", "C1", "7")
 
 
 # ---------------------------------------------------------------- lookups

@@ -59,72 +59,74 @@ class Allocation:
     moves: DataFrame
 
 
-def _could_accept(limits: Limits) -> Column:
-    """A pair refused against the receiver's opening stock stays refused, as that stock only grows."""
-    after = F.col("STOCK_RECEPTOR") + F.col("APORTE")
-    return (
-        (F.col("APORTE") > 0)
-        & (after <= limits.max_units)
-        & (after / F.col("VELOCIDAD_OPERATIVA_RECEPTOR") <= limits.max_cover)
+def _ceiling(limits: Limits) -> Column:
+    """The most units a receiver may end up with: the largest whole number within both limits.
+
+    Corrected by trying the division itself, so that it says the same as ``units / speed <= max_cover`` in doubles.
+    """
+    speed = F.col("VELOCIDAD_OPERATIVA_RECEPTOR")
+    guess = F.floor(F.lit(float(limits.max_cover)) * speed)
+    by_cover = (
+        F.when((guess + 1) / speed <= limits.max_cover, guess + 1)
+        .when(guess / speed <= limits.max_cover, guess)
+        .otherwise(guess - 1)
     )
+    return F.least(F.lit(limits.max_units), by_cover).cast("bigint")
+
+
+def _could_accept() -> Column:
+    """A pair refused against the receiver's opening stock stays refused, as that stock only grows."""
+    return (F.col("APORTE") > 0) & (F.col("STOCK_RECEPTOR") + F.col("APORTE") <= F.col("TECHO"))
 
 
-def _fold(pairs: DataFrame, limits: Limits) -> DataFrame:
-    """Walk the acceptable pairs of each product and colour in order. Needs ORDEN_RECEPTOR on every pair."""
+def _fold(pairs: DataFrame) -> DataFrame:
+    """Walk the acceptable pairs of each product and colour in order. Needs ORDEN_RECEPTOR and TECHO on every pair."""
     step = F.struct(
         "ORDEN_RECEPTOR", (-F.col("STOCK_EMISOR")).alias("S"), F.col("DISTANCIA_MINUTOS").alias("M"),
-        "EMISOR", "RECEPTOR", "APORTE", "STOCK_RECEPTOR",
-        F.col("VELOCIDAD_OPERATIVA_RECEPTOR").alias("VELOCIDAD"), F.col("COBERTURA_INICIAL").cast("double").alias("COBERTURA"),
+        "EMISOR", "RECEPTOR", "APORTE", "STOCK_RECEPTOR", "TECHO",
+        F.col("VELOCIDAD_OPERATIVA_RECEPTOR").alias("VELOCIDAD"), "COBERTURA_INICIAL",
     )
-    walk = pairs.groupBy(*PRODUCT).agg(F.array_sort(F.collect_list(step)).alias("PASOS"))
+    walk = pairs.groupBy(*PRODUCT).agg(F.sort_array(F.collect_list(step)).alias("PASOS"))
 
-    order_type = pairs.schema["ORDEN_RECEPTOR"].dataType.simpleString()
-    move_type = (
-        f"struct<ORDEN_RECEPTOR:{order_type},EMISOR:string,RECEPTOR:string,STOCK_INICIAL_RECEPTOR:bigint,"
-        "STOCK_ANTES:bigint,APORTE:bigint,STOCK_DESPUES:bigint,COBERTURA_ANTES:double,COBERTURA_DESPUES:double>"
-    )
+    pair_type = walk.schema["PASOS"].dataType.elementType.simpleString()
     start = F.struct(
         F.lit(None).cast("string").alias("receiver"),
         F.lit(0).cast("bigint").alias("stock"),
-        F.lit(0.0).alias("cover"),
         F.array().cast("array<string>").alias("used"),
-        F.array().cast(f"array<{move_type}>").alias("moves"),
+        F.array().cast(f"array<struct<pair:{pair_type},stock:bigint>>").alias("moves"),
     )
 
     def visit(state: Column, pair: Column) -> Column:
-        same = state["receiver"].eqNullSafe(pair["RECEPTOR"])
-        stock = F.when(same, state["stock"]).otherwise(pair["STOCK_RECEPTOR"])
-        cover = F.when(same, state["cover"]).otherwise(pair["COBERTURA"])
-        after = stock + pair["APORTE"]
-        after_cover = after / pair["VELOCIDAD"]
-        fits = (
-            (after <= limits.max_units)
-            & (after_cover <= limits.max_cover)
-            & ~F.array_contains(state["used"], pair["EMISOR"])
-        )
-        move = F.struct(
-            pair["ORDEN_RECEPTOR"].alias("ORDEN_RECEPTOR"),
-            pair["EMISOR"].alias("EMISOR"),
-            pair["RECEPTOR"].alias("RECEPTOR"),
-            pair["STOCK_RECEPTOR"].alias("STOCK_INICIAL_RECEPTOR"),
-            stock.alias("STOCK_ANTES"),
-            pair["APORTE"].alias("APORTE"),
-            after.alias("STOCK_DESPUES"),
-            cover.alias("COBERTURA_ANTES"),
-            after_cover.alias("COBERTURA_DESPUES"),
-        )
-        return F.struct(
+        stock = F.when(state["receiver"].eqNullSafe(pair["RECEPTOR"]), state["stock"]).otherwise(pair["STOCK_RECEPTOR"])
+        fits = (stock + pair["APORTE"] <= pair["TECHO"]) & ~F.array_contains(state["used"], pair["EMISOR"])
+        accepted = F.struct(
             pair["RECEPTOR"].alias("receiver"),
-            F.when(fits, after).otherwise(stock).alias("stock"),
-            F.when(fits, after_cover).otherwise(cover).alias("cover"),
-            F.when(fits, F.array_append(state["used"], pair["EMISOR"])).otherwise(state["used"]).alias("used"),
-            F.when(fits, F.array_append(state["moves"], move)).otherwise(state["moves"]).alias("moves"),
+            (stock + pair["APORTE"]).alias("stock"),
+            F.array_append(state["used"], pair["EMISOR"]).alias("used"),
+            F.array_append(state["moves"], F.struct(pair.alias("pair"), stock.alias("stock"))).alias("moves"),
         )
+        passed = F.struct(
+            pair["RECEPTOR"].alias("receiver"), stock.alias("stock"), state["used"].alias("used"),
+            state["moves"].alias("moves"),
+        )
+        return F.when(fits, accepted).otherwise(passed)
 
+    before, after, speed = F.col("STOCK_ANTES"), F.col("STOCK_ANTES") + F.col("APORTE"), F.col("VELOCIDAD")
     return (
         walk.select(*PRODUCT, F.aggregate("PASOS", start, visit, lambda state: state["moves"]).alias("M"))
-        .select(*PRODUCT, F.explode("M").alias("M"))
-        .select(*PRODUCT, "M.*")
+        # explode would test the array for being empty first, which runs the whole walk once more
+        .select(*PRODUCT, F.explode_outer("M").alias("M"))
+        .select(*PRODUCT, "M.pair.*", F.col("M.stock").alias("STOCK_ANTES"))
+        .filter(F.col("EMISOR").isNotNull())
+        .select(
+            *PRODUCT, "ORDEN_RECEPTOR", "EMISOR", "RECEPTOR", F.col("STOCK_RECEPTOR").alias("STOCK_INICIAL_RECEPTOR"),
+            "STOCK_ANTES", "APORTE", after.alias("STOCK_DESPUES"),
+            # the first move starts from the receiver's weeks of stock, later ones from the cover reached so far
+            F.when(before == F.col("STOCK_RECEPTOR"), F.col("COBERTURA_INICIAL").cast("double"))
+            .otherwise(before / speed)
+            .alias("COBERTURA_ANTES"),
+            (after / speed).alias("COBERTURA_DESPUES"),
+        )
     )
 
 
@@ -133,7 +135,7 @@ def _small_groups(network: Network, limits: Limits) -> DataFrame:
     part = network.part(False)
     pairs = meet(senders(part), receivers(part), network.distance)
     ordered = pairs.withColumn("ORDEN_RECEPTOR", receiver_order(best_pair().over(by_receiver())))
-    return _fold(ordered.filter(_could_accept(limits)), limits)
+    return _fold(ordered.withColumn("TECHO", _ceiling(limits)).filter(_could_accept()))
 
 
 def _large_groups(network: Network, limits: Limits, per_round: int) -> DataFrame:
@@ -146,9 +148,6 @@ def _large_groups(network: Network, limits: Limits, per_round: int) -> DataFrame
     part = network.part(True)
     pairs = meet(senders(part), receivers(part), network.distance, network.max_pairs)
     best = pairs.groupBy(*PRODUCT, "RECEPTOR").agg(best_pair().alias("MEJOR"))
-    room = F.least(
-        F.lit(limits.max_units), F.ceil(F.lit(limits.max_cover) * F.col("VELOCIDAD_OPERATIVA_RECEPTOR"))
-    ) - F.col("STOCK_RECEPTOR")
     group = Window.partitionBy(*PRODUCT)
     before = Window.partitionBy(*PRODUCT, "RONDA").orderBy("ORDEN_RECEPTOR").rowsBetween(Window.unboundedPreceding, -1)
     queue = stored(
@@ -156,7 +155,8 @@ def _large_groups(network: Network, limits: Limits, per_round: int) -> DataFrame
         .join(best, [*PRODUCT, "RECEPTOR"])
         .withColumn("ORDEN_RECEPTOR", receiver_order(F.col("MEJOR")))
         .drop("MEJOR")
-        .withColumn("HUECO", room)
+        .withColumn("TECHO", _ceiling(limits))
+        .withColumn("HUECO", F.col("TECHO") - F.col("STOCK_RECEPTOR"))
         .filter(F.col("HUECO") > 0)
         .withColumn("RONDA", F.floor((F.row_number().over(group.orderBy("ORDEN_RECEPTOR")) - 1) / per_round))
         .withColumn("PREVIO", F.coalesce(F.sum("HUECO").over(before), F.lit(0))),
@@ -170,11 +170,11 @@ def _large_groups(network: Network, limits: Limits, per_round: int) -> DataFrame
         left = giving if done is None else giving.join(done.select(*PRODUCT, "EMISOR"), [*PRODUCT, "EMISOR"], "left_anti")
         served = queue.filter(F.col("RONDA") == number).drop("RONDA")
         offers = (
-            meet(left, served, network.distance, network.max_pairs, _could_accept(limits))
+            meet(left, served, network.distance, network.max_pairs, _could_accept())
             .withColumn("N", F.row_number().over(amount))
             .filter(F.col("N") <= F.floor((F.col("PREVIO") + F.col("HUECO")) / F.col("APORTE")))
         )
-        settled = stored(_fold(offers, limits), "round")
+        settled = stored(_fold(offers), "round")
         done = settled if done is None else done.unionByName(settled)
     return done
 
@@ -381,7 +381,7 @@ def sender_sizes(stock: DataFrame) -> DataFrame:
     """Size labels a store has rows for, empty ones included, in text order, per product and colour."""
     return (
         stock.groupBy(F.col("CODEMAGASIN").alias("EMISOR"), *PRODUCT)
-        .agg(F.array_join(F.array_sort(F.collect_set("TAILLE")), ", ").alias("TALLAS"))
+        .agg(F.array_join(F.sort_array(F.collect_set("TAILLE")), ", ").alias("TALLAS"))
     )
 
 
