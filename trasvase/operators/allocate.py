@@ -132,7 +132,7 @@ def _fold(pairs: DataFrame) -> DataFrame:
 
 def _small_groups(network: Network, limits: Limits) -> DataFrame:
     """Groups of at most ``max_pairs`` pairs: one fold each, in one job for all of them."""
-    part = network.part(False)
+    part = network.small_part()
     pairs = meet(senders(part), receivers(part), network.distance)
     ordered = pairs.withColumn("ORDEN_RECEPTOR", receiver_order(best_pair().over(by_receiver())))
     return _fold(ordered.withColumn("TECHO", _ceiling(limits)).filter(_could_accept()))
@@ -145,7 +145,7 @@ def _large_groups(network: Network, limits: Limits, per_round: int) -> DataFrame
     receiver in its round can take at most PREVIO units, and it can take HUECO, so among senders holding the same
     amount A only its first (PREVIO + HUECO) / A can matter; the rest are left out of the fold without effect.
     """
-    part = network.part(True)
+    part = network.large_part()
     pairs = meet(senders(part), receivers(part), network.distance, network.max_pairs)
     best = pairs.groupBy(*PRODUCT, "RECEPTOR").agg(best_pair().alias("MEJOR"))
     group = Window.partitionBy(*PRODUCT)
@@ -182,7 +182,7 @@ def _large_groups(network: Network, limits: Limits, per_round: int) -> DataFrame
 def transfer_allocation(network: Network, limits: Limits, per_round: int = RECEIVERS_PER_ROUND) -> DataFrame:
     """Moves: sender, receiver, amount, and the receiver's stock and cover before and after."""
     moves = _small_groups(network, limits)
-    if network.has_large:
+    if network.large is not None:
         moves = moves.unionByName(_large_groups(network, limits, per_round))
     return moves
 

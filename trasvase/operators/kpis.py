@@ -29,51 +29,45 @@ def _store_category(stores: DataFrame) -> DataFrame:
     return stores.select(F.col("CODIGO_TIENDA").alias("CODEMAGASIN"), "CATEGORIA")
 
 
-def _stock_rows(stock: DataFrame, stores: DataFrame, products: DataFrame) -> DataFrame:
+def _stock_rows(stock: DataFrame) -> DataFrame:
     parts = [fx.zero(F.col(part)).alias(name) for part, name in STOCK_PARTS.items()]
-    return (
-        stock.select("CODEMAGASIN", F.col("CODEBARRES").cast("string").alias("CODEBARRES"), *parts)
-        .join(product_dimension(products), "CODEBARRES")
-        .join(_store_category(stores), "CODEMAGASIN")
+    return stock.select("CODEMAGASIN", F.col("CODEBARRES").cast("string").alias("CODEBARRES"), *parts)
+
+
+def _sales_rows(sales: DataFrame) -> DataFrame:
+    return net_sales_ean(sales).select(
+        F.col("CODIGO_TIENDA").alias("CODEMAGASIN"),
+        F.col("EAN").alias("CODEBARRES"),
+        fx.zero(F.col("TOTAL_VENTAS_BRUTAS")).alias("VENTA_4SEMANAS"),
     )
 
 
-def _sales_rows(sales: DataFrame, stores: DataFrame, products: DataFrame) -> DataFrame:
+def _by_product(rows: DataFrame, measures: list[str], stores: DataFrame, products: DataFrame) -> DataFrame:
+    """Sums per store, product and colour. Stores come in after the sums, when there are fewest rows."""
     return (
-        net_sales_ean(sales)
-        .select(
-            F.col("CODIGO_TIENDA").alias("CODEMAGASIN"),
-            F.col("EAN").alias("CODEBARRES"),
-            fx.zero(F.col("TOTAL_VENTAS_BRUTAS")).alias("VENTA_4SEMANAS"),
-        )
-        .join(product_dimension(products), "CODEBARRES")
+        rows.join(product_dimension(products), "CODEBARRES")
+        .groupBy("CODEMAGASIN", "CODEPRODUIT", "CODECOLORIS", "NOMPRODUIT", "LIBCOLORIS")
+        .agg(*([F.sum(name).alias(name) for name in measures] or [F.lit(1)]))
         .join(_store_category(stores), "CODEMAGASIN")
+        .select(*BASE_KEYS, *measures)
     )
 
 
 def stock_by_product(stock: DataFrame, stores: DataFrame, products: DataFrame) -> DataFrame:
     """Four stock sums per store, product and colour."""
-    return (
-        _stock_rows(stock, stores, products)
-        .groupBy(*BASE_KEYS)
-        .agg(*[F.sum(name).alias(name) for name in STOCK_PARTS.values()])
-    )
+    return _by_product(_stock_rows(stock), list(STOCK_PARTS.values()), stores, products)
 
 
 def sales_by_product(sales: DataFrame, stores: DataFrame, products: DataFrame) -> DataFrame:
     """Floored net units per store, product and colour."""
-    return (
-        _sales_rows(sales, stores, products)
-        .groupBy(*BASE_KEYS)
-        .agg(F.sum("VENTA_4SEMANAS").alias("VENTA_4SEMANAS"))
-    )
+    return _by_product(_sales_rows(sales), ["VENTA_4SEMANAS"], stores, products)
 
 
 def product_store_base(stock: DataFrame, sales: DataFrame, stores: DataFrame, products: DataFrame) -> DataFrame:
     """Store, product and colour combinations with a stock row or a sale."""
-    held = _stock_rows(stock, stores, products).select(*BASE_KEYS)
-    sold = _sales_rows(sales, stores, products).select(*BASE_KEYS)
-    return held.unionByName(sold).distinct()
+    keys = ["CODEMAGASIN", "CODEBARRES"]
+    held, sold = _stock_rows(stock).select(*keys), _sales_rows(sales).select(*keys)
+    return _by_product(held.unionByName(sold), [], stores, products)
 
 
 def _with_kpis(totals: DataFrame) -> DataFrame:
@@ -104,17 +98,14 @@ def store_product_kpis(stock: DataFrame, sales: DataFrame, stores: DataFrame, pr
     Stock rows and floored sales rows are stacked and summed in one aggregate, so the union of keys and the two
     joins back on them cost no shuffle. A product or colour without code never pairs up with anything: left out.
     """
-    held = _stock_rows(stock, stores, products).withColumn("VENTA_4SEMANAS", F.lit(0).cast("long"))
-    sold = _sales_rows(sales, stores, products).withColumns(
-        {name: F.lit(0).cast("long") for name in STOCK_PARTS.values()}
-    )
+    none = F.lit(0).cast("long")
+    held = _stock_rows(stock).withColumn("VENTA_4SEMANAS", none)
+    sold = _sales_rows(sales).withColumns({name: none for name in STOCK_PARTS.values()})
     measures = [*STOCK_PARTS.values(), "VENTA_4SEMANAS"]
-    totals = (
-        held.unionByName(sold)
-        .filter(F.col("CODEPRODUIT").isNotNull() & F.col("CODECOLORIS").isNotNull())
-        .groupBy(*BASE_KEYS)
-        .agg(*[F.sum(name).alias(name) for name in measures])
-        .filter((F.col("STOCK_TOTAL") > 0) | (F.col("VENTA_4SEMANAS") > 0))
+    totals = _by_product(held.unionByName(sold), measures, stores, products).filter(
+        F.col("CODEPRODUIT").isNotNull()
+        & F.col("CODECOLORIS").isNotNull()
+        & ((F.col("STOCK_TOTAL") > 0) | (F.col("VENTA_4SEMANAS") > 0))
     )
     return _with_kpis(totals).select(*STOCK_VENTAS_CENTRO.names)
 

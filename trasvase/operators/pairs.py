@@ -24,19 +24,22 @@ Distance = DataFrame | Callable[[Column, Column], Column]
 
 @dataclass(frozen=True)
 class Network:
-    """Senders and receivers of each product and colour, stored, with the travel times between them."""
+    """Senders and receivers of each product and colour, stored, with the travel times between them.
+
+    ``large`` lists the products and colours with more than ``max_pairs`` pairs; None when there are none.
+    """
 
     roles: DataFrame
     distance: Distance
-    largest: int
     max_pairs: int
+    large: DataFrame | None
 
-    def part(self, large: bool) -> DataFrame:
-        return self.roles.filter(F.col("PARES") > self.max_pairs if large else F.col("PARES") <= self.max_pairs)
+    def small_part(self) -> DataFrame:
+        return self.roles if self.large is None else self.roles.join(self.large, PRODUCT, "left_anti")
 
-    @property
-    def has_large(self) -> bool:
-        return self.largest > self.max_pairs
+    def large_part(self) -> DataFrame:
+        """With EMISORES and PARES, the senders and pairs of each group."""
+        return self.roles.join(self.large, PRODUCT)
 
 
 def available_by_size(stock: DataFrame) -> DataFrame:
@@ -50,7 +53,7 @@ def available_by_size(stock: DataFrame) -> DataFrame:
 def network_roles(
     kpis: DataFrame, stock: DataFrame, stores: DataFrame, to_process: DataFrame | None = None
 ) -> DataFrame:
-    """Senders and receivers with store name, what a sender holds over all sizes, and the pairs of its group."""
+    """Senders and receivers with store name and what a sender holds over all sizes."""
     names = stores.select(F.col("CODIGO_TIENDA").alias("CODEMAGASIN"), "NOMBRE_TIENDA")
     held = stock.groupBy("CODEMAGASIN", *PRODUCT).agg(F.sum("TOTAL").alias("APORTE"))
     roles = kpis.filter(F.col("PERFIL").isin(SENDER, RECEIVER)).select(
@@ -59,18 +62,33 @@ def network_roles(
     )
     if to_process is not None:
         roles = roles.join(to_process.select(*PRODUCT), PRODUCT, "left_semi")
-    group = Window.partitionBy(*PRODUCT)
-    senders = F.count_if(F.col("PERFIL") == SENDER).over(group)
-    receivers = F.count_if(F.col("PERFIL") == RECEIVER).over(group)
     return (
         roles.join(held, ["CODEMAGASIN", *PRODUCT], "left")
         .join(names, "CODEMAGASIN")
         .withColumn("APORTE", F.coalesce("APORTE", F.lit(0).cast("long")))
-        .withColumns({"EMISORES": senders, "RECEPTORES": receivers})
-        .withColumn("PARES", F.col("EMISORES") * F.col("RECEPTORES"))
     )
 
 
+def group_sizes(roles: DataFrame) -> DataFrame:
+    """Senders, and sender-receiver pairs, of each product and colour."""
+    return (
+        roles.groupBy(*PRODUCT)
+        .agg(
+            F.count_if(F.col("PERFIL") == SENDER).alias("EMISORES"),
+            F.count_if(F.col("PERFIL") == RECEIVER).alias("RECEPTORES"),
+        )
+        .select(*PRODUCT, "EMISORES", (F.col("EMISORES") * F.col("RECEPTORES")).alias("PARES"))
+    )
+
+
+def network_of(roles: DataFrame, distance: Distance, max_pairs: int = MAX_PAIRS) -> Network:
+    """``roles`` should be a stored table: it is read several times."""
+    sizes = group_sizes(roles)
+    largest = sizes.agg(F.max("PARES")).first()[0] or 0
+    large = stored(sizes.filter(F.col("PARES") > max_pairs), "large") if largest > max_pairs else None
+    return Network(roles, distance, max_pairs, large)
+
+
 def build_network(
     kpis: DataFrame,
     stock: DataFrame,
@@ -79,21 +97,23 @@ def build_network(
     to_process: DataFrame | None = None,
     max_pairs: int = MAX_PAIRS,
 ) -> Network:
-    roles = stored(network_roles(kpis, stock, stores, to_process), "roles")
-    largest = roles.agg(F.max("PARES")).first()[0] or 0
-    return Network(roles, distance, largest, max_pairs)
+    return network_of(stored(network_roles(kpis, stock, stores, to_process), "roles"), distance, max_pairs)
+
+
+def _size_columns(roles: DataFrame) -> list[str]:
+    return [name for name in ("PARES", "EMISORES") if name in roles.columns]
 
 
 def senders(roles: DataFrame) -> DataFrame:
     return roles.filter(F.col("PERFIL") == SENDER).select(
-        *PRODUCT, "PARES", "EMISORES",
+        *PRODUCT, *_size_columns(roles),
         F.col("CODEMAGASIN").alias("EMISOR"), F.col("STOCK_TOTAL").alias("STOCK_EMISOR"), "APORTE",
     )
 
 
 def receivers(roles: DataFrame) -> DataFrame:
     return roles.filter(F.col("PERFIL") == RECEIVER).select(
-        *PRODUCT, "PARES", "EMISORES",
+        *PRODUCT,
         F.col("CODEMAGASIN").alias("RECEPTOR"), F.col("STOCK_TOTAL").alias("STOCK_RECEPTOR"),
         F.col("VELOCIDAD_SEMANAL_REAL").alias("VELOCIDAD_REAL_RECEPTOR"),
         F.col("VELOCIDAD_OPERATIVA").alias("VELOCIDAD_OPERATIVA_RECEPTOR"),
@@ -121,11 +141,10 @@ def meet(
 ) -> DataFrame:
     """Equi join of senders and receivers of the same product and colour, then the travel time.
 
-    With ``split_to``, the senders of a group are spread over as many join keys as bring each key to about that many
+    With ``split_to`` (``giving`` then has PARES and EMISORES), the senders of a group are spread over as many join keys as bring each key to about that many
     pairs, and its receivers are repeated for each, so that no task gets a whole large group. ``keep`` is a condition
     on a pair, which Spark tests inside the join.
     """
-    needing = needing.drop("PARES", "EMISORES")
     keys = list(PRODUCT)
     if split_to:
         parts = F.least(F.ceil(F.col("PARES") / split_to), F.col("EMISORES")).cast("int")
@@ -148,12 +167,14 @@ def meet(
 def all_pairs(network: Network, giving: Callable[[DataFrame], DataFrame] = lambda s: s) -> DataFrame:
     """Every pair of the network; ``giving`` may add columns to the senders first."""
 
-    def of(large: bool) -> DataFrame:
-        part = network.part(large)
-        split_to = network.max_pairs if large else None
-        return meet(giving(senders(part)), receivers(part), network.distance, split_to)
-
-    return of(False).unionByName(of(True)) if network.has_large else of(False)
+    part = network.small_part()
+    pairs = meet(giving(senders(part)), receivers(part), network.distance)
+    if network.large is None:
+        return pairs
+    part = network.large_part()
+    return pairs.unionByName(
+        meet(giving(senders(part)), receivers(part), network.distance, network.max_pairs)
+    )
 
 
 def pair_order() -> list[Column]:
@@ -186,16 +207,16 @@ def pair_rank(network: Network) -> DataFrame:
     prefix_order = [F.desc(prefix[0]), F.asc(prefix[1]), F.desc(prefix[2])]
     rest = [F.asc("DISTANCIA_MINUTOS"), F.asc("RECEPTOR"), F.asc("EMISOR")]
 
-    small = network.part(False)
+    small = network.small_part()
     whole = Window.partitionBy(*PRODUCT).orderBy(*prefix_order, *rest)
     ranked = meet(senders(small), receivers(small), network.distance).withColumn(
         "PAIR_RANK", F.row_number().over(whole)
     )
-    if not network.has_large:
+    if network.large is None:
         return ranked
     # A large group is not sorted by one task: count pairs per leading sort values, add up the counts before each,
     # and number the pairs inside each.
-    large = network.part(True)
+    large = network.large_part()
     pairs = meet(senders(large), receivers(large), network.distance, network.max_pairs)
     before = Window.partitionBy(*PRODUCT).orderBy(*prefix_order).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
