@@ -10,7 +10,7 @@ from trasvase.operators.pairs import PRODUCT
 from trasvase.session import stored
 
 ROLE_SCHEMA = (
-    "CODEPRODUIT int, CODECOLORIS int, NOMPRODUIT string, LIBCOLORIS string, CODEMAGASIN string, NOMBRE_TIENDA string, "
+    "CODEPRODUIT int, CODECOLORIS int, NOMPRODUIT string, LIBCOLORIS string, CODEMAGASIN string, "
     "PERFIL string, STOCK_TOTAL long, VELOCIDAD_SEMANAL_REAL double, VELOCIDAD_OPERATIVA int, SEMANAS_ROTACION int, APORTE long"
 )
 MOVE = [
@@ -50,7 +50,7 @@ def make_minutes(seed, stores):
 def network(spark, roles, minutes, max_pairs=pairs.MAX_PAIRS):
     rows = [
         (
-            r["product"], r["colour"], f"P{r['product']}", f"C{r['colour']}", r["store"], f"Store {r['store']}", r["role"],
+            r["product"], r["colour"], f"P{r['product']}", f"C{r['colour']}", r["store"], r["role"],
             r["stock"], float(r["speed"]), r["working"], r["weeks"], r["holds"],
         )
         for r in roles
@@ -164,6 +164,10 @@ def _stock(spark, lines):
     return spark.createDataFrame(lines, schema)
 
 
+def _stores(spark, roles):
+    return spark.createDataFrame([(r["store"], f"Store {r['store']}") for r in roles], "CODIGO_TIENDA string, NOMBRE_TIENDA string")
+
+
 def _role(store, role, stock, holds=0, product=1, sold=4):
     return {
         "product": product, "colour": 0, "store": store, "role": role, "stock": stock, "speed": sold / 4,
@@ -215,7 +219,7 @@ def test_move_table_and_log_of_a_refused_receiver(spark):
     done = al.allocate(network(spark, roles, minutes), al.Limits(max_cover=9, max_units=20))
     stock = _stock(spark, [("2", 1, 0, "a", "S", 5), ("2", 1, 0, "b", "M", 3), ("2", 1, 0, "c", None, 0), ("2", 1, 0, "d", "M", 0)])
     photos = spark.createDataFrame([("a", 1, 0, "z"), ("b", 1, 0, "y")], "EAN string, CODEPRODUIT int, CODECOLORIS int, URL_FOTO string")
-    (move,) = al.move_table(done, stock, photos).collect()
+    (move,) = al.move_table(done, stock, photos, _stores(spark, roles)).collect()
     assert (move.EMISOR, move.TALLAS, move.URL_FOTO, move.NOMBRE_RECEPTOR) == ("2", "M, S", "y", "Store 8")
     assert (move.COBERTURA_ANTES, move.COBERTURA_DESPUES) == (1, 9)
     assert rows(al.rejected_pairs(al.pair_outcomes(done)), "EMISOR", "MOTIVO") == [("1", al.OVER_COVER)]
@@ -233,5 +237,5 @@ def test_published_cover_rounds_half_to_even(spark):
     roles = [_role("1", "EMISOR", 1, 1), _role("8", "RECEPTOR", 4, sold=8)]
     done = al.allocate(network(spark, roles, {("1", "8"): 5}), al.Limits())
     photos = spark.createDataFrame([], "EAN string, CODEPRODUIT int, CODECOLORIS int, URL_FOTO string")
-    (move,) = al.move_table(done, _stock(spark, []), photos).collect()
+    (move,) = al.move_table(done, _stock(spark, []), photos, _stores(spark, roles)).collect()
     assert (move.STOCK_DESPUES, move.COBERTURA_DESPUES, move.URL_FOTO, move.TALLAS) == (5, 2, "#", "")

@@ -28,7 +28,7 @@ def test_hour_and_minute(spark, value, hour, minute):
 @pytest.mark.parametrize(
     "label,code",
     [
-        ("ECI 00801", "801"), (" TDA 1782 ", "1782"), ("SIN CODIGO", None), ("T12", None), ("A1234567", "34567"),
+        ("TDA 00801", "801"), (" TDA 1782 ", "1782"), ("SIN CODIGO", None), ("T12", None), ("A1234567", "34567"),
         ("801 B", None), (None, None), ("000", "0"),
     ],
 )
@@ -58,22 +58,22 @@ def folder(tmp_path):
     first.mkdir()
     second.mkdir()
     (first / "202501021.csv").write_text(
-        f"{HEAD}\n02/01/2025;905;ECI 00801;7;T1;111;2;;1999\n04/01/2025;;ECI 00801;7;T2;111;;-1;-1050\n"
+        f"{HEAD}\n02/01/2025;905;TDA 00801;7;T1;111;2;;1999\n04/01/2025;;TDA 00801;7;T2;111;;-1;-1050\n"
     )
     (first / "202501032.csv").write_text(
-        "IMPORTE;TIENDA;HORA;FECHA;EAN;PEDIDO\n500;SIN CODIGO;1275;03/01/2025;222;3\n2500;ECI 999;1830;99/01/2025;222;x\n"
+        "IMPORTE;TIENDA;HORA;FECHA;EAN;PEDIDO\n500;SIN CODIGO;1275;03/01/2025;222;3\n2500;TDA 999;1830;99/01/2025;222;x\n"
     )
-    (first / "202501010.csv").write_text(f"{HEAD}\n01/01/2025;905;ECI 00801;7;T0;111;2;;1999\n")
+    (first / "202501010.csv").write_text(f"{HEAD}\n01/01/2025;905;TDA 00801;7;T0;111;2;;1999\n")
     (first / "notas.csv").write_text("x\n1\n")
     (second / "202501042.csv").write_text("")
-    (second / "202501051.csv").write_text("FECHA;HORA;TIENDA\n05/01/2025;900;ECI 801\n")
-    (second / "202501063.csv").write_text(f"{HEAD}\n06/01/2025;1000;ECI 803;7;T6;333;1;;100\n")
+    (second / "202501051.csv").write_text("FECHA;HORA;TIENDA\n05/01/2025;900;TDA 801\n")
+    (second / "202501063.csv").write_text(f"{HEAD}\n06/01/2025;1000;TDA 803;7;T6;333;1;;100\n")
     return [str(first), str(second), str(tmp_path / "missing")]
 
 
 @pytest.fixture
 def stores(spark):
-    return spark.createDataFrame([("801", "PRECIADOS"), ("803", "NORTE")], "CODIGO_TIENDA string, NOMBRE_TIENDA string")
+    return spark.createDataFrame([("801", "CENTRAL"), ("803", "NORTE")], "CODIGO_TIENDA string, NOMBRE_TIENDA string")
 
 
 def test_only_files_with_the_required_columns_are_read(spark, folder):
@@ -92,7 +92,7 @@ def test_sales_files_to_the_sales_table(spark, folder, stores):
     lines = {(r.EAN, r.FECHA, r.IMPORTE): r for r in clean.collect()}
     assert len(lines) == 5
     whole = lines["111", "2025-01-02", 19.99]
-    assert (whole.PAIS, whole.CODIGO_TIENDA, whole.NOMBRE_TIENDA) == ("ES", "801", "PRECIADOS")
+    assert (whole.PAIS, whole.CODIGO_TIENDA, whole.NOMBRE_TIENDA) == ("ES", "801", "CENTRAL")
     assert (whole.FECHA_HORA, whole.HORA, whole.MINUTO) == ("2025-01-02 09:05:00", 9, 5)
     assert (whole.DIA_SEMANA, whole.DIA_SEMANA_NOMBRE, whole.FIN_DE_SEMANA) == (4, "Jueves", "NO")
     assert (whole.VENTA_DIRECTA, whole.DEVOLUCION, whole.PEDIDO, whole.NUM_VENDEDOR) == (2, None, None, "7")

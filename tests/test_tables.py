@@ -158,3 +158,18 @@ def test_delimited_file_as_a_relation(spark, tmp_path):
     src.delimited_view(spark, "moves_csv", str(path))
     found = spark.sql("SELECT color FROM moves_csv GROUP BY color HAVING count(DISTINCT codigo_color) > 1").collect()
     assert [r.color for r in found] == ["RED"]
+
+
+def test_profile_view_shows_listed_stores(spark):
+    stock = spark.createDataFrame(
+        [("801", "1", "N", "C", 3, 0, 0, 3), ("7", "1", "N", "C", 3, 0, 0, 3), ("803", "2", "O", "C", 3, 0, 0, 3)],
+        "CODEMAGASIN string, CODEBARRES string, NOMPRODUIT string, LIBCOLORIS string, DISPONIBLE long, TRANSITO long, "
+        "PREPARACION long, TOTAL long",
+    )
+    sold = spark.createDataFrame([("803", "1", 8, 0)], "CODIGO_TIENDA string, EAN string, VENTA_DIRECTA int, DEVOLUCION int")
+    stores = spark.createDataFrame([(c, "G") for c in ("7", "801", "803")], "CODIGO_TIENDA string, CATEGORIA string")
+    listed = spark.createDataFrame([("N", "C"), ("N", "C")], "NOMPRODUIT string, LIBCOLORIS string")
+    shown = lambda *a: sorted((r.CODEMAGASIN, r.PERFIL) for r in kpis.kpi_profile_view(stock, sold, stores, listed, *a).collect())
+    assert shown() == [("801", "EMISOR"), ("803", "RECEPTOR")]
+    assert shown(None) == [("7", "EMISOR"), ("801", "EMISOR"), ("803", "RECEPTOR")]
+    assert shown(src.code_list(spark, ["7"], "CODIGO_TIENDA")) == [("7", "EMISOR")]

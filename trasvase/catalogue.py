@@ -16,7 +16,7 @@ from trasvase.operators import checks, digests, kpis, lookups, pairs, sales
 from trasvase.operators import stock as st
 from trasvase.plans import weekly
 from trasvase.schemas import VENTAS_FICHERO, conform
-from trasvase.session import scratch_path
+from trasvase.session import scratch_path, stored
 from trasvase.sinks import tables as sink
 from trasvase.sources.sales_files import sales_file_scope
 
@@ -213,6 +213,11 @@ def product_map(g: Given) -> DataFrame:
     return kpis.product_map(g.stock)
 
 
+@query
+def name_codes(g: Given) -> DataFrame:
+    return kpis.name_codes(g.stock)
+
+
 @query
 def stock_by_name(g: Given) -> DataFrame:
     return kpis.stock_by_name(g.stock)
@@ -298,16 +303,22 @@ def photo_lookup(g: Given) -> DataFrame:
 # ---------------------------------------------------------------- pairs and allocation
 
 
-def _network(g: Given) -> pairs.Network:
-    return pairs.build_network(_kpis(g), g.stock, g.centros, travel_minutes)
+def _network(g: Given, stock: DataFrame | None = None) -> pairs.Network:
+    held = g.stock if stock is None else stock
+    found = kpis.store_product_kpis(held, g.ventas, g.centros, g.productos)
+    return pairs.build_network(found, held, travel_minutes)
 
 
 def _allocation(g: Given, limits: al.Limits = al.Limits()) -> al.Allocation:
-    return al.allocate(_network(g), limits)
+    return al.allocate(_network(g, g.stored_stock), limits)
 
 
 def _moves(g: Given, limits: al.Limits = al.Limits()) -> DataFrame:
-    return al.move_table(_allocation(g, limits), g.stock, g.fotos_productos)
+    return al.move_table(_allocation(g, limits), g.stored_stock, g.fotos_productos, g.centros)
+
+
+def _outcomes(done: al.Allocation) -> DataFrame:
+    return stored(al.pair_outcomes(done), "outcomes")
 
 
 @query
@@ -330,7 +341,7 @@ def receiver_rank(g: Given) -> DataFrame:
 
 @query
 def candidate_pairs(g: Given) -> DataFrame:
-    return pairs.candidate_pairs(_network(g))
+    return pairs.candidate_pairs(_network(g), g.centros)
 
 
 @query
@@ -350,47 +361,47 @@ def move_table(g: Given) -> DataFrame:
 
 @query
 def rejected_pairs(g: Given) -> DataFrame:
-    return al.rejected_pairs(al.pair_outcomes(_allocation(g)))
+    return al.rejected_pairs(al.pair_outcomes(al.allocate(_network(g))))
 
 
 @query
 def rejected_pairs_tight(g: Given) -> DataFrame:
-    return al.rejected_pairs(al.pair_outcomes(_allocation(g, TIGHT)))
+    return al.rejected_pairs(al.pair_outcomes(al.allocate(_network(g), TIGHT)))
 
 
 @query
 def receiver_sizes(g: Given) -> DataFrame:
-    return al.receiver_sizes(_network(g), g.stock)
+    return al.receiver_sizes(_network(g, g.stored_stock), g.stored_stock)
 
 
 @query
 def size_coverage(g: Given) -> DataFrame:
-    return al.size_coverage(_network(g), g.stock)
+    return al.size_coverage(_network(g, g.stored_stock), g.stored_stock)
 
 
 @query
 def size_coverage_flag(g: Given) -> DataFrame:
     done = _allocation(g)
-    return al.size_coverage_flag(done, g.stock, al.pair_outcomes(done))
+    return al.size_coverage_flag(done, g.stored_stock, al.pair_outcomes(done))
 
 
 @query
 def allocation_log(g: Given) -> DataFrame:
     done = _allocation(g)
-    outcomes = al.pair_outcomes(done)
-    return al.allocation_log(done, outcomes, al.size_coverage_flag(done, g.stock, outcomes), g.productos)
+    outcomes = _outcomes(done)
+    return al.allocation_log(done, outcomes, al.size_coverage_flag(done, g.stored_stock, outcomes), g.productos)
 
 
 @query
 def stuck_products(g: Given) -> DataFrame:
     done = _allocation(g)
-    outcomes = al.pair_outcomes(done)
-    return al.stuck_products(done, outcomes, al.size_coverage_flag(done, g.stock, outcomes))
+    outcomes = _outcomes(done)
+    return al.stuck_products(done, outcomes, al.size_coverage_flag(done, g.stored_stock, outcomes))
 
 
 @query
 def receiver_final_sizes(g: Given) -> DataFrame:
-    return al.receiver_final_sizes(_allocation(g), g.stock)
+    return al.receiver_final_sizes(_allocation(g), g.stored_stock)
 
 
 @query
@@ -443,10 +454,10 @@ def digest_html(g: Given) -> DataFrame:
 @query
 def moves_history(g: Given) -> DataFrame:
     root = scratch_path(g.spark, "history")
-    network = _network(g)
+    network = _network(g, g.stored_stock)
     # the second date is run twice: the rerun replaces its own date only
     for day, limits in ((RUN_DATES[0], al.Limits()), (RUN_DATES[1], al.Limits()), (RUN_DATES[1], TIGHT)):
-        moves = al.move_table(al.allocate(network, limits), g.stock, g.fotos_productos)
+        moves = al.move_table(al.allocate(network, limits), g.stored_stock, g.fotos_productos, g.centros)
         sink.archive_moves(sink.published_moves(moves), root, day)
     return sink.move_store(g.spark, root)
 

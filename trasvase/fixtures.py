@@ -9,6 +9,20 @@ from pyspark.sql import functions as F
 
 from trasvase.operators.assortment import PRODUCT_COLUMNS, RANKING_COLUMNS
 from trasvase.operators.stock import stock_pivot, stock_position
+from trasvase.session import stored
+
+# Schemas of the given tables in use, so that reading one does not first open its files to infer them.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+}
 
 SALES_AFTER, STOCK_AFTER, UNTIL = "2001-07-09", "1999-01-05", "2001-10-01"
 
@@ -26,7 +40,7 @@ class Given:
         self.spark, self.folder = spark, folder
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def _lines(self, after: str) -> DataFrame:
         day = F.col("l_shipdate")
@@ -120,6 +134,11 @@ class Given:
             .join(named, "CODEINTERNEARTICLE")
         )
 
+    @cached_property
+    def stored_stock(self) -> DataFrame:
+        """The stock table written out, for reports that read it several times."""
+        return stored(self.stock, "stock")
+
     @cached_property
     def ranking(self) -> DataFrame:
         held = self.stock.groupBy("CODEBARRES").agg(F.sum("TOTAL").alias("D"))

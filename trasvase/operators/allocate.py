@@ -27,6 +27,7 @@ from trasvase.operators.pairs import (
     receiver_order,
     receivers,
     senders,
+    with_names,
 )
 from trasvase.session import stored
 
@@ -385,24 +386,14 @@ def sender_sizes(stock: DataFrame) -> DataFrame:
     )
 
 
-def move_table(allocation: Allocation, stock: DataFrame, photos: DataFrame) -> DataFrame:
+def move_table(allocation: Allocation, stock: DataFrame, photos: DataFrame, stores: DataFrame) -> DataFrame:
     """Moves as they are published: store and product names, sizes, rounded cover, photo address."""
-    roles = allocation.network.roles
-    sender = roles.filter(F.col("PERFIL") == SENDER).select(
-        *PRODUCT, "NOMPRODUIT", "LIBCOLORIS", F.col("CODEMAGASIN").alias("EMISOR"),
-        F.col("NOMBRE_TIENDA").alias("NOMBRE_EMISOR"),
-    )
-    receiver = roles.filter(F.col("PERFIL") == RECEIVER).select(
-        *PRODUCT, F.col("CODEMAGASIN").alias("RECEPTOR"), F.col("NOMBRE_TIENDA").alias("NOMBRE_RECEPTOR")
-    )
     moving = allocation.moves
     held = stock.join(
         moving.select(*PRODUCT, F.col("EMISOR").alias("CODEMAGASIN")), [*PRODUCT, "CODEMAGASIN"], "left_semi"
     )
-    named = (
-        moving.join(sender, [*PRODUCT, "EMISOR"])
-        .join(receiver, [*PRODUCT, "RECEPTOR"])
-        .join(sender_sizes(held), [*PRODUCT, "EMISOR"], "left")
+    named = with_names(moving, allocation.network.roles, stores).join(
+        sender_sizes(held), [*PRODUCT, "EMISOR"], "left"
     )
     return photo_lookup(named, photos).select(
         "EMISOR", "NOMBRE_EMISOR", "RECEPTOR", "NOMBRE_RECEPTOR",

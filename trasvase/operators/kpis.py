@@ -117,6 +117,9 @@ def kpi_order(kpis: DataFrame) -> DataFrame:
 
 NAME_KEYS = ["NOMPRODUIT", "LIBCOLORIS"]
 
+# The stores the view shows unless told otherwise.
+SHOWN_STORES = ["801", "803", "805", "806", "832", "840", "845", "857", "869", "1782", "1933", "2020", "2094"]
+
 
 def product_map(stock: DataFrame) -> DataFrame:
     """EAN to product and colour name, as the stock table has them."""
@@ -127,6 +130,15 @@ def product_map(stock: DataFrame) -> DataFrame:
     )
 
 
+def name_codes(stock: DataFrame) -> DataFrame:
+    """One product code and colour code for each pair of names."""
+    return (
+        stock.groupBy(*NAME_KEYS)
+        .agg(F.min(F.struct("CODEPRODUIT", "CODECOLORIS")).alias("C"))
+        .select(*NAME_KEYS, "C.*")
+    )
+
+
 def stock_by_name(stock: DataFrame) -> DataFrame:
     """Four stock sums per store and product and colour name."""
     return stock.groupBy("CODEMAGASIN", *NAME_KEYS).agg(
@@ -149,11 +161,11 @@ def kpi_profile_view(
     sales: DataFrame,
     stores: DataFrame,
     to_process: DataFrame,
-    shown: list[str] | DataFrame | None = None,
+    shown: list[str] | DataFrame | None = SHOWN_STORES,
 ) -> DataFrame:
-    """The KPI table keyed by names, for products to process, with an optional list of stores to show.
+    """The KPI table keyed by names, for products to process.
 
-    ``shown`` is a short list of store codes or a table with CODIGO_TIENDA.
+    ``shown`` says which stores: a short list of codes, a table with CODIGO_TIENDA, or None for all.
     """
     held = stock_by_name(stock)
     sold = sales_by_name(sales, stock).withColumnRenamed("CODIGO_TIENDA", "CODEMAGASIN")

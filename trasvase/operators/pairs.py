@@ -50,11 +50,8 @@ def available_by_size(stock: DataFrame) -> DataFrame:
     )
 
 
-def network_roles(
-    kpis: DataFrame, stock: DataFrame, stores: DataFrame, to_process: DataFrame | None = None
-) -> DataFrame:
-    """Senders and receivers with store name and what a sender holds over all sizes."""
-    names = stores.select(F.col("CODIGO_TIENDA").alias("CODEMAGASIN"), "NOMBRE_TIENDA")
+def network_roles(kpis: DataFrame, stock: DataFrame, to_process: DataFrame | None = None) -> DataFrame:
+    """Senders and receivers, and what each holds over all sizes."""
     held = stock.groupBy("CODEMAGASIN", *PRODUCT).agg(F.sum("TOTAL").alias("APORTE"))
     roles = kpis.filter(F.col("PERFIL").isin(SENDER, RECEIVER)).select(
         *PRODUCT, "NOMPRODUIT", "LIBCOLORIS", "CODEMAGASIN", "PERFIL", "STOCK_TOTAL",
@@ -62,10 +59,8 @@ def network_roles(
     )
     if to_process is not None:
         roles = roles.join(to_process.select(*PRODUCT), PRODUCT, "left_semi")
-    return (
-        roles.join(held, ["CODEMAGASIN", *PRODUCT], "left")
-        .join(names, "CODEMAGASIN")
-        .withColumn("APORTE", F.coalesce("APORTE", F.lit(0).cast("long")))
+    return roles.join(held, ["CODEMAGASIN", *PRODUCT], "left").withColumn(
+        "APORTE", F.coalesce("APORTE", F.lit(0).cast("long"))
     )
 
 
@@ -92,12 +87,11 @@ def network_of(roles: DataFrame, distance: Distance, max_pairs: int = MAX_PAIRS)
 def build_network(
     kpis: DataFrame,
     stock: DataFrame,
-    stores: DataFrame,
     distance: Distance,
     to_process: DataFrame | None = None,
     max_pairs: int = MAX_PAIRS,
 ) -> Network:
-    return network_of(stored(network_roles(kpis, stock, stores, to_process), "roles"), distance, max_pairs)
+    return network_of(stored(network_roles(kpis, stock, to_process), "roles"), distance, max_pairs)
 
 
 def _size_columns(roles: DataFrame) -> list[str]:
@@ -236,18 +230,18 @@ def receiver_rank(ranked: DataFrame) -> DataFrame:
     return ranked.withColumn("RECEIVER_RANK", F.min("PAIR_RANK").over(by_receiver()))
 
 
-def candidate_pairs(network: Network) -> DataFrame:
-    """Ranked pairs with store and product names."""
-    roles = network.roles
-    sender = roles.filter(F.col("PERFIL") == SENDER).select(
-        *PRODUCT, "NOMPRODUIT", "LIBCOLORIS", F.col("CODEMAGASIN").alias("EMISOR"),
-        F.col("NOMBRE_TIENDA").alias("NOMBRE_EMISOR"),
-    )
-    receiver = roles.filter(F.col("PERFIL") == RECEIVER).select(
-        *PRODUCT, F.col("CODEMAGASIN").alias("RECEPTOR"), F.col("NOMBRE_TIENDA").alias("NOMBRE_RECEPTOR")
-    )
-    return (
-        receiver_rank(pair_rank(network))
-        .join(sender, [*PRODUCT, "EMISOR"])
-        .join(receiver, [*PRODUCT, "RECEPTOR"])
+def with_names(pairs: DataFrame, roles: DataFrame, stores: DataFrame) -> DataFrame:
+    """Adds product, colour and store names to rows with a product, colour, sender and receiver."""
+    products = roles.filter(F.col("PERFIL") == SENDER).select(
+        *PRODUCT, "NOMPRODUIT", "LIBCOLORIS", F.col("CODEMAGASIN").alias("EMISOR")
     )
+    named = pairs.join(products, [*PRODUCT, "EMISOR"])
+    for role in ("EMISOR", "RECEPTOR"):
+        names = stores.select(F.col("CODIGO_TIENDA").alias(role), F.col("NOMBRE_TIENDA").alias(f"NOMBRE_{role}"))
+        named = named.join(names, role)
+    return named
+
+
+def candidate_pairs(network: Network, stores: DataFrame) -> DataFrame:
+    """Ranked pairs with store and product names."""
+    return with_names(receiver_rank(pair_rank(network)), network.roles, stores)

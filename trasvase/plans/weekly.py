@@ -16,6 +16,7 @@ from trasvase.operators.lookups import staffed_stores
 from trasvase.operators.pairs import MAX_PAIRS, Distance, build_network
 from trasvase.operators.sales import sales_clean, sales_scope
 from trasvase.operators.stock import stock_full
+from trasvase.session import stored
 from trasvase.sinks import tables as sink
 from trasvase.sources.sales_files import read_sales_files
 
@@ -67,19 +68,23 @@ def run(inputs: Inputs, products: DataFrame, stores: DataFrame, limits: al.Limit
     eans = products.filter(F.col("CODEBARRES").isNotNull()).select(F.col("CODEBARRES").alias("EAN")).distinct()
     codes = products.filter(F.col("CODEINTERNEARTICLE").isNotNull()).select("CODEINTERNEARTICLE").distinct()
     sales = sales_scope(sales_clean(inputs.sales, inputs.stores), chosen, eans)
-    stock = stock_full(
-        inputs.stock_accounts, inputs.articles, inputs.remote_products, inputs.remote_sizes, inputs.remote_colours,
-        chosen, codes,
+    # stock and KPIs are tables of the run: several later steps read them
+    stock = stored(
+        stock_full(
+            inputs.stock_accounts, inputs.articles, inputs.remote_products, inputs.remote_sizes,
+            inputs.remote_colours, chosen, codes,
+        ),
+        "stock",
     )
-    kpis = store_product_kpis(stock, sales, inputs.stores, products)
-    network = build_network(kpis, stock, inputs.stores, inputs.distance, products, inputs.max_pairs)
+    kpis = stored(store_product_kpis(stock, sales, inputs.stores, products), "kpis")
+    network = build_network(kpis, stock, inputs.distance, products, inputs.max_pairs)
     allocation = al.allocate(network, limits)
-    return Run(products, sales, stock, kpis, allocation, al.move_table(allocation, stock, inputs.photos))
+    return Run(products, sales, stock, kpis, allocation, al.move_table(allocation, stock, inputs.photos, inputs.stores))
 
 
 def weekly_run(inputs: Inputs, ranking_sheet: DataFrame, limits: al.Limits = al.Limits()) -> Run:
     """The batch run: products from the ranking sheet, all stores with staff."""
-    products = assortment(ranking_sheet, inputs.articles)
+    products = stored(assortment(ranking_sheet, inputs.articles), "products")
     return run(inputs, products, staffed_stores(inputs.stores), limits)
 
 

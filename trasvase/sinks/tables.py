@@ -64,24 +64,28 @@ def archive_moves(moves: DataFrame, root: str, run_date: datetime.date) -> None:
     )
 
 
+def _runs(spark: SparkSession, root: str) -> tuple[DataFrame, datetime.date]:
+    """All runs' moves, and the date of the latest run."""
+    runs = spark.read.schema(MOVIMIENTOS_HISTORICO).parquet(f"{root}/movimientos_historico")
+    return runs, runs.agg(F.max("RUN_DATE")).first()[0]
+
+
 def move_store(spark: SparkSession, root: str) -> DataFrame:
     """All runs' moves; ES_ACTUAL marks those of the latest run."""
-    runs = spark.read.schema(MOVIMIENTOS_HISTORICO).parquet(f"{root}/movimientos_historico")
-    latest = runs.agg(F.max("RUN_DATE").alias("ULTIMO"))
-    return (
-        runs.join(F.broadcast(latest))  # one row
-        .withColumn("ES_ACTUAL", F.col("RUN_DATE") == F.col("ULTIMO"))
-        .drop("ULTIMO")
-    )
+    runs, latest = _runs(spark, root)
+    return runs.withColumn("ES_ACTUAL", F.col("RUN_DATE") == F.lit(latest))
 
 
 def current_moves(spark: SparkSession, root: str) -> DataFrame:
-    return move_store(spark, root).filter("ES_ACTUAL").select(*MOVIMIENTOS.names)
+    """Moves of the latest run; reads that run's partition only."""
+    runs, latest = _runs(spark, root)
+    return runs.filter(F.col("RUN_DATE") == F.lit(latest)).select(*MOVIMIENTOS.names)
 
 
 def moves_history(spark: SparkSession, root: str) -> DataFrame:
     """Moves of earlier runs, with the week they were proposed in."""
-    return move_store(spark, root).filter("NOT ES_ACTUAL").drop("ES_ACTUAL")
+    runs, latest = _runs(spark, root)
+    return runs.filter(F.col("RUN_DATE") < F.lit(latest))
 
 
 def write_delimited(df: DataFrame, path: str) -> None:
