@@ -77,9 +77,11 @@ def stores(spark):
 
 
 def test_only_files_with_the_required_columns_are_read(spark, folder):
-    files = list_sales_files(spark, folder, "2025-01-01", "2025-01-31")
-    assert {r.ARCHIVO for r in files.select("ARCHIVO").collect()} == {"202501021.csv", "202501032.csv", "202501063.csv"}
-    assert list_sales_files(spark, [folder[2]], "2025-01-01", "2025-01-31") is None
+    names = [path.rsplit("/")[-1] for path in list_sales_files(spark, folder, "2025-01-01", "2025-01-31")]
+    assert names == ["202501021.csv", "202501032.csv", "202501051.csv", "202501063.csv"]
+    read = read_sales_files(spark, folder, "2025-01-01", "2025-01-31").select("ARCHIVO").distinct().collect()
+    assert {r.ARCHIVO for r in read} == {"202501021.csv", "202501032.csv", "202501063.csv"}
+    assert list_sales_files(spark, [folder[2]], "2025-01-01", "2025-01-31") == []
     assert read_sales_files(spark, folder, "2026-01-01", "2026-01-31") is None
     with pytest.raises(FileNotFoundError):
         weekly.read_sales(spark, folder, datetime.date(2026, 1, 1))

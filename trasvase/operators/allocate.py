@@ -23,6 +23,7 @@ from trasvase.operators.pairs import (
     best_pair,
     by_receiver,
     meet,
+    numbered,
     pair_order,
     receiver_order,
     receivers,
@@ -149,18 +150,23 @@ def _large_groups(network: Network, limits: Limits, per_round: int) -> DataFrame
     part = network.large_part()
     pairs = meet(senders(part), receivers(part), network.distance, network.max_pairs)
     best = pairs.groupBy(*PRODUCT, "RECEPTOR").agg(best_pair().alias("MEJOR"))
-    group = Window.partitionBy(*PRODUCT)
-    before = Window.partitionBy(*PRODUCT, "RONDA").orderBy("ORDEN_RECEPTOR").rowsBetween(Window.unboundedPreceding, -1)
-    queue = stored(
+    before = Window.partitionBy(*PRODUCT, "RONDA").orderBy("PUESTO").rowsBetween(Window.unboundedPreceding, -1)
+    needing = (
         receivers(part)
         .join(best, [*PRODUCT, "RECEPTOR"])
         .withColumn("ORDEN_RECEPTOR", receiver_order(F.col("MEJOR")))
-        .drop("MEJOR")
         .withColumn("TECHO", _ceiling(limits))
         .withColumn("HUECO", F.col("TECHO") - F.col("STOCK_RECEPTOR"))
         .filter(F.col("HUECO") > 0)
-        .withColumn("RONDA", F.floor((F.row_number().over(group.orderBy("ORDEN_RECEPTOR")) - 1) / per_round))
-        .withColumn("PREVIO", F.coalesce(F.sum("HUECO").over(before), F.lit(0))),
+        .select("*", "MEJOR.*")
+        .drop("MEJOR")
+    )
+    leading = {"VELOCIDAD_REAL_RECEPTOR": True, "COBERTURA_INICIAL": False, "S": False}
+    queue = stored(
+        numbered(needing, leading, ["M", "RECEPTOR"], "PUESTO")
+        .withColumn("RONDA", F.floor((F.col("PUESTO") - 1) / per_round))
+        .withColumn("PREVIO", F.coalesce(F.sum("HUECO").over(before), F.lit(0)))
+        .drop("PUESTO", "S", "M"),
         "queue",
     )
     giving = stored(senders(part).filter(F.col("APORTE") > 0), "senders")

@@ -195,34 +195,45 @@ def best_pair() -> Column:
     return F.min(F.struct((-F.col("STOCK_EMISOR")).alias("S"), F.col("DISTANCIA_MINUTOS").alias("M")))
 
 
+def numbered(
+    rows: DataFrame, leading: dict[str, bool], rest: list[str], name: str, group: list[str] = PRODUCT
+) -> DataFrame:
+    """Numbers the rows of each group from 1 without sorting a whole group in one task.
+
+    Order is by the ``leading`` columns (True is descending), then ascending by ``rest``. Rows are counted per leading
+    values, the counts before each are added up, and rows are numbered inside each.
+    """
+    first = list(leading)
+    first_order = [F.desc(column) if down else F.asc(column) for column, down in leading.items()]
+    before = Window.partitionBy(*group).orderBy(*first_order).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        rows.groupBy(*group, *first)
+        .agg(F.count("*").alias("_n"))
+        .select(*group, *first, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    )
+    inside = Window.partitionBy(*group, *first).orderBy(*[F.asc(column) for column in rest])
+    return (
+        rows.withColumn("_n", F.row_number().over(inside))
+        .join(offsets, [*group, *first])
+        .withColumn(name, (F.col("_before") + F.col("_n")).cast("int"))
+        .drop("_before", "_n")
+    )
+
+
 def pair_rank(network: Network) -> DataFrame:
     """Pairs with their rank in the product and colour: speed, weeks, sender stock, minutes, then store codes."""
-    prefix = ["VELOCIDAD_REAL_RECEPTOR", "COBERTURA_INICIAL", "STOCK_EMISOR"]
-    prefix_order = [F.desc(prefix[0]), F.asc(prefix[1]), F.desc(prefix[2])]
-    rest = [F.asc("DISTANCIA_MINUTOS"), F.asc("RECEPTOR"), F.asc("EMISOR")]
-
+    leading = {"VELOCIDAD_REAL_RECEPTOR": True, "COBERTURA_INICIAL": False, "STOCK_EMISOR": True}
+    rest = ["DISTANCIA_MINUTOS", "RECEPTOR", "EMISOR"]
     small = network.small_part()
-    whole = Window.partitionBy(*PRODUCT).orderBy(*prefix_order, *rest)
+    order = [F.desc(column) if down else F.asc(column) for column, down in leading.items()] + [F.asc(c) for c in rest]
     ranked = meet(senders(small), receivers(small), network.distance).withColumn(
-        "PAIR_RANK", F.row_number().over(whole)
+        "PAIR_RANK", F.row_number().over(Window.partitionBy(*PRODUCT).orderBy(*order))
     )
     if network.large is None:
         return ranked
-    # A large group is not sorted by one task: count pairs per leading sort values, add up the counts before each,
-    # and number the pairs inside each.
     large = network.large_part()
     pairs = meet(senders(large), receivers(large), network.distance, network.max_pairs)
-    before = Window.partitionBy(*PRODUCT).orderBy(*prefix_order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        pairs.groupBy(*PRODUCT, *prefix)
-        .agg(F.count("*").alias("N"))
-        .select(*PRODUCT, *prefix, F.coalesce(F.sum("N").over(before), F.lit(0)).alias("ANTES"))
-    )
-    inside = Window.partitionBy(*PRODUCT, *prefix).orderBy(*rest)
-    numbered = pairs.withColumn("N", F.row_number().over(inside)).join(offsets, [*PRODUCT, *prefix])
-    return ranked.unionByName(
-        numbered.withColumn("PAIR_RANK", (F.col("ANTES") + F.col("N")).cast("int")).drop("ANTES", "N")
-    )
+    return ranked.unionByName(numbered(pairs, leading, rest, "PAIR_RANK"))
 
 
 def receiver_rank(ranked: DataFrame) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -21,55 +22,51 @@ def sales_file_scope(files: DataFrame, after: str, until: str, name: str = "ARCH
     return files.filter(in_file_scope(F.col(name), after, until))
 
 
-def list_sales_files(spark: SparkSession, folders: Sequence[str], after: str, until: str) -> DataFrame | None:
-    """Files of the window that hold the required columns, with their header line. None when no folder exists."""
-    listings = []
+def list_sales_files(spark: SparkSession, folders: Sequence[str], after: str, until: str) -> list[str]:
+    """Paths of the sales files of the window. Only the listing is read; a folder that does not exist is skipped."""
+    paths = []
     for folder in folders:
         try:
-            listings.append(
-                spark.read.format("binaryFile")
-                .option("pathGlobFilter", "*.csv")
-                .option("ignoreCorruptFiles", "true")
-                .load(folder)
-                .withColumn("ARCHIVO", F.col("_metadata.file_name"))
-            )
+            listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-    if not listings:
-        return None
-    files = sales_file_scope(functools.reduce(DataFrame.unionByName, listings), after, until)
-    first_line = F.regexp_extract(F.substring("content", 1, 65536).cast("string"), "^﻿?([^\r\n]*)", 1)
-    header = files.select("path", "ARCHIVO", first_line.alias("CABECERA"))
-    names = F.transform(F.split("CABECERA", ";"), lambda x: F.trim(F.replace(x, F.lit('"'), F.lit(""))))
-    needed = F.array(*[F.lit(c) for c in REQUIRED_COLUMNS])
-    return header.filter(F.size(F.array_except(needed, names)) == 0)
+        else:
+            named = listing.select("path", F.col("_metadata.file_name").alias("ARCHIVO"))
+            paths += [row.path for row in sales_file_scope(named, after, until).collect()]
+    return sorted(paths)
+
+
+def _delimited(spark: SparkSession) -> DataFrameReader:
+    return spark.read.option("sep", ";").option("header", "true").option("ignoreCorruptFiles", "true")
+
+
+def file_header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names of one file, from its first line; none when it is empty or cannot be read."""
+    try:
+        return tuple(_delimited(spark).csv(path).columns)
+    except PySparkException:
+        return ()
 
 
 def read_sales_files(spark: SparkSession, folders: Sequence[str], after: str, until: str) -> DataFrame | None:
     """All sales lines of the window as text columns, stacked by column name. None when there is no valid file.
 
-    Files are grouped by header line, and each group is one CSV scan; the driver holds file paths only.
+    Files without the required columns are skipped. The rest are grouped by header, and each group is one scan.
     """
-    files = list_sales_files(spark, folders, after, until)
-    if files is None:
+    paths = list_sales_files(spark, folders, after, until)
+    with ThreadPoolExecutor(max_workers=16) as pool:  # each header is a job of one short read
+        headers = pool.map(lambda path: file_header(spark, path), paths)
+        groups: dict[tuple[str, ...], list[str]] = {}
+        for path, header in zip(paths, headers):
+            if set(REQUIRED_COLUMNS) <= set(header):
+                groups.setdefault(header, []).append(path)
+    if not groups:
         return None
-    groups = files.groupBy("CABECERA").agg(F.sort_array(F.collect_list("path")).alias("PATHS")).collect()
     scans = []
-    for group in sorted(groups, key=lambda g: g.CABECERA):
-        names = [n.strip().strip('"') for n in group.CABECERA.split(";")]
-        schema = StructType([StructField(n, StringType(), True) for n in names])
-        scan = (
-            spark.read.schema(schema)
-            .option("sep", ";")
-            .option("header", "true")
-            .option("mode", "PERMISSIVE")
-            .option("ignoreCorruptFiles", "true")
-            .csv(group.PATHS)
-            .withColumn("ARCHIVO", F.col("_metadata.file_name"))
-        )
-        scans.append(scan)
-    if not scans:
-        return None
+    for header, members in groups.items():
+        schema = StructType([StructField(name, StringType(), True) for name in header])
+        scan = _delimited(spark).schema(schema).csv(members)
+        scans.append(scan.withColumn("ARCHIVO", F.col("_metadata.file_name")))
     stacked = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
     return conform(stacked, VENTAS_FICHERO)
