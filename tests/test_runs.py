@@ -87,7 +87,7 @@ def test_interactive_run_uses_the_chosen_stores_and_products(done, spark):
 def test_publish_and_history(done, spark, tmp_path):
     _, _, run = done
     root = str(tmp_path)
-    weekly.publish(run, root, ASOF)
+    weekly.publish(run, root, ASOF, stuck=True)
     tables = f"{root}/tables"
     assert sink.current_moves(spark, tables).count() == 1 and sink.moves_history(spark, tables).count() == 0
     later = ASOF + datetime.timedelta(days=7)
@@ -97,6 +97,9 @@ def test_publish_and_history(done, spark, tmp_path):
     assert [r.APORTE for r in sink.current_moves(spark, tables).collect()] == [8]
     assert [(r.APORTE, r.SEMANA, r.ANO_ISO, r.RUN_DATE) for r in sink.moves_history(spark, tables).collect()] == [(3, 5, 2025, ASOF)]
     assert sink.current_moves(spark, tables).columns == MOVIMIENTOS.names
+    sink.archive_moves(moves.filter("false"), tables, later)  # a rerun that finds nothing to move
+    assert sink.current_moves(spark, tables).isEmpty() and sink.moves_history(spark, tables).count() == 1
+    assert sink.move_store(spark, tables).count() == 1
 
     sheet = read_delimited(spark, f"{root}/moves/run_date=2025-01-29/CENTRO=805")
     assert [(r.EMISOR, r.RECEPTOR, r.APORTE) for r in sheet.collect()] == [("805", "801", "3")]
@@ -107,6 +110,14 @@ def test_publish_and_history(done, spark, tmp_path):
     assert "1 referencias" in page and "3 unidades" in page and "805 - CINCO" in page and 'href="http://x/1.jpg"' in page
     assert Path(root, "run_date=2025-01-29", "a_enviar", "CENTRO=805").exists()
 
+    day = f"{root}/run_date=2025-01-29"
+    assert read_delimited(spark, f"{day}/export_ventas").count() == 5
+    assert read_delimited(spark, f"{day}/export_ventas_filtradas").count() == 3
+    messages = {r.MSG for r in read_delimited(spark, f"{day}/log").collect()}
+    assert {"2 pares generados", "3 productes de 805 a 801", "Receptor 803 sin posibilidad de enviarle stock"} <= messages
+    stuck = {(r.EMISOR, r.CODECOLORIS, r.MOTIVO) for r in read_delimited(spark, f"{day}/estancados").collect()}
+    assert ("805", "2", al.NO_SALES) in stuck
+
     names = sink.register(spark, tables)
     assert {"ventas", "stock", "productos", "stock_ventas_centro"} <= set(names)
     exported = sink.export_tables(spark, f"{root}/export")
@@ -116,6 +127,10 @@ def test_publish_and_history(done, spark, tmp_path):
         spark.catalog.dropTempView(name)
 
 
+def test_limits_from_a_form():
+    assert al.Limits.of_form("9", "60", "12") == al.Limits(max_cover=9, size_share=0.6, max_units=12)
+
+
 def test_refresh_replaces_by_name(spark, tmp_path):
     root = str(tmp_path)
     sink.create_tables(spark, root)

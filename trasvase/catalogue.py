@@ -230,7 +230,7 @@ def sales_by_name(g: Given) -> DataFrame:
 
 def _profile_view(g: Given) -> DataFrame:
     staffed = lookups.staffed_stores(g.centros)
-    return kpis.kpi_profile_view(g.stock, g.ventas, g.centros, g.productos_procesar, staffed)
+    return kpis.kpi_profile_view(g.stored_stock, g.ventas, g.centros, g.productos_procesar, staffed)
 
 
 @query
@@ -264,7 +264,7 @@ def sales_trim_match(g: Given) -> DataFrame:
 
 @query
 def sales_missing_from_profile(g: Given) -> DataFrame:
-    return checks.sales_missing_from_profile(g.ventas, g.stock, g.productos_procesar, _profile_view(g))
+    return checks.sales_missing_from_profile(g.ventas, g.stored_stock, g.productos_procesar, _profile_view(g))
 
 
 @query

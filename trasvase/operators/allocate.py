@@ -51,6 +51,11 @@ class Limits:
     size_share: float = 0.75
     max_units: int = 17
 
+    @classmethod
+    def of_form(cls, cover: str | int, size_percent: str | float, units: str | int) -> Limits:
+        """Limits as a form sends them: whole weeks, a percentage of sizes, whole units."""
+        return cls(int(cover), float(size_percent) / 100, int(units))
+
 
 @dataclass(frozen=True)
 class Allocation:

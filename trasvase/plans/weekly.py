@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from trasvase.operators import allocate as al
 from trasvase.operators.assortment import assortment
+from trasvase.operators.digests import receive_html, send_html
 from trasvase.operators.kpis import store_product_kpis
 from trasvase.operators.lookups import staffed_stores
 from trasvase.operators.pairs import MAX_PAIRS, Distance, build_network
@@ -42,6 +43,7 @@ class Inputs:
 @dataclass(frozen=True)
 class Run:
     products: DataFrame
+    all_sales: DataFrame
     sales: DataFrame
     stock: DataFrame
     kpis: DataFrame
@@ -67,7 +69,8 @@ def run(inputs: Inputs, products: DataFrame, stores: DataFrame, limits: al.Limit
     chosen = stores.select("CODIGO_TIENDA").distinct()
     eans = products.filter(F.col("CODEBARRES").isNotNull()).select(F.col("CODEBARRES").alias("EAN")).distinct()
     codes = products.filter(F.col("CODEINTERNEARTICLE").isNotNull()).select("CODEINTERNEARTICLE").distinct()
-    sales = sales_scope(sales_clean(inputs.sales, inputs.stores), chosen, eans)
+    all_sales = sales_clean(inputs.sales, inputs.stores)
+    sales = sales_scope(all_sales, chosen, eans)
     # stock and KPIs are tables of the run: several later steps read them
     stock = stored(
         stock_full(
@@ -79,7 +82,7 @@ def run(inputs: Inputs, products: DataFrame, stores: DataFrame, limits: al.Limit
     kpis = stored(store_product_kpis(stock, sales, inputs.stores, products), "kpis")
     network = build_network(kpis, stock, inputs.distance, products, inputs.max_pairs)
     allocation = al.allocate(network, limits)
-    return Run(products, sales, stock, kpis, allocation, al.move_table(allocation, stock, inputs.photos, inputs.stores))
+    return Run(products, all_sales, sales, stock, kpis, allocation, al.move_table(allocation, stock, inputs.photos, inputs.stores))
 
 
 def weekly_run(inputs: Inputs, ranking_sheet: DataFrame, limits: al.Limits = al.Limits()) -> Run:
@@ -88,10 +91,8 @@ def weekly_run(inputs: Inputs, ranking_sheet: DataFrame, limits: al.Limits = al.
     return run(inputs, products, staffed_stores(inputs.stores), limits)
 
 
-def publish(done: Run, root: str, asof: datetime.date) -> None:
-    """Refresh the tables of a run, archive its moves, and write its move sheet and digests under its date."""
-    from trasvase.operators.digests import receive_html, send_html
-
+def publish(done: Run, root: str, asof: datetime.date, stuck: bool = False) -> None:
+    """Refresh the tables of a run, archive its moves, and write its sheet, digests, log and exports under its date."""
     day = f"{root}/run_date={asof.isoformat()}"
     for name, df in (
         ("productos", done.products),
@@ -102,5 +103,12 @@ def publish(done: Run, root: str, asof: datetime.date) -> None:
         sink.refresh(df, f"{root}/tables", name)
     sink.archive_moves(sink.published_moves(done.moves), f"{root}/tables", asof)
     sink.write_run(done.moves, f"{root}/moves", asof)
+    sink.write_delimited(done.all_sales, f"{day}/export_ventas")
+    sink.write_delimited(done.sales, f"{day}/export_ventas_filtradas")
     sink.write_digest(send_html(done.moves), f"{day}/a_enviar")
     sink.write_digest(receive_html(done.moves), f"{day}/a_recibir")
+    outcomes = stored(al.pair_outcomes(done.allocation), "outcomes")
+    flags = al.size_coverage_flag(done.allocation, done.stock, outcomes)
+    sink.write_delimited(al.allocation_log(done.allocation, outcomes, flags, done.products), f"{day}/log")
+    if stuck:
+        sink.write_stuck(al.stuck_products(done.allocation, outcomes, flags), f"{day}/estancados")

@@ -21,7 +21,7 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def create_tables(spark: SparkSession, root: str) -> None:
-    """Empty tables with the fixed schemas, where there are none yet."""
+    """Empty tables with the fixed schemas, where there are none yet. The move store begins with its first run."""
     for name, schema in TABLES.items():
         if name in ("movimientos", "movimientos_historico"):
             continue
@@ -54,20 +54,25 @@ def stamped(moves: DataFrame, run_date: datetime.date) -> DataFrame:
 
 
 def archive_moves(moves: DataFrame, root: str, run_date: datetime.date) -> None:
-    """Add a run's moves to the move store. A rerun replaces the moves of its own date only."""
-    (
-        stamped(moves, run_date)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("RUN_DATE")
-        .parquet(f"{root}/movimientos_historico")
-    )
+    """Add a run's moves to the move store. A rerun replaces the moves of its own date only.
+
+    The run is noted in a table of its own, so that a run without moves counts as the latest one too.
+    """
+    partition = f"RUN_DATE={run_date.isoformat()}"
+    rows = stamped(moves, run_date).drop("RUN_DATE")
+    rows.write.mode("overwrite").parquet(f"{root}/movimientos_historico/{partition}")
+    runs = moves.sparkSession.createDataFrame([(run_date,)], RUNS)
+    runs.write.mode("overwrite").parquet(f"{root}/ejecuciones/{run_date.isoformat()}")
+
+
+RUNS = "RUN_DATE date"
 
 
 def _runs(spark: SparkSession, root: str) -> tuple[DataFrame, datetime.date]:
     """All runs' moves, and the date of the latest run."""
     runs = spark.read.schema(MOVIMIENTOS_HISTORICO).parquet(f"{root}/movimientos_historico")
-    return runs, runs.agg(F.max("RUN_DATE")).first()[0]
+    dates = spark.read.schema(RUNS).option("recursiveFileLookup", "true").parquet(f"{root}/ejecuciones")
+    return runs, dates.agg(F.max("RUN_DATE")).first()[0]
 
 
 def move_store(spark: SparkSession, root: str) -> DataFrame:
