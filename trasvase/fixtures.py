@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trasvase.operators.assortment import PRODUCT_COLUMNS, RANKING_COLUMNS
+from trasvase.operators.assortment import RANKING_COLUMNS, SHORT_SUPPLY
 from trasvase.operators.stock import stock_pivot, stock_position
 from trasvase.session import stored
 
@@ -176,12 +176,9 @@ class Given:
 
     @cached_property
     def productos_procesar(self) -> DataFrame:
-        """Products to process: those short in the depot, one row per product and colour."""
-        short = (F.col("CODEPRODUIT") + F.col("CODECOLORIS")) % 3 != 2
-        return (
-            self.productos.filter(short)
-            .groupBy("CODEPRODUIT", "CODECOLORIS")
-            .agg(*[F.min(name).alias(name) for name in PRODUCT_COLUMNS if name not in ("CODEPRODUIT", "CODECOLORIS")])
+        """Products to process: those the ranking has as short in the depot, one row per product and colour."""
+        return self.ranking.filter(F.col("SITUACION").isin(*SHORT_SUPPLY)).select(
+            "TEMPORADA", "COLLECTION", "FAMILIA", "CODEPRODUIT", "CODECOLORIS", "NOMPRODUIT", "LIBCOLORIS"
         )
 
     @cached_property
