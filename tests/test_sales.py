@@ -122,3 +122,15 @@ def test_repeated_list_entries_do_not_repeat_sales(spark):
     chosen = spark.createDataFrame([("801",), ("801",)], "CODIGO_TIENDA string")
     eans = spark.createDataFrame([("1",), ("1",)], "EAN string")
     assert [tuple(r) for r in sales.sales_scope(sold, chosen, eans).select("CODIGO_TIENDA", "EAN").collect()] == [("801", "1")]
+
+
+def test_sale_times_do_not_depend_on_the_time_zone(spark, stores):
+    """Clocks skip 02:00 to 03:00 on this day in Madrid; a sale at 02:30 stays one."""
+    raw = spark.createDataFrame([("30/03/2025", "230", "801")], "FECHA string, HORA string, TIENDA string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Madrid")
+    try:
+        line = sales.sales_clean(raw, stores).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert (line.FECHA_HORA, line.FECHA, line.DIA_SEMANA_NOMBRE) == ("2025-03-30 02:30:00", "2025-03-30", "Domingo")

@@ -46,7 +46,9 @@ def test_same_product_in_two_sheets_counts_once(spark):
     both = asm.assortment(sheet(spark, [ranked(), ranked()]), articles)
     assert sorted(r.CODEBARRES for r in both.collect()) == ["111", "112"]
     renamed = both.unionByName(both.withColumn("NOMPRODUIT", F.lit("OTHER")))
-    assert asm.product_dimension(renamed).count() == 2
+    partial = renamed.unionByName(renamed.withColumn("CODECOLORIS", F.lit(None).cast("int")))
+    found = asm.product_dimension(partial).collect()
+    assert sorted(r.CODEBARRES for r in found) == ["111", "112"] and {(r.CODECOLORIS, r.NOMPRODUIT) for r in found} == {(1, "NAME")}
 
 
 def test_ranking_and_photos_from_files(spark, tmp_path):

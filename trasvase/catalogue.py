@@ -54,7 +54,7 @@ def _timed(g: Given) -> DataFrame:
 def sales_time(g: Given) -> DataFrame:
     return _timed(g).select(
         "TALON", "EAN", "HORA", "MINUTO", "HORA_ORIG", "MINUTO_ORIG",
-        F.date_format("FECHA", "yyyy-MM-dd").alias("FECHA"),
+        F.col("FECHA").cast("string").alias("FECHA"),
         sales_fx.moment_text(F.col("FECHA_HORA")).alias("FECHA_HORA"),
         sales_fx.moment_text(F.col("FECHA_HORA_ORIG")).alias("FECHA_HORA_ORIG"),
     )

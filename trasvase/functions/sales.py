@@ -37,7 +37,8 @@ def sale_moment(day: Column, hour: Column, minute: Column) -> Column:
 
 
 def moment_text(moment: Column) -> Column:
-    return F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
+    """``yyyy-MM-dd HH:mm:ss``; a cast, as formatting would go through the session's time zone and its clock changes."""
+    return moment.cast("string")
 
 
 def iso_weekday(moment: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,22 +84,26 @@ def assortment(sheet: DataFrame, articles: DataFrame) -> DataFrame:
 
 
 def product_dimension(products: DataFrame) -> DataFrame:
-    """One row per EAN: its product and colour, codes and names. Repeats of an EAN collapse to one."""
-    identity = F.struct("CODEPRODUIT", "CODECOLORIS", "NOMPRODUIT", "LIBCOLORIS")
+    """One row per EAN: its product and colour, codes and names. Of several rows for an EAN, one with both codes, the
+    smallest, is kept.
+    """
+    lacking = F.col("CODEPRODUIT").isNull() | F.col("CODECOLORIS").isNull()
+    identity = F.struct(lacking.alias("_"), "CODEPRODUIT", "CODECOLORIS", "NOMPRODUIT", "LIBCOLORIS")
     return (
         products.filter(F.col("CODEBARRES").isNotNull())
         .groupBy(F.col("CODEBARRES").cast("string").alias("CODEBARRES"))
         .agg(F.min(identity).alias("P"))
         .select("CODEBARRES", "P.*")
+        .drop("_")
     )
 
 
 def filter_products(
     products: DataFrame,
-    seasons: list[str] = (),
-    collections: list[str] = (),
-    families: list[str] = (),
-    colours: list[str] = (),
+    seasons: Sequence[str] = (),
+    collections: Sequence[str] = (),
+    families: Sequence[str] = (),
+    colours: Sequence[str] = (),
 ) -> DataFrame:
     """Products in every non-empty list; an empty list does not filter."""
     chosen = {"TEMPORADA": seasons, "COLLECTION": collections, "FAMILIA": families, "LIBCOLORIS": colours}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ def staffed_text(staffed: Column) -> Column:
 
 
 def filter_stores(
-    stores: DataFrame, clusters: list[str] = (), categories: list[str] = (), staffed: list[str] = ()
+    stores: DataFrame, clusters: Sequence[str] = (), categories: Sequence[str] = (), staffed: Sequence[str] = ()
 ) -> DataFrame:
     """Stores in every non-empty list; ``staffed`` holds 'Tiene' and/or 'No Tiene'."""
     tests = []

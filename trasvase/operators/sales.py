@@ -56,8 +56,8 @@ def sales_clean(raw: DataFrame, centros: DataFrame) -> DataFrame:
             {
                 "PAIS": fx.country_of_file(F.col("ARCHIVO")),
                 "IMPORTE": fx.cents_to_currency(F.col("IMPORTE")),
-                "FECHA": F.date_format("FECHA", "yyyy-MM-dd"),
-                "FECHA_ORIG": F.date_format("FECHA_ORIG", "yyyy-MM-dd"),
+                "FECHA": F.col("FECHA").cast("string"),
+                "FECHA_ORIG": F.col("FECHA_ORIG").cast("string"),
                 "FECHA_HORA": fx.moment_text(F.col("FECHA_HORA")),
                 "FECHA_HORA_ORIG": fx.moment_text(F.col("FECHA_HORA_ORIG")),
                 **{name: fx.whole_number(F.col(name)) for name in whole},
