@@ -90,6 +90,19 @@ def test_large_groups_are_settled_in_rounds_with_the_same_result(spark, max_pair
     assert found == sorted((*key, value) for key, value in outcomes.items())
 
 
+def test_log_is_the_same_for_large_groups(spark):
+    roles, minutes = make_roles(8, [14, 5], 16), make_minutes(8, 16)
+    logs = []
+    for max_pairs in (pairs.MAX_PAIRS, 4):
+        done = al.allocate(network(spark, roles, minutes, max_pairs), al.Limits())
+        outcomes = stored(al.pair_outcomes(done), "outcomes")
+        stock = _stock(spark, [("1", 0, 0, "a", "S", 1)])
+        flags = al.size_coverage_flag(done, stock, outcomes)
+        log = al.allocation_log(done, outcomes, flags, done.network.roles)
+        logs.append(sorted(map(str, log.collect())))
+    assert logs[0] == logs[1] and len(logs[0]) > 20
+
+
 def test_one_very_large_group(spark):
     """One product holds nearly all rows: the rounds drop senders that cannot matter and still agree with the loop."""
     roles, minutes = make_roles(5, [120, 3], 120), make_minutes(5, 120)

@@ -344,12 +344,14 @@ def allocation_log(
     )
 
     got = allocation.moves.groupBy(*PRODUCT, "RECEPTOR").agg(F.count("*").alias("MOVIMIENTOS"))
-    queue = (
-        outcomes.filter(F.col("ORDEN_PAR") == 1)
-        .select(*PRODUCT, "RECEPTOR", "ORDEN_RECEPTOR")
-        .withColumn("N", F.row_number().over(Window.partitionBy(*PRODUCT).orderBy("ORDEN_RECEPTOR")))
-        .select(*PRODUCT, "RECEPTOR", F.col("N").alias("ORDEN"))
-    )
+    first = outcomes.filter(F.col("ORDEN_PAR") == 1).select(*PRODUCT, "RECEPTOR", "ORDEN_RECEPTOR")
+    if allocation.network.large is None:
+        place = F.row_number().over(Window.partitionBy(*PRODUCT).orderBy("ORDEN_RECEPTOR"))
+        queue = first.withColumn("ORDEN", place)
+    else:
+        leading = {"A": False, "B": False, "C": False}
+        queue = numbered(first.select("*", "ORDEN_RECEPTOR.*"), leading, ["D", "E"], "ORDEN")
+    queue = queue.select(*PRODUCT, "RECEPTOR", "ORDEN")
 
     seen = outcomes.filter(F.col("RESULTADO") != NOT_SEEN)
     given = F.when(F.col("RESULTADO") == EMPTY, F.lit(0)).otherwise(F.col("APORTE"))
