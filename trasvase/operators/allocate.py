@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from trasvase.functions.kpis import RECEIVER, SENDER
 from trasvase.operators.lookups import photo_lookup
@@ -30,7 +31,7 @@ from trasvase.operators.pairs import (
     senders,
     with_names,
 )
-from trasvase.session import stored
+from trasvase.session import scratch_path, stored
 
 # Reasons as users see them.
 OVER_COVER = "Supera cobertura maxima"
@@ -156,7 +157,7 @@ def _large_groups(network: Network, limits: Limits, per_round: int) -> DataFrame
     pairs = meet(senders(part), receivers(part), network.distance, network.max_pairs)
     best = pairs.groupBy(*PRODUCT, "RECEPTOR").agg(best_pair().alias("MEJOR"))
     before = Window.partitionBy(*PRODUCT, "RONDA").orderBy("PUESTO").rowsBetween(Window.unboundedPreceding, -1)
-    needing = (
+    needing = stored(
         receivers(part)
         .join(best, [*PRODUCT, "RECEPTOR"])
         .withColumn("ORDEN_RECEPTOR", receiver_order(F.col("MEJOR")))
@@ -164,7 +165,8 @@ def _large_groups(network: Network, limits: Limits, per_round: int) -> DataFrame
         .withColumn("HUECO", F.col("TECHO") - F.col("STOCK_RECEPTOR"))
         .filter(F.col("HUECO") > 0)
         .select("*", "MEJOR.*")
-        .drop("MEJOR")
+        .drop("MEJOR"),
+        "needing",
     )
     leading = {"VELOCIDAD_REAL_RECEPTOR": True, "COBERTURA_INICIAL": False, "S": False}
     queue = stored(
@@ -176,19 +178,26 @@ def _large_groups(network: Network, limits: Limits, per_round: int) -> DataFrame
     )
     giving = stored(senders(part).filter(F.col("APORTE") > 0), "senders")
     rounds = (queue.agg(F.max("RONDA")).first()[0] or 0) + 1
-    done: DataFrame | None = None
     amount = Window.partitionBy(*PRODUCT, "RECEPTOR", "APORTE").orderBy(*pair_order())
+    spark = queue.sparkSession
+    root = scratch_path(spark, "rounds")  # one folder per round, read back as one table
+
+    def settled(schema: StructType) -> DataFrame:
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(root)
+
     for number in range(rounds):
-        left = giving if done is None else giving.join(done.select(*PRODUCT, "EMISOR"), [*PRODUCT, "EMISOR"], "left_anti")
+        left = giving
+        if number:
+            left = giving.join(settled(moves.schema).select(*PRODUCT, "EMISOR"), [*PRODUCT, "EMISOR"], "left_anti")
         served = queue.filter(F.col("RONDA") == number).drop("RONDA")
         offers = (
             meet(left, served, network.distance, network.max_pairs, _could_accept())
             .withColumn("N", F.row_number().over(amount))
             .filter(F.col("N") <= F.floor((F.col("PREVIO") + F.col("HUECO")) / F.col("APORTE")))
         )
-        settled = stored(_fold(offers), "round")
-        done = settled if done is None else done.unionByName(settled)
-    return done
+        moves = _fold(offers)
+        moves.write.parquet(f"{root}/{number:06d}")
+    return settled(moves.schema)
 
 
 def transfer_allocation(network: Network, limits: Limits, per_round: int = RECEIVERS_PER_ROUND) -> DataFrame:
