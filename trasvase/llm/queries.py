@@ -159,7 +159,7 @@ common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b
 links AS (
     SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
 ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach AS (SELECT doc_id, doc_id AS at FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN ways l ON r.at = l.a)
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN ways l ON r.other = l.a)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.low AS component_id
-FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT doc_id, min(at) AS low FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id""",
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id""",
 }
