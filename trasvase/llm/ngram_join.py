@@ -183,9 +183,20 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("sig"), F.col("v").alias("comp")).union(edges.select(F.col("v").alias("sig"), F.col("v").alias("comp"))).distinct()
 
 
+def postings_of(sets: DataFrame) -> DataFrame:
+    """(token, sig, n, m, alone, pos) for the shared shingles in each class's prefix; ``pos`` counts the unshared before."""
+    held = sets.withColumn("alone", (F.col("n") - F.size("tokens")).cast("int"))
+    each = held.select("sig", "n", "m", "alone", F.posexplode(F.slice("tokens", 1, F.col("prefix"))).alias("at", "token"))
+    return each.select("token", "sig", "n", "m", "alone", (F.col("alone") + F.col("at") + 1).alias("pos"))
+
+
 def hub_pairs(postings: DataFrame) -> DataFrame:
-    """For each class (a) the one class (b) it shares most prefix shingles with, among the smallest of each shingle."""
-    hubs = postings.groupBy("token").agg(F.min("sig").alias("b"), F.max("sig").alias("last")).where("b != last")
+    """For each class (a) the one class (b) it shares most prefix shingles with, among the hub of each shingle.
+
+    The hub is the class with the smallest part of shingles of its own, as an original has among its near copies.
+    """
+    rank = F.struct((F.col("alone") / F.col("n")).alias("own"), "sig")
+    hubs = postings.groupBy("token").agg(F.min(rank)["sig"].alias("b"), F.count("*").alias("k")).where("k > 1")
     shared = postings.join(hubs.select("token", "b"), "token").where("sig != b").groupBy(F.col("sig").alias("a"), "b").count()
     return shared.groupBy("a").agg(F.max(F.struct("count", F.col("b"))).alias("x")).select("a", "x.b")
 
@@ -193,18 +204,23 @@ def hub_pairs(postings: DataFrame) -> DataFrame:
 def open_pairs(postings: DataFrame, labels: DataFrame) -> DataFrame:
     """All candidate pairs of classes in different components.
 
-    A shingle's most frequent component is not paired with itself: the others in its list meet all, so a shingle of one
-    great component costs as many pairs as the list has others.
+    Of two sets of given sizes the overlap needed is known, so a common shingle counts only if it stands early enough in
+    both. A shingle's most frequent component is not paired with itself: the others in its list meet all, so a shingle of
+    one great component costs as many pairs as the list has others.
     """
     known = postings.join(labels, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     sizes = known.groupBy("token", "comp").count()
     heads = sizes.groupBy("token").agg(F.max(F.struct("count", "comp")).alias("x"), F.count("*").alias("k")).where("k > 1")
     mixed = known.join(heads.select("token", F.col("x.comp").alias("head")), "token")
-    left = mixed.where("comp != head").select("token", F.col("sig").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("m").alias("ma"))
-    right = mixed.select("token", "head", F.col("sig").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("m").alias("mb"))
-    near = (100 * F.least("na", "nb") >= SIMILAR * F.greatest("na", "nb")) & (F.col("ca") != F.col("cb"))
-    met = left.join(right, "token").where(near & ((F.col("cb") == F.col("head")) | (F.col("a") < F.col("b"))))
-    pairs = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("k"), F.min(F.least("ma", "mb")).alias("m"))
+    named = lambda s: [F.col(c).alias(f"{c}{s}") for c in ("sig", "comp", "n", "m", "pos")]
+    left = mixed.where("comp != head").select("token", *named(1))
+    right = mixed.select("token", "head", *named(2))
+    overlap = F.ceil(SIMILAR * (F.col("n1") + F.col("n2")) / (100 + SIMILAR))
+    room = F.least("m1", "m2") - overlap
+    early = (F.col("pos1") <= F.col("n1") + room) & (F.col("pos2") <= F.col("n2") + room)
+    other = (F.col("comp1") != F.col("comp2")) & ((F.col("comp2") == F.col("head")) | (F.col("sig1") < F.col("sig2")))
+    met = left.join(right, "token").where(early & other)
+    pairs = met.groupBy(F.least("sig1", "sig2").alias("a"), F.greatest("sig1", "sig2").alias("b")).agg(F.count("*").alias("k"), F.min(F.least("m1", "m2")).alias("m"))
     return pairs.where("k >= m").select("a", "b")
 
 
@@ -218,7 +234,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rows = stored(profiles(docs), "join-profiles")
     classes = rows.where("tokens IS NOT NULL").groupBy("sig", "n").agg(F.min("doc_id").alias("low"), F.first("tokens").alias("tokens"), F.first("m").alias("m"), F.first("prefix").alias("prefix"))
     sets = stored(classes, "join-classes")
-    postings = stored(sets.select("sig", "n", "m", F.explode(F.slice("tokens", 1, F.col("prefix"))).alias("token")), "join-postings")
+    postings = stored(postings_of(sets), "join-postings")
     links = stored(verified(hub_pairs(postings), sets), "join-hub-links")
     first = stored(components(links), "join-hub-components")
     more = stored(verified(open_pairs(postings, first), sets), "join-open-links")
