@@ -3,14 +3,15 @@
 A document is its set of distinct five-word shingles. Shingles stand in one global order, rare ones first. If two sets
 are similar enough, the prefixes that hold all but (needed overlap - m) shingles of each share at least m shingles, for
 any m. Each document picks its own m: a longer prefix has more postings to read but leaves fewer candidates, and the
-frequencies of its shingles tell what each choice would cost. A pair is verified only if it shares as many prefix
-shingles as the smaller m of the two.
+frequencies of its shingles tell what each choice would cost. Sets are verified only if as many prefix shingles are
+shared as the smaller m of the two.
 
 Document frequencies come from packed hash lists (see ``exchange``), so shingles of one document only never leave their
 chunk, and a document with too few shared shingles is done there. Equal sets become one class. Classes are linked in two
-steps that end in the same components as all pairs would: first every class is verified against one hub, the smallest
-class it shares most prefix shingles with; then all pairs of classes that are still in different components. A group of
-thousands of near copies is so joined through hubs, not through its square.
+steps that end in the same components as all pairs would: first every class is verified against one hub, the class it
+shares most prefix shingles with among those with fewest of their own; then every class against the members of every
+other component it may have a link into. A group of thousands of near copies is so joined through hubs, and no pairs of a
+group are ever listed.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from trasvase.session import stored
 SHINGLE, SIMILAR, MOST_MATCHES = 5, 75, 8
 #: Cost of verifying a candidate, per shingle of the document, against the cost of reading one posting.
 VERIFY = 0.2
+#: Classes and members that meet in one cell, about.
+CELL = 512
 
 _SENT = "_range int, _chunk int, hashes binary, twice binary, counts binary"
 _ANSWER = "_chunk int, hashes binary, counts binary"
@@ -201,27 +204,76 @@ def hub_pairs(postings: DataFrame) -> DataFrame:
     return shared.groupBy("a").agg(F.max(F.struct("count", F.col("b"))).alias("x")).select("a", "x.b")
 
 
-def open_pairs(postings: DataFrame, labels: DataFrame) -> DataFrame:
-    """All candidate pairs of classes in different components.
+def reachable(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """(sig, comp): the classes that may have a link into a component that is not theirs.
 
-    Of two sets of given sizes the overlap needed is known, so a common shingle counts only if it stands early enough in
-    both. A shingle's most frequent component is not paired with itself: the others in its list meet all, so a shingle of
-    one great component costs as many pairs as the list has others.
+    Of two sets of given sizes the overlap needed is known: each must have as many shared shingles, and a common one
+    counts only if it stands early enough in both. A component stands in a shingle's list with one row a set size, by the
+    best of its members, and of two components the classes of the smaller meet the larger. So a list costs what its small
+    components need, not its square. A class must share m prefix shingles with members of one size.
     """
-    known = postings.join(labels, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
-    sizes = known.groupBy("token", "comp").count()
-    heads = sizes.groupBy("token").agg(F.max(F.struct("count", "comp")).alias("x"), F.count("*").alias("k")).where("k > 1")
-    mixed = known.join(heads.select("token", F.col("x.comp").alias("head")), "token")
-    named = lambda s: [F.col(c).alias(f"{c}{s}") for c in ("sig", "comp", "n", "m", "pos")]
-    left = mixed.where("comp != head").select("token", *named(1))
-    right = mixed.select("token", "head", *named(2))
+    whole = labels.groupBy("comp").agg(F.count("*").alias("size"))
+    known = postings.join(labels, "sig", "left").withColumn("comp", F.coalesce("comp", "sig")).join(whole, "comp", "left")
+    known = known.withColumns({"rank": F.struct(F.coalesce("size", F.lit(1)).alias("size"), "comp"), "shared": F.col("n") - F.col("alone")})
+    groups = known.groupBy("token", "rank", "n").agg(
+        F.max("shared").alias("shared"), F.min("pos").alias("pos"), F.max("m").alias("m"), F.min("m").alias("least")
+    )
+    heads = groups.groupBy("token").agg(F.max("rank").alias("head"), F.min("rank").alias("tail")).where("head != tail")
+    named = lambda s: [F.col(c).alias(f"{c}{s}") for c in ("rank", "n", "m", "shared", "pos")]
+    left = known.join(heads, "token").where("rank != head").select("token", "sig", *named(1))
+    right = groups.select("token", "least", *named(2))
     overlap = F.ceil(SIMILAR * (F.col("n1") + F.col("n2")) / (100 + SIMILAR))
     room = F.least("m1", "m2") - overlap
     early = (F.col("pos1") <= F.col("n1") + room) & (F.col("pos2") <= F.col("n2") + room)
-    other = (F.col("comp1") != F.col("comp2")) & ((F.col("comp2") == F.col("head")) | (F.col("sig1") < F.col("sig2")))
-    met = left.join(right, "token").where(early & other)
-    pairs = met.groupBy(F.least("sig1", "sig2").alias("a"), F.greatest("sig1", "sig2").alias("b")).agg(F.count("*").alias("k"), F.min(F.least("m1", "m2")).alias("m"))
-    return pairs.where("k >= m").select("a", "b")
+    enough = F.least("shared1", "shared2") >= overlap
+    met = left.join(right, "token").where(enough & early & (F.col("rank1") < F.col("rank2")))
+    met = met.groupBy("sig", F.col("rank2.comp").alias("comp"), "n2")
+    return met.agg(F.count("*").alias("k"), F.min(F.least("m1", "least")).alias("m")).where("k >= m").select("sig", "comp").distinct()
+
+
+def _meet(asked: pa.Table, held: pa.Table) -> pa.Table:
+    """For each asked set and component the most similar of the held members, if the two are a link."""
+    rows: list[tuple[int, int]] = []
+    if asked.num_rows and held.num_rows:
+        members, sizes, sigs = held["comp"].to_numpy(), held["n"].to_numpy(), held["sig"].to_numpy()
+        lists = held["tokens"].combine_chunks()
+        flat, edges = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+        owner = np.repeat(np.arange(len(edges)), edges)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        for sig, comp, n, own in zip(*(asked[c].to_pylist() for c in ("sig", "comp", "n")), asked["tokens"]):
+            tokens = own.values.to_numpy()
+            a, b = np.searchsorted(flat, tokens), np.searchsorted(flat, tokens, side="right")
+            found = np.concatenate([owner[x:y] for x, y in zip(a.tolist(), b.tolist())])
+            common = np.bincount(found, minlength=len(sizes)) * (members == comp)
+            union = n + sizes - common
+            best = int(np.argmax(common / union))
+            if common[best] and 100 * common[best] >= SIMILAR * union[best]:
+                rows.append((sig, int(sigs[best])))
+    return _table(rows, "a long, b long")
+
+
+def open_links(postings: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """A link (a, b) for each class and each other component it has links into, with at least one per pair of components.
+
+    Classes and the members of the components they may reach meet in cells of bounded size, each class with each block of
+    members; only links leave a cell.
+    """
+    reach = stored(reachable(postings, labels), "join-reach")
+    members = sets.join(labels, "sig", "left").select("sig", "n", "tokens", F.coalesce("comp", "sig").alias("comp"))
+    asked = reach.groupBy("comp").agg(F.count("*").alias("asked"))
+    size = members.groupBy("comp").agg(F.count("*").alias("size")).join(asked, "comp")
+    parts = stored(size.select("comp", F.ceil(F.col("asked") / CELL).alias("ways"), F.ceil(F.col("size") / CELL).alias("blocks")), "join-cells")
+    spread = F.pmod(F.xxhash64("comp"), F.lit(max(1, -(-reach.count() // CELL))))
+    deal = lambda c, k: F.pmod(F.xxhash64(c), F.col(k))
+    all_of = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.col(k) - 1))
+    names = ["cell", "way", "block", "comp", "sig", "n", "tokens"]
+    left = reach.join(parts, "comp").withColumns({"way": deal("sig", "ways"), "cell": spread}).withColumn("block", all_of("blocks"))
+    left = left.join(sets.select("sig", "n", "tokens"), "sig").select(*names).toDF(*names)
+    right = members.join(parts, "comp").withColumns({"block": deal("sig", "blocks"), "cell": spread}).withColumn("way", all_of("ways"))
+    right = right.select(*names).toDF(*names)
+    by = names[:3]
+    return left.groupBy(by).cogroup(right.groupBy(by)).applyInArrow(_meet, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -237,7 +289,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     postings = stored(postings_of(sets), "join-postings")
     links = stored(verified(hub_pairs(postings), sets), "join-hub-links")
     first = stored(components(links), "join-hub-components")
-    more = stored(verified(open_pairs(postings, first), sets), "join-open-links")
+    more = stored(open_links(postings, sets, first), "join-open-links")
     comps = components(links.union(more))
     ends = stored(sets.select("sig", "low").join(comps, "sig"), "join-ends")
     labels = ends.join(ends.groupBy("comp").agg(F.min("low").alias("component_id")), "comp").select("sig", "component_id")
