@@ -61,7 +61,7 @@ def test_ranking_and_photos_from_files(spark, tmp_path):
     with pytest.raises(ValueError):
         src.read_ranking(spark, [str(tmp_path / "none.csv")])
     photos = tmp_path / "photos.csv"
-    photos.write_text("EAN;Code Produit;Code Coloris;image\n1;10;2;http://x\n")
+    photos.write_text("Code Coloris;additional_image.$.url_1; ean ;Code Produit;other\n2;http://x;1;10;9\n")
     assert tuple(src.read_photos(spark, str(photos)).first()) == ("1", 10, 2, "http://x")
 
 
@@ -172,6 +172,6 @@ def test_profile_view_shows_listed_stores(spark):
     stores = spark.createDataFrame([(c, "G") for c in ("7", "801", "803")], "CODIGO_TIENDA string, CATEGORIA string")
     listed = spark.createDataFrame([("N", "C"), ("N", "C")], "NOMPRODUIT string, LIBCOLORIS string")
     shown = lambda *a: sorted((r.CODEMAGASIN, r.PERFIL) for r in kpis.kpi_profile_view(stock, sold, stores, listed, *a).collect())
-    assert shown() == [("801", "EMISOR"), ("803", "RECEPTOR")]
-    assert shown(None) == [("7", "EMISOR"), ("801", "EMISOR"), ("803", "RECEPTOR")]
+    assert shown(kpis.SHOWN_STORES) == [("801", "EMISOR"), ("803", "RECEPTOR")]
+    assert shown() == [("7", "EMISOR"), ("801", "EMISOR"), ("803", "RECEPTOR")]
     assert shown(src.code_list(spark, ["7"], "CODIGO_TIENDA")) == [("7", "EMISOR")]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trasvase.fixtures import SALES_AFTER, UNTIL, Given, travel_minutes
+from trasvase.fixtures import ASOF, Given, travel_minutes
 from trasvase.functions import sales as sales_fx
 from trasvase.operators import allocate as al
 from trasvase.operators import assortment as asm
@@ -38,7 +38,7 @@ def query(build: Callable[[Given], DataFrame]) -> Callable[[Given], DataFrame]:
 
 @query
 def sales_file_scope_query(g: Given) -> DataFrame:
-    inside = sales_file_scope(g.ventas_raw, "2001-09-03", UNTIL)
+    inside = sales_file_scope(g.ventas_raw, *weekly.sales_window(ASOF))
     country = sales_fx.country_of_file(F.col("ARCHIVO"))
     return inside.groupBy("ARCHIVO", country.alias("PAIS")).agg(F.count("*").alias("LINEAS"))
 
@@ -189,11 +189,11 @@ def sales_by_product(g: Given) -> DataFrame:
 
 @query
 def product_store_base(g: Given) -> DataFrame:
-    return kpis.product_store_base(g.stock, g.ventas, g.centros, g.productos)
+    return kpis.product_store_base(g.stock, g.recent, g.centros, g.productos)
 
 
 def _kpis(g: Given) -> DataFrame:
-    return kpis.store_product_kpis(g.stock, g.ventas, g.centros, g.productos)
+    return kpis.store_product_kpis(g.stock, g.recent, g.centros, g.productos)
 
 
 @query
@@ -230,7 +230,7 @@ def sales_by_name(g: Given) -> DataFrame:
 
 def _profile_view(g: Given) -> DataFrame:
     staffed = lookups.staffed_stores(g.centros)
-    return kpis.kpi_profile_view(g.stored_stock, g.ventas, g.centros, g.productos_procesar, staffed)
+    return kpis.kpi_profile_view(g.stored_stock, g.recent, g.centros, g.productos_procesar, staffed)
 
 
 @query
@@ -240,7 +240,7 @@ def kpi_profile_view(g: Given) -> DataFrame:
 
 @query
 def kpi_profile_legacy(g: Given) -> DataFrame:
-    return kpis.kpi_profile_legacy(g.stock, g.ventas, g.centros, g.productos_procesar)
+    return kpis.kpi_profile_legacy(g.stock, g.recent, g.centros, g.productos_procesar)
 
 
 # ---------------------------------------------------------------- checks
@@ -253,7 +253,7 @@ def sales_totals(g: Given) -> DataFrame:
 
 @query
 def sales_without_stock(g: Given) -> DataFrame:
-    return checks.sales_without_stock(g.ventas, g.stock.filter("TOTAL > 0"))
+    return checks.sales_without_stock(g.ventas, g.stock)
 
 
 @query
@@ -264,7 +264,7 @@ def sales_trim_match(g: Given) -> DataFrame:
 
 @query
 def sales_missing_from_profile(g: Given) -> DataFrame:
-    return checks.sales_missing_from_profile(g.ventas, g.stored_stock, g.productos_procesar, _profile_view(g))
+    return checks.sales_missing_from_profile(g.recent, g.stored_stock, g.productos_procesar, _profile_view(g))
 
 
 @query
@@ -305,7 +305,7 @@ def photo_lookup(g: Given) -> DataFrame:
 
 def _network(g: Given, stock: DataFrame | None = None) -> pairs.Network:
     held = g.stock if stock is None else stock
-    found = kpis.store_product_kpis(held, g.ventas, g.centros, g.productos)
+    found = kpis.store_product_kpis(held, g.recent, g.centros, g.productos)
     return pairs.build_network(found, held, travel_minutes)
 
 
@@ -465,7 +465,7 @@ def moves_history(g: Given) -> DataFrame:
 @query
 def weekly_moves(g: Given) -> DataFrame:
     inputs = weekly.Inputs(
-        sales=sales_file_scope(g.ventas_raw, SALES_AFTER, UNTIL),
+        sales=sales_file_scope(g.ventas_raw, *weekly.sales_window(ASOF)),
         stock_accounts=g.stock_cuentas,
         articles=g.articles,
         remote_products=g.remote_products,

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import datetime
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trasvase.operators.assortment import RANKING_COLUMNS, SHORT_SUPPLY
+from trasvase.operators.sales import sales_between
 from trasvase.operators.stock import stock_pivot, stock_position
+from trasvase.plans.weekly import sales_window
 from trasvase.session import stored
 
 # Schemas of the given tables in use, so that reading one does not first open its files to infer them.
@@ -24,7 +27,8 @@ TABLES = {
     ),
 }
 
-SALES_AFTER, STOCK_AFTER, UNTIL = "2001-07-09", "1999-01-05", "2001-10-01"
+#: Day of the run: the KPIs look back from its start.
+ASOF = datetime.date(2001, 10, 1)
 
 
 def travel_minutes(origin: Column, destination: Column) -> Column:
@@ -42,12 +46,6 @@ class Given:
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
-    def _lines(self, after: str) -> DataFrame:
-        day = F.col("l_shipdate")
-        return self._read("lineitem").filter(
-            (day > F.expr(f"TIMESTAMP_NTZ '{after} 00:00:00'")) & (day <= F.expr(f"TIMESTAMP_NTZ '{UNTIL} 00:00:00'"))
-        )
-
     @cached_property
     def centros(self) -> DataFrame:
         nation, region = self._read("nation"), self._read("region")
@@ -81,20 +79,26 @@ class Given:
 
     @cached_property
     def ventas(self) -> DataFrame:
-        return self._lines(SALES_AFTER).selectExpr(
+        """All sales; a line has a quantity sold or one returned, and the other is null."""
+        return self._read("lineitem").selectExpr(
             "CAST(l_suppkey AS STRING) AS CODIGO_TIENDA",
             "CAST(l_partkey AS STRING) AS EAN",
             "l_shipdate AS FECHA_HORA",
-            "CASE WHEN l_returnflag <> 'R' THEN CAST(ceil(l_quantity / 10) AS INT) ELSE 0 END AS VENTA_DIRECTA",
-            "CASE WHEN l_returnflag = 'R' THEN -CAST(ceil(l_quantity / 10) AS INT) ELSE 0 END AS DEVOLUCION",
+            "CASE WHEN l_returnflag <> 'R' THEN CAST(ceil(l_quantity / 10) AS INT) END AS VENTA_DIRECTA",
+            "CASE WHEN l_returnflag = 'R' THEN -CAST(ceil(l_quantity / 10) AS INT) END AS DEVOLUCION",
             "round(l_extendedprice * (1 - l_discount), 2) AS IMPORTE",
         )
 
+    @cached_property
+    def recent(self) -> DataFrame:
+        """Sales of the weeks the KPIs look at."""
+        return sales_between(self.ventas, *sales_window(ASOF))
+
     @cached_property
     def ventas_raw(self) -> DataFrame:
         """Sales lines as a sales file has them: text, missing hours, impossible minutes, labels without digits."""
         returned = "l_returnflag = 'R'"
-        return self._lines(SALES_AFTER).selectExpr(
+        return self._read("lineitem").selectExpr(
             "date_format(l_shipdate, 'dd/MM/yyyy') AS FECHA",
             "CASE WHEN l_linenumber <> 7 THEN CAST((l_orderkey * 7) % 24 * 100 + l_partkey % 70 AS STRING) END AS HORA",
             "CASE WHEN l_suppkey % 17 = 16 THEN 'SIN CODIGO' ELSE ' TDA ' || lpad(CAST(l_suppkey AS STRING), 5, '0') END AS TIENDA",
@@ -113,10 +117,11 @@ class Given:
 
     @cached_property
     def stock_cuentas(self) -> DataFrame:
-        return self._lines(STOCK_AFTER).selectExpr(
+        """Stock by account; account 7 is none of those the job looks at, so some articles have no stock row."""
+        return self._read("lineitem").selectExpr(
             "CAST(l_suppkey AS STRING) AS CODEMAGASIN",
             "CAST(l_partkey AS STRING) AS CODEINTERNEARTICLE",
-            "CASE WHEN l_linenumber <= 5 THEN 1 WHEN l_linenumber = 6 THEN 2 ELSE 10 END AS CODECPTSTOCKMAG",
+            "CASE l_linenumber WHEN 5 THEN 7 WHEN 6 THEN 2 WHEN 7 THEN 10 ELSE 1 END AS CODECPTSTOCKMAG",
             "CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * CAST(ceil(l_quantity / 20) AS INT) AS QTEENSTOCK",
             "l_shipdate AS DATEMODIFICATION",
             "l_shipdate - make_dt_interval(l_linenumber) AS DATECREATION",

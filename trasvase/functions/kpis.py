@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WEEKS = 4.0
+#: Weeks of sales the KPIs look at: the window of a run and the divisor of the weekly speed.
+WEEKS = 4
 NO_SALES_COVER = 999
 RECEIVER_MAX_COVER = 10
 
@@ -26,7 +27,7 @@ def net_units() -> Column:
 
 
 def weekly_speed(sold: Column) -> Column:
-    return sold / F.lit(WEEKS)
+    return sold / F.lit(float(WEEKS))
 
 
 def working_speed(sold: Column) -> Column:

@@ -117,7 +117,7 @@ def kpi_order(kpis: DataFrame) -> DataFrame:
 
 NAME_KEYS = ["NOMPRODUIT", "LIBCOLORIS"]
 
-# The stores the view shows unless told otherwise.
+# The stores the view shows when it is asked for these.
 SHOWN_STORES = ["801", "803", "805", "806", "832", "840", "845", "857", "869", "1782", "1933", "2020", "2094"]
 
 
@@ -161,7 +161,7 @@ def kpi_profile_view(
     sales: DataFrame,
     stores: DataFrame,
     to_process: DataFrame,
-    shown: list[str] | DataFrame | None = SHOWN_STORES,
+    shown: list[str] | DataFrame | None = None,
 ) -> DataFrame:
     """The KPI table keyed by names, for products to process.
 

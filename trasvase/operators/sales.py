@@ -72,3 +72,9 @@ def sales_scope(sales: DataFrame, stores: DataFrame, eans: DataFrame) -> DataFra
     return sales.join(stores.select("CODIGO_TIENDA"), "CODIGO_TIENDA", "left_semi").join(
         eans.select("EAN"), "EAN", "left_semi"
     )
+
+
+def sales_between(sales: DataFrame, after: str, until: str, moment: str = "FECHA_HORA") -> DataFrame:
+    """Sales of a window of days: ``after`` excluded, ``until`` included to its first moment."""
+    at = F.col(moment)
+    return sales.filter((at > F.lit(after).cast("timestamp_ntz")) & (at <= F.lit(until).cast("timestamp_ntz")))

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trasvase.functions.kpis import WEEKS
 from trasvase.operators import allocate as al
 from trasvase.operators.assortment import assortment
 from trasvase.operators.digests import receive_html, send_html
@@ -21,7 +22,7 @@ from trasvase.session import stored
 from trasvase.sinks import tables as sink
 from trasvase.sources.sales_files import read_sales_files
 
-SALES_WINDOW = datetime.timedelta(weeks=4)
+SALES_WINDOW = datetime.timedelta(weeks=WEEKS)
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,7 @@ import functools
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -38,15 +38,12 @@ def list_sales_files(spark: SparkSession, folders: Sequence[str], after: str, un
 
 
 def _delimited(spark: SparkSession) -> DataFrameReader:
-    return spark.read.option("sep", ";").option("header", "true").option("ignoreCorruptFiles", "true")
+    return spark.read.option("sep", ";").option("header", "true")
 
 
 def file_header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of one file, from its first line; none when it is empty or cannot be read."""
-    try:
-        return tuple(_delimited(spark).csv(path).columns)
-    except PySparkException:
-        return ()
+    """Column names of one file, from its first line; none when it is empty. A file that cannot be read is an error."""
+    return tuple(_delimited(spark).csv(path).columns)
 
 
 def read_sales_files(spark: SparkSession, folders: Sequence[str], after: str, until: str) -> DataFrame | None:

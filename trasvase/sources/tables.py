@@ -11,6 +11,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from trasvase.schemas import FOTOS_PRODUCTOS, conform
 
+# Headings of a photo sheet.
+PHOTO_HEADINGS = {"EAN": "EAN", "Code Produit": "CODEPRODUIT", "Code Coloris": "CODECOLORIS",
+                  "additional_image.$.url_1": "URL_FOTO"}
+
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None) -> DataFrame:
     """``;``-separated file with a header, matched to ``schema`` by column name."""
@@ -44,9 +48,14 @@ def read_ranking(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def read_photos(spark: SparkSession, path: str) -> DataFrame:
-    """Photo sheet as ``;`` CSV: EAN, product code, colour code and photo address, in that order."""
+    """Photo sheet as ``;`` CSV: four columns by their headings, whatever their order or case."""
     sheet = read_delimited(spark, path)
-    return conform(sheet.select(*sheet.columns[:4]).toDF(*FOTOS_PRODUCTOS.names), FOTOS_PRODUCTOS)
+    found = {name.strip().upper(): name for name in sheet.columns}
+    missing = [head for head in PHOTO_HEADINGS if head.upper() not in found]
+    if missing:
+        raise ValueError(f"photo sheet without {', '.join(missing)}")
+    chosen = [sheet[f"`{found[head.upper()]}`"].alias(name) for head, name in PHOTO_HEADINGS.items()]
+    return conform(sheet.select(*chosen), FOTOS_PRODUCTOS)
 
 
 def read_remote(
