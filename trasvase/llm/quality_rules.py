@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from trasvase.llm.words import SPACE, ascii_lower, words
 
-#: Hash buckets of the two multinomials; pseudo-counts each bucket starts with.
+#: Hash buckets of the two multinomials; trusted n-grams added to the seen and to the expected count of each bucket.
 BUCKETS = 10_000
-PRIOR = 1.0
+PRIOR = 5.0
 #: Mean log ratio below which a document is refused.
 THRESHOLD = -0.15
 #: A document fails the base rules with fewer words, or more percent of them in repeated windows.
@@ -99,8 +99,8 @@ def log_ratios(corpus: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS
         raw[row["b"]], good[row["b"]] = row["raw"], row["good"]
     if not sum(good):
         return [0.0] * buckets
-    whole = math.log((sum(raw) + PRIOR * buckets) / (sum(good) + PRIOR * buckets))
-    return [round(math.log((g + PRIOR) / (r + PRIOR)) + whole, 4) for g, r in zip(good, raw)]
+    part = sum(good) / sum(raw)
+    return [round(math.log((g + PRIOR) / (r * part + PRIOR)), 4) for g, r in zip(good, raw)]
 
 
 def likelihood_ratio(docs: DataFrame, ratios: list[float]) -> DataFrame:

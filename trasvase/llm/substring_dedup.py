@@ -16,6 +16,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,7 +41,8 @@ def _chunk_words(table: pa.Table) -> list[np.ndarray]:
 
 def _in_order(table: pa.Table) -> pa.Table:
     """Rows by doc_id (null first), then text, so that the first occurrence does not depend on the dealing out."""
-    return table.sort_by([("doc_id", "ascending"), ("text", "ascending")]) if table.num_rows else table
+    keys = [("doc_id", "ascending"), ("text", "ascending")]
+    return table.take(pc.sort_indices(table, sort_keys=keys, null_placement="at_start"))
 
 
 def _windows(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[int]]:

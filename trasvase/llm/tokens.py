@@ -16,7 +16,7 @@ import unicodedata
 import numpy as np
 
 #: Pieces a worker remembers at most.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 #: Not plain: apostrophes and underscores (they join words in some patterns), odd spaces, a letter whose small form is two
 #: characters, and all beyond Latin.

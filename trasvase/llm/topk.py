@@ -55,12 +55,12 @@ def approximation_file(vectors: DataFrame, k: int) -> tuple[DataFrame, DataFrame
 def _scan(k: int):
     def scan(file: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         """Entries of the block that may be among a query's k best: query_id, key, upper, lower."""
-        out = []
+        out = [(np.zeros(0, np.int64), np.zeros(0, object), np.zeros(0), np.zeros(0))]
         if len(file) and len(asked):
             low = np.array([g["lo"] for g in file["g"].iloc[0]], np.float64)
             step = np.array([g["step"] for g in file["g"].iloc[0]], np.float64)
             base = low + np.stack(file["cells"].to_numpy()).astype(np.float64) * step
-            keys = file["key"].to_numpy()
+            keys = np.array(file["key"].tolist(), object)
             ids = asked["query_id"].to_numpy()
             q = np.stack(asked["v"].to_numpy()).astype(np.float64)
             spread = (step - 1) * np.abs(q)
@@ -70,8 +70,8 @@ def _scan(k: int):
                 lower, upper = mid - down[at : at + 256, None], mid + up[at : at + 256, None]
                 mark = np.partition(lower, -min(k + 1, lower.shape[1]), axis=1)[:, -min(k + 1, lower.shape[1])]
                 row, col = np.nonzero(upper >= mark[:, None])
-                out.append(pd.DataFrame({"query_id": ids[at + row], "key": keys[col], "upper": upper[row, col], "lower": lower[row, col]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "key": [], "upper": [], "lower": []})
+                out.append((ids[at + row], keys[col], upper[row, col], lower[row, col]))
+        return pd.DataFrame(dict(zip(("query_id", "key", "upper", "lower"), map(np.concatenate, zip(*out)))))
 
     return scan
 
