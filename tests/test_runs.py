@@ -11,7 +11,7 @@ from trasvase.operators import digests
 from trasvase.plans import weekly
 from trasvase.schemas import MOVIMIENTOS
 from trasvase.sinks import tables as sink
-from trasvase.sources.tables import code_list, read_delimited
+from trasvase.sources.tables import code_list, read_delimited, read_move_sheet
 
 ASOF = datetime.date(2025, 1, 29)
 
@@ -109,6 +109,16 @@ def test_publish_and_history(done, spark, tmp_path):
     assert page.startswith("<html>") and page.rstrip().endswith("</html>")
     assert "1 referencias" in page and "3 unidades" in page and "805 - CINCO" in page and 'href="http://x/1.jpg"' in page
     assert Path(root, "run_date=2025-01-29", "a_enviar", "CENTRO=805").exists()
+    assert sink.table(spark, tables, "productos_procesar").select("CODEPRODUIT", "SEMANAS_COBERTURA").collect() == (
+        run.candidates.select("CODEPRODUIT", "SEMANAS_COBERTURA").collect()
+    )
+
+    whole = read_move_sheet(spark, f"{root}/run_date=2025-01-29/movimientos")
+    assert whole.collect() == run.moves.collect() and whole.dtypes == run.moves.dtypes
+    again = f"{root}/again"
+    sink.write_delimited(whole.filter("APORTE > 3"), f"{root}/checked")  # the only move is deleted from the sheet
+    weekly.digests_from_sheet(spark, f"{root}/checked", again, ASOF)
+    assert not list(Path(again).glob("*/a_recibir/CENTRO=*"))
 
     day = f"{root}/run_date=2025-01-29"
     assert read_delimited(spark, f"{day}/export_ventas").count() == 5

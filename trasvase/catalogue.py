@@ -19,6 +19,7 @@ from trasvase.schemas import VENTAS_FICHERO, conform
 from trasvase.session import scratch_path, stored
 from trasvase.sinks import tables as sink
 from trasvase.sources.sales_files import sales_file_scope
+from trasvase.sources.tables import PHOTO_HEADINGS, code_list, read_delimited, read_move_sheet, read_photos, read_ranking
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -303,10 +304,10 @@ def photo_lookup(g: Given) -> DataFrame:
 # ---------------------------------------------------------------- pairs and allocation
 
 
-def _network(g: Given, stock: DataFrame | None = None) -> pairs.Network:
+def _network(g: Given, stock: DataFrame | None = None, distance: pairs.Distance = travel_minutes) -> pairs.Network:
     held = g.stock if stock is None else stock
     found = kpis.store_product_kpis(held, g.recent, g.centros, g.productos)
-    return pairs.build_network(found, held, travel_minutes)
+    return pairs.build_network(found, held, distance)
 
 
 def _allocation(g: Given, limits: al.Limits = al.Limits()) -> al.Allocation:
@@ -354,6 +355,23 @@ def transfer_allocation_tight(g: Given) -> DataFrame:
     return al.transfer_allocation(_network(g), TIGHT).drop("ORDEN_RECEPTOR")
 
 
+@query
+def candidate_pairs_routes(g: Given) -> DataFrame:
+    return pairs.candidate_pairs(_network(g, g.stored_stock, g.distancias), g.centros)
+
+
+@query
+def transfer_allocation_routes(g: Given) -> DataFrame:
+    network = _network(g, g.stored_stock, stored(g.distancias, "routes"))
+    return al.transfer_allocation(network, al.Limits()).drop("ORDEN_RECEPTOR")
+
+
+@query
+def rejected_pairs_routes(g: Given) -> DataFrame:
+    network = _network(g, g.stored_stock, stored(g.distancias, "routes"))
+    return al.rejected_pairs(al.pair_outcomes(al.allocate(network)))
+
+
 @query
 def move_table(g: Given) -> DataFrame:
     return _moves(g)
@@ -443,12 +461,74 @@ def receive_totals(g: Given) -> DataFrame:
 
 @query
 def digest_receive(g: Given) -> DataFrame:
-    return digests.digest_receive(_moves(g))
+    return digests.digest_receive(stored(_moves(g), "moves"))
 
 
 @query
 def digest_html(g: Given) -> DataFrame:
-    return digests.digest_html(_moves(g))
+    return digests.digest_html(stored(_moves(g), "moves"))
+
+
+# ---------------------------------------------------------------- written and read again
+
+
+@query
+def move_sheet(g: Given) -> DataFrame:
+    root = scratch_path(g.spark, "sheet")
+    sink.write_run(_moves(g), root, RUN_DATES[1])
+    return read_move_sheet(g.spark, f"{root}/run_date={RUN_DATES[1].isoformat()}")
+
+
+@query
+def digest_from_sheet(g: Given) -> DataFrame:
+    """Digests from one sheet of all senders, after the moves of one unit were deleted from it."""
+    sheet, checked = scratch_path(g.spark, "sheet"), scratch_path(g.spark, "checked")
+    sink.write_delimited(_moves(g), sheet)
+    sink.write_delimited(read_delimited(g.spark, sheet).filter("APORTE <> '1'"), checked)
+    return digests.digest_html(read_move_sheet(g.spark, checked))
+
+
+@query
+def stock_table(g: Given) -> DataFrame:
+    root = scratch_path(g.spark, "tables")
+    sink.refresh(g.stock, root, "stock")
+    return sink.table(g.spark, root, "stock")
+
+
+@query
+def products_to_process(g: Given) -> DataFrame:
+    root = scratch_path(g.spark, "tables")
+    sink.refresh(asm.assortment_candidates(asm.ranking_clean(g.ranking_sheet)), root, "productos_procesar")
+    return sink.table(g.spark, root, "productos_procesar")
+
+
+@query
+def ranking_files(g: Given) -> DataFrame:
+    """The ranking delivered as one text sheet and one Parquet sheet."""
+    root = scratch_path(g.spark, "ranking")
+    sheet = g.ranking_sheet.select(*[F.col(f"`{name}`").cast("string").alias(name.strip()) for name in g.ranking_sheet.columns])
+    first = F.col("`Code coloris`") == "0"
+    sink.write_delimited(sheet.filter(first), f"{root}/a.csv")
+    sheet.filter(~first).write.parquet(f"{root}/b.parquet")
+    return asm.assortment_candidates(asm.ranking_clean(read_ranking(g.spark, [f"{root}/a.csv", f"{root}/b.parquet"])))
+
+
+@query
+def photo_sheet(g: Given) -> DataFrame:
+    """The photo sheet with its columns in another order and one that is not asked for."""
+    path = scratch_path(g.spark, "photos")
+    heads = {name: head for head, name in PHOTO_HEADINGS.items()}
+    sheet = g.fotos_productos.select(F.lit("x").alias("Note"), *[F.col(name).alias(heads[name]) for name in reversed(g.fotos_productos.columns)])
+    sink.write_delimited(sheet, path)
+    return read_photos(g.spark, path)
+
+
+@query
+def profile_of_listed(g: Given) -> DataFrame:
+    """The profile view of stores named in a list."""
+    shown = code_list(g.spark, [str(n) for n in range(1, 14)], "CODIGO_TIENDA")
+    view = kpis.kpi_profile_view(g.stored_stock, g.recent, g.centros, g.productos_procesar, shown)
+    return view.select("CODEMAGASIN", "NOMPRODUIT", "LIBCOLORIS", "PERFIL")
 
 
 @query

@@ -193,6 +193,15 @@ class Given:
             "'https://img.invalid/' || CAST(CODEPRODUIT AS STRING) || '-' || CAST(CODECOLORIS AS STRING) || '.jpg' AS URL_FOTO",
         )
 
+    @cached_property
+    def distancias(self) -> DataFrame:
+        """Routes between stores of one cluster; between clusters there is none."""
+        origin = self.centros.select("CLUSTER", F.col("CODIGO_TIENDA").alias("CODIGO_ORIGEN"))
+        destination = self.centros.select("CLUSTER", F.col("CODIGO_TIENDA").alias("CODIGO_DESTINO"))
+        minutes = travel_minutes(F.col("CODIGO_ORIGEN"), F.col("CODIGO_DESTINO"))
+        routes = origin.join(destination, "CLUSTER").withColumn("DISTANCIA_MINUTOS", minutes)
+        return routes.drop("CLUSTER").filter(F.col("DISTANCIA_MINUTOS").isNotNull())
+
     @cached_property
     def articles(self) -> DataFrame:
         return self._read("part").selectExpr(

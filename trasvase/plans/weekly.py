@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trasvase.functions.kpis import WEEKS
 from trasvase.operators import allocate as al
-from trasvase.operators.assortment import assortment
+from trasvase.operators.assortment import assortment, assortment_candidates, ranking_clean
 from trasvase.operators.digests import receive_html, send_html
 from trasvase.operators.kpis import store_product_kpis
 from trasvase.operators.lookups import staffed_stores
@@ -21,6 +21,7 @@ from trasvase.operators.stock import stock_full
 from trasvase.session import stored
 from trasvase.sinks import tables as sink
 from trasvase.sources.sales_files import read_sales_files
+from trasvase.sources.tables import read_move_sheet
 
 SALES_WINDOW = datetime.timedelta(weeks=WEEKS)
 
@@ -50,6 +51,7 @@ class Run:
     kpis: DataFrame
     allocation: al.Allocation
     moves: DataFrame
+    candidates: DataFrame | None = None
 
 
 def sales_window(asof: datetime.date) -> tuple[str, str]:
@@ -83,31 +85,45 @@ def run(inputs: Inputs, products: DataFrame, stores: DataFrame, limits: al.Limit
     kpis = stored(store_product_kpis(stock, sales, inputs.stores, products), "kpis")
     network = build_network(kpis, stock, inputs.distance, products, inputs.max_pairs)
     allocation = al.allocate(network, limits)
-    return Run(products, all_sales, sales, stock, kpis, allocation, al.move_table(allocation, stock, inputs.photos, inputs.stores))
+    moves = stored(al.move_table(allocation, stock, inputs.photos, inputs.stores), "moves")
+    return Run(products, all_sales, sales, stock, kpis, allocation, moves)
 
 
 def weekly_run(inputs: Inputs, ranking_sheet: DataFrame, limits: al.Limits = al.Limits()) -> Run:
     """The batch run: products from the ranking sheet, all stores with staff."""
     products = stored(assortment(ranking_sheet, inputs.articles), "products")
-    return run(inputs, products, staffed_stores(inputs.stores), limits)
+    done = run(inputs, products, staffed_stores(inputs.stores), limits)
+    return replace(done, candidates=assortment_candidates(ranking_clean(ranking_sheet)))
+
+
+def write_digests(moves: DataFrame, day: str) -> None:
+    sink.write_digest(send_html(moves), f"{day}/a_enviar")
+    sink.write_digest(receive_html(moves), f"{day}/a_recibir")
+
+
+def digests_from_sheet(spark: SparkSession, sheet: str, root: str, asof: datetime.date) -> None:
+    """Write a run's digests anew from its move sheet, after moves were deleted from it."""
+    write_digests(read_move_sheet(spark, sheet), f"{root}/run_date={asof.isoformat()}")
 
 
 def publish(done: Run, root: str, asof: datetime.date, stuck: bool = False) -> None:
-    """Refresh the tables of a run, archive its moves, and write its sheet, digests, log and exports under its date."""
+    """Refresh the tables of a run, archive its moves, and write its sheets, digests, log and exports under its date."""
     day = f"{root}/run_date={asof.isoformat()}"
     for name, df in (
         ("productos", done.products),
         ("ventas", done.sales),
         ("stock", done.stock),
         ("stock_ventas_centro", done.kpis),
+        ("productos_procesar", done.candidates),
     ):
-        sink.refresh(df, f"{root}/tables", name)
+        if df is not None:
+            sink.refresh(df, f"{root}/tables", name)
     sink.archive_moves(sink.published_moves(done.moves), f"{root}/tables", asof)
     sink.write_run(done.moves, f"{root}/moves", asof)
+    sink.write_delimited(done.moves, f"{day}/movimientos")
     sink.write_delimited(done.all_sales, f"{day}/export_ventas")
     sink.write_delimited(done.sales, f"{day}/export_ventas_filtradas")
-    sink.write_digest(send_html(done.moves), f"{day}/a_enviar")
-    sink.write_digest(receive_html(done.moves), f"{day}/a_recibir")
+    write_digests(done.moves, day)
     outcomes = stored(al.pair_outcomes(done.allocation), "outcomes")
     flags = al.size_coverage_flag(done.allocation, done.stock, outcomes)
     sink.write_delimited(al.allocation_log(done.allocation, outcomes, flags, done.products), f"{day}/log")

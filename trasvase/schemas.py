@@ -35,7 +35,12 @@ PRODUCTOS = _struct(
     ("NOMPRODUIT", S), ("LIBCOLORIS", S), ("CODEBARRES", S), ("CODEINTERNEARTICLE", S),
 )
 
-PRODUCTOS_PROCESAR = PRODUCTOS
+PRODUCTOS_PROCESAR = _struct(
+    ("TEMPORADA", S), ("COLLECTION", S), ("FAMILIA", S), ("CODEPRODUIT", I), ("CODECOLORIS", I),
+    ("NOMPRODUIT", S), ("LIBCOLORIS", S),
+    ("SEMANAS_IMPLANTACION", I), ("CANTIDAD_VENDIDA", I), ("SEMANAS_COBERTURA", I),
+    ("CANTIDAD_DISPONIBLE_CENTROS", I), ("CANTIDAD_DISPONIBLE_ALMACENES", I),
+)
 
 STOCK = _struct(
     ("CODEMAGASIN", S), ("NOMPRODUIT", S), ("CODEINTERNEARTICLE", S), ("CODEPRODUIT", I), ("LIBCOLORIS", S),
@@ -83,6 +88,12 @@ MOVIMIENTOS = _struct(
     ("URL_FOTO", S),
 )
 
+HOJA_MOVIMIENTOS = _struct(
+    ("EMISOR", S), ("NOMBRE_EMISOR", S), ("RECEPTOR", S), ("NOMBRE_RECEPTOR", S), ("NOMBRE_PRODUCTO", S), ("COLOR", S),
+    ("TALLAS", S), ("CODIGO_PRODUCTO", I), ("CODIGO_COLOR", I), ("STOCK_INICIAL_RECEPTOR", L), ("STOCK_ANTES", L),
+    ("APORTE", L), ("STOCK_DESPUES", L), ("COBERTURA_ANTES", I), ("COBERTURA_DESPUES", I), ("URL_FOTO", S),
+)
+
 MOVIMIENTOS_HISTORICO = StructType(
     [StructField("RUN_DATE", DateType(), True), StructField("ANO_ISO", I, True), StructField("SEMANA", I, True)]
     + MOVIMIENTOS.fields

@@ -7,9 +7,10 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from trasvase.schemas import FOTOS_PRODUCTOS, conform
+from trasvase.schemas import FOTOS_PRODUCTOS, HOJA_MOVIMIENTOS, conform
 
 # Headings of a photo sheet.
 PHOTO_HEADINGS = {"EAN": "EAN", "Code Produit": "CODEPRODUIT", "Code Coloris": "CODECOLORIS",
@@ -47,6 +48,12 @@ def read_ranking(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return stack_by_name(sheets)
 
 
+def read_move_sheet(spark: SparkSession, path: str) -> DataFrame:
+    """A move sheet, as written or after moves were deleted from it by hand. A value of another type is an error."""
+    sheet = read_delimited(spark, path)
+    return sheet.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in HOJA_MOVIMIENTOS.fields])
+
+
 def read_photos(spark: SparkSession, path: str) -> DataFrame:
     """Photo sheet as ``;`` CSV: four columns by their headings, whatever their order or case."""
     sheet = read_delimited(spark, path)
