@@ -377,6 +377,40 @@ def test_ngram_join_of_a_large_group(spark, chunks, monkeypatch):
     assert as_bag(found) == plain_components(rows)
 
 
+def plain_links(rows):
+    sets = []
+    for _, t in rows:
+        words = WORD.findall((t or "").translate({i: i + 32 for i in range(65, 91)}))
+        sets.append(frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4)) or (frozenset([tuple(words)]) if words else frozenset()))
+    count = [0] * len(rows)
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+            count[a] += 1
+            count[b] += 1
+    return as_bag((doc, len(s), n) for (doc, _), s, n in zip(rows, sets, count)), len({s for s in sets if s})
+
+
+def test_ngram_join_counts_every_link(spark, texts, chunks):
+    rows = ngram_join.jaccard_links(texts).collect()
+    expected, classes = plain_links(pairs_of(texts))
+    assert as_bag((r.doc_id, r.n_shingles, r.n_links) for r in rows) == expected
+    assert len({r.class_id for r in rows} - {None}) == classes
+    assert as_bag((r.doc_id, r.n_shingles, r.component_id) for r in rows) == plain_components(pairs_of(texts))
+
+
+def test_ngram_join_counts_links_inside_a_large_group(spark, chunks, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CELL", 16)
+    base, rows = prose(150).split(), []
+    for i in range(160):
+        words = base[:]
+        for _ in range(DRAW.choice([0, 1, 2, 3, 4, 5, 6])):
+            words[DRAW.randrange(150)] = f"n{DRAW.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    found = ngram_join.jaccard_links(frame(spark, rows)).collect()
+    assert as_bag((r.doc_id, r.n_shingles, r.n_links) for r in found) == plain_links(rows)[0]
+    assert ngram_join.jaccard_links(frame(spark).limit(0)).count() == 0
+
+
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.jaccard_components(frame(spark).limit(0)).count() == 0
 

@@ -11,7 +11,8 @@ chunk, and a document with too few shared shingles is done there. Equal sets bec
 steps that end in the same components as all pairs would: first every class is verified against one hub, the class it
 shares most prefix shingles with among those with fewest of their own; then every class against the members of every
 other component it may have a link into. A group of thousands of near copies is so joined through hubs, and no pairs of a
-group are ever listed.
+group are ever listed. Where the number of links of each document is asked for too, all classes of a component then meet in
+cells, and a cell hands on one number a class.
 """
 
 from __future__ import annotations
@@ -276,27 +277,89 @@ def open_links(postings: DataFrame, sets: DataFrame, labels: DataFrame) -> DataF
     return left.groupBy(by).cogroup(right.groupBy(by)).applyInArrow(_meet, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
-
-    ``component_id`` is the smallest doc_id reachable by links, its own included. Null and empty texts have no shingle
-    and no link. Rows with one doc_id are documents of their own; a null doc_id counts as larger than all others, and a
-    component of such rows only has none. Other columns are ignored.
-    """
+def _joined(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of ``docs`` (doc_id, n, sig), classes (sig, n, copies, tokens, ...) and (sig, comp) of classes with a link."""
     rows = stored(profiles(docs), "join-profiles")
-    classes = rows.where("tokens IS NOT NULL").groupBy("sig", "n").agg(F.min("doc_id").alias("low"), F.first("tokens").alias("tokens"), F.first("m").alias("m"), F.first("prefix").alias("prefix"))
+    classes = rows.where("tokens IS NOT NULL").groupBy("sig", "n").agg(
+        F.min("doc_id").alias("low"), F.count("*").alias("copies"), F.first("tokens").alias("tokens"), F.first("m").alias("m"), F.first("prefix").alias("prefix")
+    )
     sets = stored(classes, "join-classes")
     postings = stored(postings_of(sets), "join-postings")
     links = stored(verified(hub_pairs(postings), sets), "join-hub-links")
     first = stored(components(links), "join-hub-components")
     more = stored(open_links(postings, sets, first), "join-open-links")
-    comps = components(links.union(more))
+    return rows, sets, components(links.union(more))
+
+
+def _labelled(rows: DataFrame, sets: DataFrame, comps: DataFrame) -> DataFrame:
+    """``rows`` without tokens, with component_id (null: the row's own id)."""
     ends = stored(sets.select("sig", "low").join(comps, "sig"), "join-ends")
     labels = ends.join(ends.groupBy("comp").agg(F.min("low").alias("component_id")), "comp").select("sig", "component_id")
     alone = sets.join(comps, "sig", "left_anti").select("sig", F.col("low").alias("component_id"))
-    found = rows.drop("tokens").join(stored(labels.union(alone), "join-labels"), "sig", "left")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return rows.drop("tokens").join(stored(labels.union(alone), "join-labels"), "sig", "left")
+
+
+def _count_links(table: pa.Table) -> pa.Table:
+    """Per set of a cell the copies of the sets in it that it has a link to; within a block, or between two blocks."""
+    comps, sizes, blocks, copies = [table[c].to_numpy() for c in ("comp", "n", "block", "copies")]
+    across = table["low"][0].as_py() != table["high"][0].as_py()
+    lists = table["tokens"].combine_chunks()
+    flat, edges = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+    owner = np.repeat(np.arange(len(edges)), edges)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    rows = []
+    for at, (sig, own) in enumerate(zip(table["sig"].to_pylist(), table["tokens"])):
+        tokens = own.values.to_numpy()
+        a, b = np.searchsorted(flat, tokens), np.searchsorted(flat, tokens, side="right")
+        common = np.bincount(np.concatenate([owner[x:y] for x, y in zip(a.tolist(), b.tolist())]), minlength=len(sizes))
+        linked = (comps == comps[at]) & (100 * common >= SIMILAR * (sizes[at] + sizes - common))
+        linked &= blocks != blocks[at] if across else np.arange(len(sizes)) != at
+        if linked.any():
+            rows.append((sig, int(copies[linked].sum())))
+    return _table(rows, "sig long, links long")
+
+
+def class_links(sets: DataFrame, comps: DataFrame) -> DataFrame:
+    """(sig, links): for every class with a link the documents of other classes it has a link to.
+
+    All links of a class are in its component. The classes of a component are dealt into blocks, and each block meets itself
+    and each other block once, in a cell of bounded size; a cell gives one number a class, whatever the number of links.
+    """
+    ways = comps.groupBy("comp").agg(F.ceil(F.count("*") / CELL).alias("ways"))
+    cells = max(1, -(-comps.count() // CELL))
+    each = sets.select("sig", "n", "copies", "tokens").join(comps.join(ways, "comp"), "sig")
+    each = each.withColumns({"block": F.pmod(F.xxhash64("sig"), F.col("ways")), "cell": F.pmod(F.xxhash64("comp"), F.lit(cells))})
+    each = each.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ways") - 1)))
+    each = each.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("ways", "other")
+    found = each.groupBy("cell", "low", "high").applyInArrow(_count_links, "sig long, links long")
+    return found.groupBy("sig").agg(F.sum("links").alias("links"))
+
 
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
+
+    ``component_id`` is the smallest doc_id reachable by links, its own included. Null and empty texts have no shingle
+    and no link. Rows with one doc_id are documents of their own; a null doc_id counts as larger than all others, and a
+    component of such rows only has none. Other columns are ignored.
+    """
+    return _labelled(*_joined(docs)).select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def jaccard_links(docs: DataFrame) -> DataFrame:
+    """``jaccard_components`` with class_id, one number for all rows of equal sets, and n_links.
+
+    ``n_links`` is the number of other rows whose sets are similar enough, equal sets included. ``class_id`` is null for a
+    row without shingles.
+    """
+    rows, sets, comps = _joined(docs)
+    comps = stored(comps, "join-components")
+    others = class_links(sets, comps)
+    links = sets.join(others, "sig", "left").select("sig", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    found = _labelled(rows, sets, comps).join(stored(links, "join-links-of-classes"), "sig", "left")
+    return found.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.when(F.col("n") > 0, F.col("sig")).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+    )
 
 
 def keep_first(docs: DataFrame) -> DataFrame:

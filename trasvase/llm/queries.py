@@ -57,6 +57,10 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, folder, "documents"))
 
 
+def op10_ngram_join_links(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_links(table(spark, folder, "documents")).drop("class_id")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -70,6 +74,7 @@ QUERIES: dict[str, Query] = {
         op8_quality_classifier,
         op9_source_mix,
         op10_ngram_join,
+        op10_ngram_join_links,
     )
 }
 
@@ -163,3 +168,9 @@ reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.low AS component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id""",
 }
+
+ORACLES["op10_ngram_join_links"] = f"""
+{ORACLES["op10_ngram_join"].rpartition("SELECT d.doc_id")[0]}
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.low AS component_id, coalesce(w.n_links, 0)::BIGINT AS n_links
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT a, count(*) AS n_links FROM ways GROUP BY a) w ON w.a = d.doc_id
+JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id"""
