@@ -32,8 +32,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents by the target weights of their sources; one row for each epoch a document is taken in."""
-    return mixing.mix_sources(docs).drop("_mix")
+    """Documents by the target weights of their sources, as many tokens as came in; one row for each epoch a document is taken in."""
+    return mixing.mix_sources(docs, mixing.WHOLE).drop("_mix")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

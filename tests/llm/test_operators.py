@@ -449,6 +449,14 @@ def test_mix_edges(spark):
     assert mixing.mix_sources(docs.limit(0)).count() == 0
 
 
+def test_pipeline_mix_hands_out_all_tokens(spark):
+    rows = [(i, prose(50), ["en", "de", "fr", "es"][i % 4], f"src{i // 4 % 8}", 0) for i in range(640)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.mixed(spark, docs, SMALL).collect()
+    assert 640 - 32 - 2 <= len(out) <= 640  # each leaf may lose part of a document, rounding less than two in all
+    assert max(collections.Counter(r.doc_id for r in out).values()) == 2
+
+
 # ---------------------------------------------------------------- registered queries and pipeline
 
 

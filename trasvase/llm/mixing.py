@@ -13,7 +13,7 @@ sorted as a whole, and documents only meet a small table of leaves: no text is s
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,12 +37,14 @@ class Mix:
     seed: int = 20
 
 
-#: The mix of the query and of the pipeline.
+#: The mix of the query.
 PRODUCTION = Mix(
     domain={"web": 4, "news": 3, "books": 2, "code": 1},
     lang={"en": 5, "de": 2, "fr": 2, "es": 2},
     source={"src0": 2, "src1": 3},
 )
+#: The mix of the pipeline: the same weights over as many tokens as there are.
+WHOLE = replace(PRODUCTION, part=(1, 1))
 
 
 def domain_of(source: Column) -> Column:
