@@ -103,6 +103,23 @@ def test_likelihood_ratio(spark):
     assert quality_rules.quality_rules(docs.limit(0), labels(spark).select("doc_id")).count() == 0
 
 
+def test_every_trusted_document_counts(spark):
+    known = spark.range(30_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    assert quality_rules.trusted_sample(known).count() == 30_000
+    docs = known.selectExpr("doc_id", "concat('w', doc_id % 300) AS text").union(spark.range(30_000, 30_300).selectExpr("id", "concat('z', id % 300)"))
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    ratios = quality_rules.log_ratios(docs, quality_rules.trusted_sample(known), 50)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with ids too many to broadcast
+        assert quality_rules.log_ratios(docs, quality_rules.trusted_sample(known), 50) == ratios
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    buckets = docs.withColumn("_w", F.array("text")).select("doc_id", F.explode(quality_rules._grams("_w", 50)).alias("b")).collect()
+    raw, good = collections.Counter(r.b for r in buckets), collections.Counter(r.b for r in buckets if r.doc_id < 30_000)
+    part = 30_000 / 30_300
+    assert ratios == [round(math.log((good[b] + 5) / (raw[b] * part + 5)), 4) for b in range(50)]
+
+
 # ---------------------------------------------------------------- 2 URL filter
 
 URLS = [

@@ -3,7 +3,8 @@
 A text is a bag of hashed word unigrams and bigrams. Two multinomials over the hash buckets are counted, one over
 trusted texts and one over the whole corpus; a document's score is the mean log ratio of the two over its n-grams, and
 every document below a fixed threshold is refused. All of it is DataFrame expressions: the counts are one partial
-aggregate to at most ``buckets`` rows, the ratios one constant array of that length, and no text is ever shuffled.
+aggregate to at most ``buckets`` rows, the ratios one constant array of that length. Texts are shuffled only if the ids of
+all trusted documents are too many for Spark to broadcast, and then once, to be flagged.
 """
 
 from __future__ import annotations
@@ -23,8 +24,6 @@ PRIOR = 5.0
 THRESHOLD = -0.15
 #: A document fails the base rules with fewer words, or more percent of them in repeated windows.
 LEAST_WORDS, MOST_REPEATED, WINDOW = 10, 20, 5
-#: Trusted documents used at most, chosen by a hash of their id.
-TRUSTED = 20_000
 
 
 def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -81,13 +80,12 @@ def _grams(w: str, buckets: int) -> Column:
 def log_ratios(corpus: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """Log of trusted share over raw share, by bucket: ``buckets`` numbers, whatever the size of the corpus.
 
-    ``corpus`` (doc_id, text) is counted whole. ``trusted_ids`` (doc_id) must be bounded: it is broadcast. With no
-    trusted document, or an empty corpus, every ratio is 0. Ratios are rounded, so they do not depend on how rows were
-    dealt out.
+    ``corpus`` (doc_id, text) and ``trusted_ids`` (doc_id) are counted whole, whatever their size. With no trusted
+    document, or an empty corpus, every ratio is 0. Ratios are rounded, so they do not depend on how rows were dealt out.
     """
-    known = F.broadcast(trusted_ids.select(F.col("doc_id").alias("_t")).distinct())
-    flagged = corpus.select("doc_id", words(ascii_lower(F.col("text"))).alias("_w"))
-    flagged = flagged.join(known, F.col("doc_id") == F.col("_t"), "left").select("_w", F.col("_t").isNotNull().cast("long").alias("_y"))
+    known = trusted_ids.select(F.col("doc_id").alias("_t")).distinct()
+    flagged = corpus.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_t"), "left")
+    flagged = flagged.select(words(ascii_lower(F.col("text"))).alias("_w"), F.col("_t").isNotNull().cast("long").alias("_y"))
     counts = (
         flagged.select("_y", F.explode(_grams("_w", buckets)).alias("b"))
         .groupBy("b")
@@ -125,7 +123,6 @@ def quality_rules(docs: DataFrame, trusted_ids: DataFrame, threshold: float = TH
     )
 
 
-def trusted_sample(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
-    """Ids of at most ``most`` documents labelled good, the first by a hash of the id."""
-    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+def trusted_sample(labels: DataFrame) -> DataFrame:
+    """Ids of all documents labelled good."""
+    return labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
