@@ -283,6 +283,25 @@ def test_toxicity(spark):
     assert toxicity.classify(frame(spark).limit(0), known).count() == 0
 
 
+def test_tokens_are_whole_words_and_pieces_of_runs():
+    assert toxicity.tokens_of("A loser, lose\u2019 \u00c9t\u00e9; LOSES") == ["a", "loser", "lose", "\u00c9t\u00e9", "loses"]
+    assert toxicity.tokens_of("\u4f60\u597d\u5417\u3002\u597d ok\u0e01\u0e02\u0e03 \U0001f600\U0001f600") == [
+        "\u4f60\u597d", "\u597d\u5417", "\u597d", "ok", "\u0e01\u0e02", "\u0e02\u0e03", "\U0001f600", "\U0001f600"
+    ]
+    assert toxicity.tokens_of(None) == []
+
+
+def test_toxicity_of_words_with_one_beginning_and_of_text_without_spaces(spark):
+    draw, signs = random.Random(6), [chr(0x4E00 + i) for i in range(80)]
+    rows = [(i, prose(30, draw) + (" loser loser " if i % 4 == 0 else " lose loses ") + prose(30, draw)) for i in range(200)]
+    for i in range(200, 400):
+        text = draw.choices(signs, k=60)
+        rows.append((i, "".join(text[:40]) + ("\u5783\u573e\u5e9f\u7269" if i % 4 == 0 else "") + "".join(text[40:])))
+    out = {r.doc_id: r.predicted for r in toxicity.classify(frame(spark, rows), labels(spark, [(i, 1, int(i % 4 == 0)) for i, _ in rows])).collect()}
+    assert sum(p == (i % 4 == 0) for i, p in out.items() if i < 200) >= 195
+    assert sum(p == (i % 4 == 0) for i, p in out.items() if i >= 200) >= 195
+
+
 # ---------------------------------------------------------------- 8 quality classifier
 
 

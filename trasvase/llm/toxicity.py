@@ -29,14 +29,27 @@ SAMPLE, TOKENS, LEAST, PART = 20_000, 100_000, 3, 4
 #: exceed by ``EFFECT``; drift per token; largest score of a token.
 LEAST_PRIOR, PRIOR, ERRORS, EFFECT, DRIFT, TOP = 0.5, 100.0, 2.5, 1.0, 0.25, 8.0
 
-#: A token is the start of a word, so that forms of one word count together.
-STEM = 4
-_TOKEN = re.compile("([a-z\x80-\U0010ffff]{1,%d})[a-z\x80-\U0010ffff]*" % STEM)
-_SQL_TOKEN = r"([a-z\x{80}-\x{10FFFF}]{1,%d})[a-z\x{80}-\x{10FFFF}]*" % STEM
+#: Letters of scripts that put no space between words; signs that stand alone; letters of all other scripts. Other signs and
+#: spaces separate.
+_RUN = (
+    "\u0e00-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u2e80-\u2fdf\u3005-\u3007"
+    "\u3021-\u302f\u3031-\u312f\u31a0-\u4dbf\u4e00-\ua4cf\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+_SIGN = "\u2190-\u2bff\U0001f000-\U0001faff"
+_LETTER = (
+    "a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u0dff\u10a0-\u167f\u1681-\u177f\u1800-\u194f\u19e0-\u1a1f\u1ab0-\u1fff\u200c\u200d"
+    "\u2071\u207f\u2090-\u209c\u20d0-\u20f0\u2100-\u2189\u2c00-\u2dff\u3130-\u318f\ua4d0-\ud7ff\ufb00-\ufdff\ufe20-\ufe2f"
+    "\ufe70-\ufefe\uff21-\uff3a\uff41-\uff5a\uffa0-\uffdc\U00010000-\U0001cfff\U0001d400-\U0001d7ff\U0001df00-\U0001efff"
+)
+_OTHER = re.compile(f"[{_RUN}{_SIGN}]")
+_WORD = re.compile(f"[{_LETTER}]+")
+_TOKEN = re.compile(f"(?=([{_RUN}]{{2}}|(?<![{_RUN}])[{_RUN}]|[{_SIGN}]|[{_LETTER}]+))(?:[{_LETTER}]+|[{_RUN}{_SIGN}])")
 
 
 def tokens_of(text: str | None) -> list[str]:
-    return _TOKEN.findall((text or "").encode().lower().decode())
+    """Whole words; in a run of a script without spaces every two characters that follow each other; single signs."""
+    lower = (text or "").encode().lower().decode()
+    return (_WORD if lower.isascii() or not _OTHER.search(lower) else _TOKEN).findall(lower)
 
 
 @dataclass(frozen=True)
@@ -124,8 +137,12 @@ def background_rate(scores: dict[str, float], counts: pd.DataFrame) -> float:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Model from at most ``sample`` labelled training documents; counts come to the driver for ``TOKENS`` tokens at most."""
     some = training_sample(docs, labels, "toxic", sample).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PART)))
-    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    tokens = some.where("part > 0").select("y", F.explode(F.array_distinct(F.regexp_extract_all(lower, F.lit(_SQL_TOKEN), F.lit(1)))).alias("token"))
+
+    @F.pandas_udf("array<string>")
+    def held(texts: pd.Series) -> pd.Series:
+        return pd.Series([list(set(tokens_of(x))) for x in texts], dtype=object)
+
+    tokens = some.where("part > 0").select("y", F.explode(held("text")).alias("token"))
     counts = tokens.groupBy("token").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("other"))
     counts = counts.where(F.col("toxic") + F.col("other") >= LEAST)
     counts = counts.orderBy((F.col("toxic") + F.col("other")).desc(), "token").limit(TOKENS).toPandas()
