@@ -521,3 +521,59 @@ def test_pipeline(spark):
     whole = {(r.doc_id, r.doc_tokens) for r in pieces}
     assert sum(r.length for r in pieces) >= sum(n for _, n in whole)
     assert {r.doc_id for r in pieces} == {r.doc_id for r in docs.collect()}
+
+
+def test_pipeline_rows_after_every_stage(spark, tmp_path, chunks):
+    draw = random.Random(9)
+    passage, rows = prose(25, draw), []
+    for i in range(200):
+        text = prose(60, draw) if i % 5 else " ".join(w.upper() + "!!" for w in prose(60, draw).split())
+        if i % 5 and i % 7 == 0:
+            text = prose(40, draw) + " " + passage + " " + prose(40, draw)
+        if i % 5 in (2, 4) and i % 3 == 0:
+            text = rows[-1][1] + " and more"
+        rows.append((i, text, ["en", "de"][i % 2], f"src{i % 6}", len(text), 0.5, "k", "w"))
+    spark.createDataFrame(rows, SHAPE).write.parquet(f"{tmp_path}/documents.parquet")
+    labels(spark, [(i, int(i % 5 > 0), 0) for i in range(200)]).write.parquet(f"{tmp_path}/labels.parquet")
+
+    good = [(r[0], r[1]) for r in rows if r[0] % 5]
+    low = plain_component_of(good)
+    first = [(i, t) for i, t in good if low[i] == i]
+    seen, cut = set(), []
+    for i, t in first:
+        words = t.split()
+        gone = [False] * len(words)
+        for p in range(len(words) - 19):
+            window = tuple(words[p : p + 20])
+            if window in seen:
+                gone[p : p + 20] = [True] * 20
+            seen.add(window)
+        cut.append((i, " ".join(w for w, g in zip(words, gone) if not g)))
+    assert len(good) > len(first) and first != cut
+
+    docs, expected = spark.read.parquet(f"{tmp_path}/documents.parquet"), [good, first, cut]
+    before = {r[0]: r for r in rows}
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        path = f"{tmp_path}/stage-{k}"
+        stage(spark, docs, str(tmp_path)).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if k < 3:
+            whole = [(i, t, *before[i][2:4], len(t), *before[i][5:]) for i, t in expected[k]]
+            assert as_bag(docs.collect()) == as_bag(whole), name
+    con = compare.duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/stage-2/*.parquet')")
+    mix = con.execute(f"SELECT doc_id FROM ({queries._mix_sql(mixing.WHOLE)})").fetchall()
+    held = dict(cut)
+    assert as_bag(pairs_of(docs)) == as_bag((i, held[i]) for (i,) in mix)
+
+    tokens = collections.Counter()
+    for i, t in pairs_of(docs):
+        tokens[i] += len(whole_ids(WORDS, t)) + 1
+    packed = collections.Counter()
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        packed[r.doc_id] += r.length
+    assert packed == tokens
+
+
+def plain_component_of(rows):
+    return {doc: low for doc, _, low in plain_components(rows)}
