@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trasvase.llm import mixing, ngram_join, packing, quality_classifier, quality_rules, substring_dedup, topk, toxicity, url_filter, wavelet
+from trasvase.llm import (
+    alignment, lexical, mixing, ngram_join, packing, quality_classifier, quality_rules, shuffling, substring_dedup, topk, toxicity, url_filter, wavelet,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +63,18 @@ def op10_ngram_join_links(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_links(table(spark, folder, "documents")).drop("class_id")
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_uniform_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return shuffling.shard_rows(spark, f"{folder}/documents.parquet")
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -75,6 +89,9 @@ QUERIES: dict[str, Query] = {
         op9_source_mix,
         op10_ngram_join,
         op10_ngram_join_links,
+        op11_lexical_search,
+        op12_uniform_shards,
+        op13_token_alignment,
     )
 }
 
@@ -174,3 +191,25 @@ ORACLES["op10_ngram_join_links"] = f"""
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.low AS component_id, coalesce(w.n_links, 0)::BIGINT AS n_links
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT a, count(*) AS n_links FROM ways GROUP BY a) w ON w.a = d.doc_id
 JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id"""
+
+ORACLES["op11_lexical_search"] = r"""
+WITH words AS (
+    SELECT row_number() OVER () AS d, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+    FROM documents),
+held AS (SELECT d, doc_id, len(ws) AS n, ws FROM words WHERE len(ws) > 0),
+corpus AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM held),
+asked AS (
+    SELECT i, item_id, term, count(*) AS times
+    FROM (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+          FROM benchmark)
+    GROUP BY i, item_id, term),
+found AS (SELECT d, doc_id, n, term, count(*) AS tf FROM (SELECT d, doc_id, n, unnest(ws) AS term FROM held) GROUP BY d, doc_id, n, term),
+rare AS (SELECT term, count(*) AS df FROM found GROUP BY term),
+impacts AS (
+    SELECT d, doc_id, term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))) AS impact
+    FROM found JOIN rare USING (term), corpus WHERE term IN (SELECT term FROM asked)),
+scored AS (SELECT i, item_id, d, doc_id, sum(impact * times)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY i, item_id, d, doc_id)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 20"""

@@ -2,41 +2,98 @@
 
 A tokenizer never merges across the places where its own pattern splits, so a text's ids are those of its pieces, one after
 the other. Pieces are cut only at places that every pattern here splits: around white space, and in plain Latin text also
-between letters or digits and other signs. Texts with unusual spaces or combining marks are encoded whole.
+between letters or digits and other signs. Texts with unusual spaces or combining marks, and texts that hold the string of
+a special token where those count, are encoded whole.
 """
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import sys
 import types
 import unicodedata
+from array import array
+from collections.abc import Callable, Collection, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces a worker remembers at most.
-REMEMBERED = 1_000_000
+#: Bytes of memory a worker's remembered pieces may take for a tokenizer, about; longest piece that is remembered.
+REMEMBERED_BYTES, LONGEST = 32 << 20, 64
+#: Of it, what one piece takes beside its characters and ids.
+_EACH = 150
+#: Text handled at once, in bytes.
+SLICE_BYTES = 4 << 20
 
 #: Not plain: apostrophes and underscores (they join words in some patterns), odd spaces, a letter whose small form is two
 #: characters, and all beyond Latin.
-_NOT_PLAIN = re.compile("['_\x1c-\x1f\x85\xa0\u0130]|[^\x00-\u024f]")
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_NOT_PLAIN = re.compile("['_\x1c-\x1f\x85\xa0İ]|[^\x00-ɏ]")
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 _SPACED = (re.compile(r"\s*\w+|\s*[^\w\s]+|\s+"), re.compile(r"\s*\S+|\s+"))
 _BARE = (re.compile(r"\w+|[^\w\s]+"), re.compile(r"\S+"))
+#: One space and then something: the piece stays apart from what stands before it.
+_APART = re.compile(r" \S")
+_LINES = re.compile(r"[ ]*[^ \n]+|[ ]+|\n+")
+
+
+class Remembered:
+    """Ids of pieces, encoded once while they are remembered. When they take too much, those not met again are forgotten."""
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
+        self.encode, self.known, self.again, self.size = encode, {}, set(), 0
+
+    def __call__(self, pieces: list[str]) -> np.ndarray:
+        distinct = set(pieces)
+        new = list(distinct.difference(self.known))
+        if new:
+            ids = self.encode(new)
+            self.known.update(zip(new, ids))
+            self.size += self._size(new, ids)
+        found = np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), np.uint16)
+        long = [piece for piece in new if len(piece) > LONGEST]
+        if long:
+            self.size -= self._size(long, [self.known.pop(piece) for piece in long])
+        self.again.update(distinct.difference(new))
+        if self.size > REMEMBERED_BYTES:
+            self.known = {piece: self.known[piece] for piece in self.again}
+            self.size = self._size(self.known, self.known.values())
+            self.again = set()
+            if 2 * self.size > REMEMBERED_BYTES:
+                self.known, self.size = {}, 0
+        return found
+
+    @staticmethod
+    def _size(pieces: Collection[str], ids: Collection[bytes]) -> int:
+        return sum(map(len, pieces)) + sum(map(len, ids)) + _EACH * len(pieces)
+
+
+def _as_bytes(ids: list[int]) -> bytes:
+    return array("H", ids).tobytes()
 
 
 class Encoder:
-    """Ids of texts by one tokenizer file; ids must be below 65,536."""
+    """Ids of texts by one file of the tokenizers library; ids must be below 65,536.
 
-    def __init__(self, path: str):
+    Strings of special tokens inside a text give their ids, as the library does, or are ordinary text if ``plain``.
+    """
+
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = plain
+        added = [] if plain else [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, added))) if added else None
         self.spaced = self.tokenizer.normalizer is None  # else white space is dropped and case folded
-        self.known: dict[str, bytes] = {}
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.lengths = np.zeros(max(names.values(), default=-1) + 1, np.int64)  # bytes: a letter of a byte-level token each
+        for name, i in names.items():
+            self.lengths[i] = len(name.removesuffix("</w>"))
+        self.pieces_of = Remembered(self._ids)
 
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
@@ -44,18 +101,31 @@ class Encoder:
         pieces = self.pieces(text)
         if pieces is None:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16)
-        new = set(pieces).difference(self.known)
-        if new:
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-                new = set(pieces)
-            ask = list(new)
-            for piece, found in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False)):
-                self.known[piece] = np.array(found.ids, np.uint16).tobytes()
-        return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), np.uint16)
+        return self.pieces_of(pieces)
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece. Pieces that stay apart in one text are encoded as one, which costs less, and told apart by their bytes."""
+        joined = "".join(pieces) if self.spaced else " ".join(pieces)
+        if all(map(_APART.match, pieces)) if self.spaced else True:
+            (found,) = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)
+            ids = np.array(found.ids, np.uint16)
+            ends = np.cumsum([len(piece) if piece.isascii() else len(piece.encode()) for piece in pieces])
+            token_ends = np.cumsum(self.lengths[ids])
+            at = np.searchsorted(token_ends, ends)
+            if len(ids) and at[-1] == len(ids) - 1 and (token_ends[at] == ends).all():
+                data, stops = ids.tobytes(), (2 * (at + 1)).tolist()
+                return [data[a:b] for a, b in zip([0, *stops], stops)]
+        elif len(pieces) > 1:
+            apart = {piece for piece in pieces if _APART.match(piece)}
+            found = iter(self._ids([piece for piece in pieces if piece in apart])) if apart else iter(())
+            rest = iter(self.tokenizer.encode_batch_fast([piece for piece in pieces if piece not in apart], add_special_tokens=False))
+            return [next(found) if piece in apart else _as_bytes(next(rest).ids) for piece in pieces]
+        return [_as_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def pieces(self, text: str) -> list[str] | None:
         """The pieces of a text, or None if it must be encoded whole."""
+        if self.special and self.special.search(text):
+            return None
         if not _NOT_PLAIN.search(text):
             return _SPACED[0].findall(text) if self.spaced else _BARE[0].findall(text.lower())
         if _ODD_SPACE.search(text) or not (self.spaced or unicodedata.is_normalized("NFC", text)):
@@ -63,9 +133,76 @@ class Encoder:
         return (_SPACED if self.spaced else _BARE)[1].findall(text)
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizer file; it lives as long as the worker."""
-    held = sys.modules.setdefault("_worker_encoders", types.ModuleType("_worker_encoders")).__dict__
-    if path not in held:
-        held[path] = Encoder(path)
-    return held[path]
+class PieceEncoder:
+    """Ids of texts by one file of the sentencepiece library, which puts a space before a text.
+
+    If no piece of its vocabulary goes on after a space or a line end, texts are cut there.
+    """
+
+    def __init__(self, path: str):
+        from sentencepiece import SentencePieceProcessor
+
+        self.model = SentencePieceProcessor(model_file=path)
+        names = [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
+        self.cut = not any("\n" in name or "▁" in name.lstrip("▁") for name in names)
+        self.before_line = len(self.model.encode("\n"))  # ids of the space put first and of a line end
+        self.pieces_of = Remembered(lambda new: [_as_bytes(self._piece(x)) for x in new])
+
+    def _piece(self, piece: str) -> list[int]:
+        """Ids of a piece as it stands inside a text."""
+        if piece == " ":
+            return [self.model.piece_to_id("▁")]
+        return self.model.encode(piece[1:]) if piece[0] == " " else self.model.encode("\n" + piece)[self.before_line :]
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        if not text:
+            return np.zeros(0, np.uint16)
+        if not self.cut or "▁" in text or _NOT_PLAIN.search(text) and _ODD_SPACE.search(text):
+            return np.array(self.model.encode(text), np.uint16)
+        return self.pieces_of(_LINES.findall(" " + text))
+
+
+def held_by_worker(kind: type, *args):
+    """The worker's one object of a kind for these arguments; it lives as long as the worker."""
+    held = sys.modules.setdefault("_worker_objects", types.ModuleType("_worker_objects")).__dict__
+    key = f"{kind.__name__} {args}"
+    if key not in held:
+        held[key] = kind(*args)
+    return held[key]
+
+
+def encoder(path: str, plain: bool = False) -> Encoder:
+    return held_by_worker(Encoder, path, plain)
+
+
+def piece_encoder(path: str) -> PieceEncoder:
+    return held_by_worker(PieceEncoder, path)
+
+
+def line_of(texts: pa.ChunkedArray, encode: Encoder, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts one after the other, each followed by ``end``, and how many each has with it. One text at a time."""
+    ids, lengths = array("H"), []
+    for text in texts:
+        found = encode(text.as_py())
+        ids.frombytes(found.tobytes())
+        ids.append(end)
+        lengths.append(len(found) + 1)
+    return np.frombuffer(ids, np.uint16), np.array(lengths, np.int64)
+
+
+def give_back() -> None:
+    """Hands memory that a group has freed back to the system, so that a reused worker does not keep its largest group's."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows of about ``most`` bytes of a column; a longer value is alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        done = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + most, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
