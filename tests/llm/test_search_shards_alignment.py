@@ -252,7 +252,8 @@ def test_pieces_give_the_ids_of_whole_texts():
     draw = random.Random(6)
     odd = ["".join(draw.choices([*ODD, " the", ",", " x1y", "É", "ǆ", " I'LL"], k=draw.randint(0, 12))) for _ in range(4000)] + [prose(300), ""]
     model = SentencePieceProcessor(model_file=B)
-    assert all(tokens.PieceEncoder(B)(t).tolist() == model.encode(t) for t in odd)
+    encode = tokens.PieceEncoder(B)
+    assert all(encode(t).tolist() == model.encode(t) for t in odd)
     for path in (A, public_tokenizers.path("word_bpe_49k.json")):
         for plain in (False, True):
             encode, whole = tokens.Encoder(path, plain), Tokenizer.from_file(path)
@@ -260,13 +261,17 @@ def test_pieces_give_the_ids_of_whole_texts():
             assert all(encode(t).tolist() == whole.encode(t, add_special_tokens=False).ids for t in odd)
 
 
+def test_a_million_spaces():
+    assert len(alignment.ByteLevel(A)(" " * 1_500_000)) == len(tokens.Encoder(A, True)(" " * 1_500_000))
+
+
 def test_remembered_pieces_stay_within_their_bytes(monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED_BYTES", 40_000)
     asked = []
     held = tokens.Remembered(lambda new: asked.extend(new) or [bytes([len(p) % 256, 0]) for p in new])
     for k in range(300):
         pieces = ["the", "and", "x" * 100, *(f"{k}-{j}" for j in range(20))]
-        assert held(pieces).tolist() == [len(p) % 256 for p in pieces]
+        assert held([pieces])[0].tolist() == [len(p) % 256 for p in pieces]
         assert held.size <= 40_000 and "x" * 100 not in held.known
     assert asked.count("the") < 10
 

@@ -10,19 +10,22 @@ counts and compared. The second pass aligns the documents again and looks the co
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
+import tiktoken
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
 
 from trasvase.llm import exchange as ex
-from trasvase.llm.tokens import encoder, held_by_worker, piece_encoder, slices
+from trasvase.llm.tokens import PieceEncoder, Remembered, encoder, give_back, held_by_worker, slices
 from trasvase.session import stored
 
 #: Buckets of pairs, by A id: all pairs of an id are in one, and none can have more than its ids times the B vocabulary.
@@ -30,7 +33,9 @@ BUCKETS = 64
 #: Tasks whose vectors are added at once; pairs looked up in one pass, 13 bytes each in a worker and as many for the hash.
 FAN, LOOKED_UP = 16, 2_000_000
 #: Pairs a task holds before it adds them up; token ids turned to text at once.
-HELD, AT_ONCE = 2_000_000, 1 << 18
+HELD, AT_ONCE = 1_000_000, 1 << 18
+#: Bytes of A ids aligned at once.
+ALIGNED_BYTES = 1 << 20
 
 _BYTE, _SPACE = "<0x%02X>", "▁"
 
@@ -54,31 +59,70 @@ def byte_level_tokens(path: str) -> list[bytes]:
     return found
 
 
-def piece_tokens(path: str) -> list[bytes]:
+def piece_tokens(model: SentencePieceProcessor) -> list[bytes]:
     """Bytes of each id of a vocabulary of pieces."""
-    model = piece_encoder(path).model
     single = {_BYTE % b: bytes([b]) for b in range(256)}
     names = [model.id_to_piece(i) for i in range(model.vocab_size())]
     return [single[name] if name in single and model.is_byte(i) else name.replace(_SPACE, " ").encode() for i, name in enumerate(names)]
 
 
+class ByteLevel:
+    """Ids of whole texts by a byte-level file, as ordinary text, by its merges as ranks, which is the same and faster."""
+
+    def __init__(self, path: str):
+        self.whole, self.tokens = encoder(path, True).tokenizer, byte_level_tokens(path)
+        model = json.loads(self.whole.to_str())["model"]
+        merged = ["".join(pair.split(" ") if isinstance(pair, str) else pair) for pair in model["merges"]]
+        first = len(model["vocab"]) - len(merged)
+        if any(model["vocab"][token] != first + k for k, token in enumerate(merged)):
+            raise ValueError("ids do not follow the order of the merges")
+        ranks = {self.tokens[i]: i for i in model["vocab"].values()}
+        self.ranked = tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def __call__(self, text: str) -> np.ndarray:
+        try:
+            return self.ranked.encode_to_numpy(text).astype(np.uint16)
+        except ValueError:  # its pattern gives up on a million spaces in a row
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint16)
+
+
 class Tables:
     """Both vocabularies as bytes, and the length of each token."""
 
     def __init__(self, a: str, b: str):
-        self.encode_a, self.encode_b = encoder(a, True), piece_encoder(b)
-        self.bytes_a, self.bytes_b = byte_level_tokens(a), piece_tokens(b)
-        self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
-
-    def ids(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of both; none if the bytes of either are not those of the text after a space."""
+        self.encode_a, self.encode_b = ByteLevel(a), PieceEncoder(b)
+        self.bytes_b = piece_tokens(self.encode_b.model)
+        self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.encode_a.tokens, self.bytes_b))
+        self.pieces_of = Remembered(self._noted)
+        self.odd: set[str] = set()
+
+    def _noted(self, pieces: list[str]) -> list[bytes]:
+        """B ids of pieces; those whose bytes are not given back are noted."""
+        found = self.encode_b.ids(pieces)
+        if self._joined(b"".join(found)) != "".join(pieces).encode():
+            self.odd.update(piece for piece, ids in zip(pieces, found) if self._joined(ids) != piece.encode())
+        return found
+
+    def _joined(self, ids: bytes) -> bytes:
+        return b"".join(map(self.bytes_b.__getitem__, np.frombuffer(ids, np.uint16).tolist()))
+
+    def ids(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of both for each text; none if the bytes of either are not those of the text after a space."""
         none = np.zeros(0, np.uint16)
-        if not text:
-            return none, none
-        whole = " " + text
-        a, b, expected = self.encode_a(whole), self.encode_b(text), whole.encode()
-        same = all(b"".join(map(t.__getitem__, ids.tolist())) == expected for t, ids in ((self.bytes_a, a), (self.bytes_b, b)))
-        return (a, b) if same else (none, none)
+        cut = [self.encode_b.pieces(text) if text else [] for text in texts]
+        held = iter(self.pieces_of([pieces for pieces in cut if pieces is not None]))
+        out = []
+        for text, pieces in zip(texts, cut):
+            whole = (" " + text).encode() if text else b""
+            a = self.encode_a(" " + text) if text else none
+            b = next(held) if pieces is not None else self.encode_b.whole(text)
+            same = int(self.length_a[a].sum()) == len(whole)  # A tokens are parts of the text
+            if pieces is None or self.odd and not self.odd.isdisjoint(pieces):
+                same = same and self._joined(b.tobytes()) == whole
+            out.append((a, b) if same else (none, none))
+        self.pieces_of.forget([piece for piece in self.odd if piece in self.pieces_of.known])
+        self.odd.clear()
+        return out
 
 
 def tables(a: str, b: str) -> Tables:
@@ -103,11 +147,11 @@ class Aligned:
         at_a[self.ends_a], at_b[self.ends_b] = True, True
         self.both = at_a & at_b
         ends = np.flatnonzero(at_a | at_b)  # each is the end of what one A and one B token share
-        before_a, before_b = np.cumsum(at_a) - at_a, np.cumsum(at_b) - at_b
-        self.keys = a[before_a[ends]].astype(np.uint32) << np.uint32(16) | b[before_b[ends]]
+        token_a, token_b = (np.cumsum(at, dtype=np.int32)[ends] - at[ends] for at in (at_a, at_b))
+        self.keys = a[token_a].astype(np.uint32) << np.uint32(16) | b[token_b]
         doc_ends = np.concatenate([[0], self.ends_a])[np.cumsum(n_a)]
         self.n_links = np.diff(np.searchsorted(ends, doc_ends, side="right"), prepend=0)
-        groups = np.cumsum(self.both)
+        groups = np.cumsum(self.both, dtype=np.int32)
         self.n_groups = np.diff(groups[doc_ends], prepend=0)
         self.group_of = groups - self.both  # of the token that ends here
 
@@ -232,7 +276,7 @@ def _encode(a: str, b: str):
         t = tables(a, b)
         for batch in batches:
             for rows in slices(batch):
-                ids = [t.ids(x.as_py()) for x in rows["text"]]
+                ids = t.ids(rows["text"].to_pylist())
                 yield pa.record_batch({"doc_id": rows["doc_id"], "a": _column([x for x, _ in ids]), "b": _column([y for _, y in ids])})
 
     return encode
@@ -250,7 +294,7 @@ def _count(a: str, b: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, keys, counts, size = tables(a, b), [], [], 0
         for batch in batches:
-            for rows in slices(batch, "a"):
+            for rows in slices(batch, "a", ALIGNED_BYTES):
                 found = _of(rows, t).pairs()
                 keys.append(found[0])
                 counts.append(found[1])
@@ -258,6 +302,7 @@ def _count(a: str, b: str):
                 if size > HELD:
                     found = _summed(keys, counts)
                     keys, counts, size = [found[0]], [found[1]], 0
+        give_back()
         if not keys:
             return
         every, held = _summed(keys, counts)
@@ -372,7 +417,7 @@ def _look_up(a: str, b: str, held, last: bool):
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, counts = tables(a, b), Counts(held.value)
         for batch in batches:
-            for rows in slices(batch, "a"):
+            for rows in slices(batch, "a", ALIGNED_BYTES):
                 found = _of(rows, t)
                 keys, back = np.unique(found.keys, return_inverse=True)
                 count, best = (x[back] for x in counts.of(keys))

@@ -22,11 +22,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of memory a worker's remembered pieces may take for a tokenizer, about; longest piece that is remembered.
-REMEMBERED_BYTES, LONGEST = 32 << 20, 64
+REMEMBERED_BYTES, LONGEST = 64 << 20, 64
 #: Of it, what one piece takes beside its characters and ids.
 _EACH = 150
 #: Text handled at once, in bytes.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: Not plain: apostrophes and underscores (they join words in some patterns), odd spaces, a letter whose small form is two
 #: characters, and all beyond Latin.
@@ -36,7 +36,7 @@ _SPACED = (re.compile(r"\s*\w+|\s*[^\w\s]+|\s+"), re.compile(r"\s*\S+|\s+"))
 _BARE = (re.compile(r"\w+|[^\w\s]+"), re.compile(r"\S+"))
 #: One space and then something: the piece stays apart from what stands before it.
 _APART = re.compile(r" \S")
-_LINES = re.compile(r"[ ]*[^ \n]+|[ ]+|\n+")
+_SPACE_SIGN = "\u2581"
 
 
 class Remembered:
@@ -45,35 +45,55 @@ class Remembered:
     def __init__(self, encode: Callable[[list[str]], list[bytes]]):
         self.encode, self.known, self.again, self.size = encode, {}, set(), 0
 
-    def __call__(self, pieces: list[str]) -> np.ndarray:
-        distinct = set(pieces)
+    def __call__(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Ids of each text, given as its pieces; what is not remembered is encoded for all texts at once."""
+        distinct = set().union(*texts)
         new = list(distinct.difference(self.known))
         if new:
-            ids = self.encode(new)
-            self.known.update(zip(new, ids))
-            self.size += self._size(new, ids)
-        found = np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), np.uint16)
-        long = [piece for piece in new if len(piece) > LONGEST]
-        if long:
-            self.size -= self._size(long, [self.known.pop(piece) for piece in long])
+            self.known.update(zip(new, self.encode(new)))
+            self.size += self._size(new)
+        found = [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), np.uint16) for pieces in texts]
+        self.forget([piece for piece in new if len(piece) > LONGEST])
         self.again.update(distinct.difference(new))
         if self.size > REMEMBERED_BYTES:
             self.known = {piece: self.known[piece] for piece in self.again}
-            self.size = self._size(self.known, self.known.values())
+            self.size = self._size(self.again)
             self.again = set()
             if 2 * self.size > REMEMBERED_BYTES:
                 self.known, self.size = {}, 0
         return found
 
-    @staticmethod
-    def _size(pieces: Collection[str], ids: Collection[bytes]) -> int:
-        return sum(map(len, pieces)) + sum(map(len, ids)) + _EACH * len(pieces)
+    def forget(self, pieces: Collection[str]) -> None:
+        self.size -= self._size(pieces)
+        for piece in pieces:
+            del self.known[piece]
+
+    def _size(self, pieces: Collection[str]) -> int:
+        return _EACH * len(pieces) + sum(map(len, pieces)) + sum(map(len, map(self.known.__getitem__, pieces)))
 
 
 def _as_bytes(ids: list[int]) -> bytes:
     return array("H", ids).tobytes()
 
 
+def told_apart(ids: np.ndarray, lengths: np.ndarray, pieces: list[str]) -> list[bytes] | None:
+    """The ids of each piece, of those of all as one text; None if their bytes do not end where the pieces do."""
+    ends = np.cumsum([len(piece) if piece.isascii() else len(piece.encode()) for piece in pieces])
+    token_ends = np.cumsum(lengths[ids])
+    at = np.searchsorted(token_ends, ends)
+    if not len(ids) or at[-1] != len(ids) - 1 or (token_ends[at] != ends).any():
+        return None
+    data, stops = ids.tobytes(), (2 * (at + 1)).tolist()
+    return [data[a:b] for a, b in zip([0, *stops], stops)]
+
+
+def by_kind(pieces: list[str], ids: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+    """Ids of pieces that stay apart in one text and of those that do not, each kind by itself."""
+    kinds = [bool(_APART.match(piece)) for piece in pieces]
+    held = {kind: iter(ids([piece for piece, k in zip(pieces, kinds) if k is kind])) for kind in set(kinds)}
+    return [next(held[kind]) for kind in kinds]
+
+
 class Encoder:
     """Ids of texts by one file of the tokenizers library; ids must be below 65,536.
 
@@ -93,33 +113,29 @@ class Encoder:
         self.lengths = np.zeros(max(names.values(), default=-1) + 1, np.int64)  # bytes: a letter of a byte-level token each
         for name, i in names.items():
             self.lengths[i] = len(name.removesuffix("</w>"))
-        self.pieces_of = Remembered(self._ids)
+        self.pieces_of = Remembered(self.ids)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint16)
-        pieces = self.pieces(text)
-        if pieces is None:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16)
-        return self.pieces_of(pieces)
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
+        return self.many([text])[0]
+
+    def many(self, texts: list[str | None]) -> list[np.ndarray]:
+        cut = [self.pieces(text) if text else [] for text in texts]
+        held = iter(self.pieces_of([pieces for pieces in cut if pieces is not None]))
+        return [next(held) if pieces is not None else self.whole(text) for text, pieces in zip(texts, cut)]
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16)
+
+    def ids(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece. Pieces that stay apart in one text are encoded as one, which costs less, and told apart by their bytes."""
         joined = "".join(pieces) if self.spaced else " ".join(pieces)
-        if all(map(_APART.match, pieces)) if self.spaced else True:
+        if not self.spaced or all(map(_APART.match, pieces)):
             (found,) = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)
-            ids = np.array(found.ids, np.uint16)
-            ends = np.cumsum([len(piece) if piece.isascii() else len(piece.encode()) for piece in pieces])
-            token_ends = np.cumsum(self.lengths[ids])
-            at = np.searchsorted(token_ends, ends)
-            if len(ids) and at[-1] == len(ids) - 1 and (token_ends[at] == ends).all():
-                data, stops = ids.tobytes(), (2 * (at + 1)).tolist()
-                return [data[a:b] for a, b in zip([0, *stops], stops)]
-        elif len(pieces) > 1:
-            apart = {piece for piece in pieces if _APART.match(piece)}
-            found = iter(self._ids([piece for piece in pieces if piece in apart])) if apart else iter(())
-            rest = iter(self.tokenizer.encode_batch_fast([piece for piece in pieces if piece not in apart], add_special_tokens=False))
-            return [next(found) if piece in apart else _as_bytes(next(rest).ids) for piece in pieces]
+            held = told_apart(np.array(found.ids, np.uint16), self.lengths, pieces)
+            if held:
+                return held
+        elif any(map(_APART.match, pieces)):
+            return by_kind(pieces, self.ids)
         return [_as_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def pieces(self, text: str) -> list[str] | None:
@@ -136,7 +152,8 @@ class Encoder:
 class PieceEncoder:
     """Ids of texts by one file of the sentencepiece library, which puts a space before a text.
 
-    If no piece of its vocabulary goes on after a space or a line end, texts are cut there.
+    If no piece of its vocabulary goes on with a space, texts are cut before white space; those with white space that
+    pieces hold are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -144,22 +161,33 @@ class PieceEncoder:
 
         self.model = SentencePieceProcessor(model_file=path)
         names = [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
-        self.cut = not any("\n" in name or "▁" in name.lstrip("▁") for name in names)
+        self.cut = not any(_SPACE_SIGN in name.lstrip(_SPACE_SIGN) for name in names)
+        self.joins = re.compile("[" + _SPACE_SIGN + "".join(set("\t\n\x0b\x0c\r") & set("".join(names))) + "]")
         self.before_line = len(self.model.encode("\n"))  # ids of the space put first and of a line end
-        self.pieces_of = Remembered(lambda new: [_as_bytes(self._piece(x)) for x in new])
-
-    def _piece(self, piece: str) -> list[int]:
-        """Ids of a piece as it stands inside a text."""
-        if piece == " ":
-            return [self.model.piece_to_id("▁")]
-        return self.model.encode(piece[1:]) if piece[0] == " " else self.model.encode("\n" + piece)[self.before_line :]
+        self.pieces_of = Remembered(self.ids)
+
+    def ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece as it stands inside a text."""
+        held = {" ": [self.model.piece_to_id(_SPACE_SIGN)]}
+        after = [piece for piece in pieces if piece[0] == " " and len(piece) > 1]
+        held.update(zip(after, self.model.encode([piece[1:] for piece in after], num_threads=1)))
+        for piece in pieces:
+            if piece not in held:
+                held[piece] = self.model.encode("\n" + piece)[self.before_line :]
+        return [_as_bytes(held[piece]) for piece in pieces]
 
     def __call__(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint16)
-        if not self.cut or "▁" in text or _NOT_PLAIN.search(text) and _ODD_SPACE.search(text):
-            return np.array(self.model.encode(text), np.uint16)
-        return self.pieces_of(_LINES.findall(" " + text))
+        pieces = self.pieces(text) if text else []
+        return self.whole(text) if pieces is None else self.pieces_of([pieces])[0]
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode(text), np.uint16)
+
+    def pieces(self, text: str) -> list[str] | None:
+        """The pieces of a text with the space put before it, or None if it must be encoded whole."""
+        if not self.cut or self.joins.search(text) or _NOT_PLAIN.search(text) and _ODD_SPACE.search(text):
+            return None
+        return _SPACED[1].findall(" " + text)
 
 
 def held_by_worker(kind: type, *args):
@@ -175,18 +203,14 @@ def encoder(path: str, plain: bool = False) -> Encoder:
     return held_by_worker(Encoder, path, plain)
 
 
-def piece_encoder(path: str) -> PieceEncoder:
-    return held_by_worker(PieceEncoder, path)
-
-
 def line_of(texts: pa.ChunkedArray, encode: Encoder, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts one after the other, each followed by ``end``, and how many each has with it. One text at a time."""
+    """Ids of all texts one after the other, each followed by ``end``, and how many each has with it; a slice of texts at a time."""
     ids, lengths = array("H"), []
-    for text in texts:
-        found = encode(text.as_py())
-        ids.frombytes(found.tobytes())
-        ids.append(end)
-        lengths.append(len(found) + 1)
+    for some in slices(pa.record_batch({"text": texts.combine_chunks()})):
+        for found in encode.many(some["text"].to_pylist()):
+            ids.frombytes(found.tobytes())
+            ids.append(end)
+            lengths.append(len(found) + 1)
     return np.frombuffer(ids, np.uint16), np.array(lengths, np.int64)
 
 
