@@ -3,8 +3,9 @@
 A text is a bag of hashed word unigrams and bigrams. Two multinomials over the hash buckets are counted, one over
 trusted texts and one over the whole corpus; a document's score is the mean log ratio of the two over its n-grams, and
 every document below a fixed threshold is refused. All of it is DataFrame expressions: the counts are one partial
-aggregate to at most ``buckets`` rows, the ratios one constant array of that length. Texts are shuffled only if the ids of
-all trusted documents are too many for Spark to broadcast, and then once, to be flagged.
+aggregate to at most ``buckets`` rows, the ratios one constant array of that length. Which documents are trusted is found by
+a join with their ids; before it, a bitmap of hashed ids, of one size whatever their number, lets only texts through that
+may be trusted, and the rest are counted where they are read.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ BUCKETS = 10_000
 PRIOR = 5.0
 #: Mean log ratio below which a document is refused.
 THRESHOLD = -0.15
+#: Bits of the bitmap of trusted ids, 1 MB in all.
+BITS = 1 << 23
 #: A document fails the base rules with fewer words, or more percent of them in repeated windows.
 LEAST_WORDS, MOST_REPEATED, WINDOW = 10, 20, 5
 
@@ -77,6 +80,19 @@ def _grams(w: str, buckets: int) -> Column:
     return F.concat(one, two)
 
 
+def _maybe_trusted(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``docs`` with ``_maybe``, false only where ``doc_id`` is not among the ids of ``known`` (column ``_t``)."""
+
+    def bit(name: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(name)), F.lit(BITS)) + 1
+
+    maps = known.groupBy(F.bitmap_bucket_number(bit("_t")).alias("_b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit("_t"))).alias("_bits"))
+    at = F.bitmap_bit_position(bit("doc_id"))
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_at div 8 as int) + 1, 1)")), 16, 10).cast("long")
+    held = docs.withColumn("_at", at).join(F.broadcast(maps), F.bitmap_bucket_number(bit("doc_id")) == F.col("_b"), "left")
+    return held.withColumn("_maybe", F.coalesce(F.getbit(byte, F.col("_at") % 8) == 1, F.lit(False)))
+
+
 def log_ratios(corpus: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """Log of trusted share over raw share, by bucket: ``buckets`` numbers, whatever the size of the corpus.
 
@@ -84,7 +100,10 @@ def log_ratios(corpus: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS
     document, or an empty corpus, every ratio is 0. Ratios are rounded, so they do not depend on how rows were dealt out.
     """
     known = trusted_ids.select(F.col("doc_id").alias("_t")).distinct()
-    flagged = corpus.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_t"), "left")
+    plain = _maybe_trusted(corpus.select("doc_id", "text"), known)
+    sure = plain.where("NOT _maybe").select("text", F.lit(None).alias("_t"))
+    asked = plain.where("_maybe").select("doc_id", "text").join(known.hint("merge"), F.col("doc_id") == F.col("_t"), "left")
+    flagged = asked.select("text", "_t").unionByName(sure)
     flagged = flagged.select(words(ascii_lower(F.col("text"))).alias("_w"), F.col("_t").isNotNull().cast("long").alias("_y"))
     counts = (
         flagged.select("_y", F.explode(_grams("_w", buckets)).alias("b"))
