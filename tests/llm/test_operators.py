@@ -34,7 +34,7 @@ def prose(n, draw=DRAW):
 LONG, BASE = prose(20_000), prose(200)
 ROWS = [
     (1, BASE), (2, BASE), (2, BASE), (3, BASE + " one more word here"), (4, None), (5, ""), (6, "  \n\t "), (7, "Uno  dos"), (8, "uno dos"),
-    (9, LONG), (10, prose(60) + "\n" + BASE[300:800] + "\n" + prose(60)), (None, prose(40)), (11, "it's a_b caf\u00e9 \u4f60\u597d e\u0301 \u00a0\u2003x <|endoftext|> \u0130I"),
+    (9, LONG), (10, prose(60) + "\n" + BASE[300:800] + "\n" + prose(60)), (None, prose(40)), (11, "it's a_b caf\u00e9 \u4f60\u597d e\u0301 \u00a0\u2003x <|endoftext|> \u0130I"), (18, "plain <|endoftext|><|startoftext|>x"),
     (12, "x\nx\n\nx y\nx y"), (13, "a b c d e f g " * 40), (14, "$$$ ### ||| <a> & %"), (15, prose(3)), (16, prose(4)), (17, prose(5)),
 ]
 SHAPE = "doc_id long, text string, lang string, source string, n_chars long, score double, kept string, Words string"
@@ -164,7 +164,6 @@ def whole_ids(path, text):
     from tokenizers import Tokenizer
 
     tokenizer = whole_ids.__dict__.setdefault(path, Tokenizer.from_file(path))
-    tokenizer.encode_special_tokens = True
     return tokenizer.encode(text or "", add_special_tokens=False).ids
 
 

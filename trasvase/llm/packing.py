@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from trasvase.llm import exchange as ex
 from trasvase.llm.substring_dedup import _in_order
-from trasvase.llm.tokens import encoder
+from trasvase.llm.tokens import encoder, give_back, line_of
 
 #: Tokens of a sequence; id that ends a document; longest stretch of a sentence without a place to cut.
 LENGTH, END, STRIDE = 4096, 2, 256
@@ -79,11 +79,10 @@ def _sentence_ids(path: str) -> np.ndarray:
 
 def _pack(path: str, length: int, with_ids: bool):
     def pack(table: pa.Table) -> pa.Table:
-        table, encode = _in_order(table), encoder(path)
-        end = np.array([END], np.uint16)
-        parts = [np.concatenate([encode(x), end]) for x in table["text"].to_pylist()]
-        sizes = np.array([len(p) for p in parts])
-        line = np.concatenate(parts)
+        table = _in_order(table)
+        line, sizes = line_of(table["text"], encoder(path), END)
+        doc_ids, chunk = table["doc_id"].combine_chunks(), table["_chunk"][0].as_py()
+        del table
         closes = np.zeros(65536, bool)
         closes[_sentence_ids(path)] = True
         ends = np.array(cuts(*places(sizes, closes[line]), length))
@@ -93,19 +92,18 @@ def _pack(path: str, length: int, with_ids: bool):
         doc = np.searchsorted(doc_ends, starts, side="right")
         sequence = np.searchsorted(ends, starts, side="right")
         begins = np.concatenate([[0], ends[:-1]])
-        wide = line.astype("<u4")
-        chunk = table["_chunk"][0].as_py()
         out = {
-            "doc_id": table["doc_id"].combine_chunks().take(pa.array(doc)),
+            "doc_id": doc_ids.take(pa.array(doc)),
             "start": pa.array(starts - (doc_ends - sizes)[doc], pa.int64()),
             "length": pa.array(stops - starts, pa.int64()),
-            "ids_crc32": pa.array([zlib.crc32(wide[a:b]) for a, b in zip(starts.tolist(), stops.tolist())], pa.int64()),
+            "ids_crc32": pa.array([zlib.crc32(line[a:b].astype("<u4")) for a, b in zip(starts.tolist(), stops.tolist())], pa.int64()),
             "doc_tokens": pa.array(sizes[doc], pa.int64()),
             "sequence_id": pa.array((chunk << 32) + sequence, pa.int64()),
             "offset": pa.array(starts - begins[sequence], pa.int64()),
         }
         if with_ids:
-            out["ids"] = pa.array([wide[a:b].astype(np.int32) for a, b in zip(starts.tolist(), stops.tolist())], pa.list_(pa.int32()))
+            out["ids"] = pa.array([line[a:b].astype(np.int32) for a, b in zip(starts.tolist(), stops.tolist())], pa.list_(pa.int32()))
+        give_back()
         return pa.table(out)
 
     return pack

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from trasvase.llm import exchange as ex
 from trasvase.llm.substring_dedup import _in_order
-from trasvase.llm.tokens import encoder
+from trasvase.llm.tokens import encoder, give_back, line_of
 from trasvase.session import scratch_path
 
 #: Bits counted together in a plane's directory; first bytes of a file; id that ends a document.
@@ -37,13 +37,14 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
         levels = max(1, int(ids.max(initial=0)).bit_length())
         planes, zeros, ranks = [], [], []
-        now = ids
+        now, other = ids.copy(), np.empty_like(ids)  # in turn: a plane's order and the next
         for level in reversed(range(levels)):
-            bits = (now >> level) & 1 == 1
+            bits = (now & now.dtype.type(1 << level)).astype(bool)
             planes.append(np.packbits(bits))
-            low = now[~bits]
-            zeros.append(len(low))
-            now = np.concatenate([low, now[bits]])
+            zeros.append(len(bits) - int(np.count_nonzero(bits)))
+            np.compress(~bits, now, out=other[: zeros[-1]])
+            np.compress(bits, now, out=other[zeros[-1] :])
+            now, other = other, now
             ranks.append(_directory(planes[-1]))
         return cls(len(ids), planes, zeros, ranks)
 
@@ -169,11 +170,11 @@ def open_shard(data: bytes) -> tuple[pa.Array, np.ndarray, WaveletMatrix]:
 
 def _encode(path: str):
     def encode(table: pa.Table) -> pa.Table:
-        table, encode = _in_order(table), encoder(path)
-        end = np.array([END], np.uint16)
-        parts = [np.concatenate([encode(x), end]) for x in table["text"].to_pylist()]
-        data = shard_file(table["doc_id"].combine_chunks(), np.array([len(p) for p in parts]), np.concatenate(parts))
-        return pa.table({"shard": table["_chunk"][:1], "tokens": pa.array([sum(map(len, parts))], pa.int64()), "file": pa.array([data], pa.binary())})
+        table = _in_order(table)
+        ids, lengths = line_of(table["text"], encoder(path), END)
+        data = shard_file(table["doc_id"].combine_chunks(), lengths, ids)
+        give_back()
+        return pa.table({"shard": table["_chunk"][:1], "tokens": pa.array([len(ids)], pa.int64()), "file": pa.array([data], pa.binary())})
 
     return encode
 
@@ -195,9 +196,9 @@ def _read(id_type: pa.DataType):
         for batch in batches:
             for shard, data in zip(batch["shard"].to_pylist(), batch["file"]):
                 ids, lengths, matrix = open_shard(data.as_py())
-                tokens = matrix.decode().astype("<u4")
+                tokens = matrix.decode()
                 ends = np.cumsum(lengths)
-                sums = [zlib.crc32(tokens[b - n : b]) for n, b in zip(lengths.tolist(), ends.tolist())]
+                sums = [zlib.crc32(tokens[b - n : b].astype("<u4")) for n, b in zip(lengths.tolist(), ends.tolist())]
                 yield pa.record_batch(
                     {
                         "shard": pa.array([shard] * len(sums), pa.int32()),
