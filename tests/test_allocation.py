@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from plain import ranked_pairs, walk
@@ -47,7 +48,7 @@ def make_minutes(seed, stores):
     }
 
 
-def network(spark, roles, minutes, max_pairs=pairs.MAX_PAIRS):
+def network(spark, roles, minutes, at_once=pairs.PAIRS_AT_ONCE):
     rows = [
         (
             r["product"], r["colour"], f"P{r['product']}", f"C{r['colour']}", r["store"], r["role"],
@@ -58,8 +59,7 @@ def network(spark, roles, minutes, max_pairs=pairs.MAX_PAIRS):
     routes = spark.createDataFrame(
         [(a, b, m) for (a, b), m in minutes.items()], "CODIGO_ORIGEN string, CODIGO_DESTINO string, DISTANCIA_MINUTOS int"
     )
-    table = stored(spark.createDataFrame(rows, ROLE_SCHEMA), "roles")
-    return pairs.network_of(table, routes, max_pairs)
+    return pairs.network_of(spark.createDataFrame(rows, ROLE_SCHEMA), routes, at_once)
 
 
 def rows(df, *columns):
@@ -77,50 +77,83 @@ def test_moves_and_outcomes_equal_a_plain_loop(spark, limits):
     assert found == sorted((*key, value) for key, value in outcomes.items())
 
 
-@pytest.mark.parametrize("max_pairs,per_round", [(0, 2), (30, 5)])
-def test_large_groups_are_settled_in_rounds_with_the_same_result(spark, max_pairs, per_round):
+@pytest.mark.parametrize("at_once", [1, 12])
+def test_groups_in_several_rounds_have_the_same_result(spark, at_once):
     roles, minutes = make_roles(3, [20, 9, 4], 24), make_minutes(3, 24)
     limits = al.Limits(max_cover=6, max_units=9)
     expected, outcomes = walk(roles, minutes, limits.max_cover, limits.max_units)
-    split = network(spark, roles, minutes, max_pairs)
-    assert split.large is not None
-    moves = stored(al.transfer_allocation(split, limits, per_round), "moves")
-    assert rows(moves, *MOVE) == sorted(expected)
-    found = rows(al.pair_outcomes(al.Allocation(split, limits, moves)), *PRODUCT, "RECEPTOR", "EMISOR", "RESULTADO")
+    done = al.allocate(network(spark, roles, minutes, at_once), limits)
+    assert al.rounds_of(done.queue) > 1 and done.queue.agg(F.max("TROZOS")).first()[0] > 1
+    assert rows(done.moves, *MOVE) == sorted(expected)
+    found = rows(al.pair_outcomes(done), *PRODUCT, "RECEPTOR", "EMISOR", "RESULTADO")
     assert found == sorted((*key, value) for key, value in outcomes.items())
 
 
-def test_log_is_the_same_for_large_groups(spark):
+def test_log_is_the_same_in_any_number_of_rounds(spark):
     roles, minutes = make_roles(8, [14, 5], 16), make_minutes(8, 16)
     logs = []
-    for max_pairs in (pairs.MAX_PAIRS, 4):
-        done = al.allocate(network(spark, roles, minutes, max_pairs), al.Limits())
+    for at_once in (pairs.PAIRS_AT_ONCE, 4):
+        done = al.allocate(network(spark, roles, minutes, at_once), al.Limits())
         outcomes = stored(al.pair_outcomes(done), "outcomes")
         stock = _stock(spark, [("1", 0, 0, "a", "S", 1)])
         flags = al.size_coverage_flag(done, stock, outcomes)
+        assert rows(al.size_coverage_flag(done, stock), *flags.columns) == rows(flags, *flags.columns)
         log = al.allocation_log(done, outcomes, flags, done.network.roles)
         logs.append(sorted(map(str, log.collect())))
     assert logs[0] == logs[1] and len(logs[0]) > 20
 
 
-def test_one_very_large_group(spark):
-    """One product holds nearly all rows: the rounds drop senders that cannot matter and still agree with the loop."""
-    roles, minutes = make_roles(5, [120, 3], 120), make_minutes(5, 120)
+def test_one_product_in_thousands_of_stores(spark):
+    """One product holds nearly all rows: rounds are cut by pairs, drop senders that cannot matter, and agree with the loop."""
+    roles, stores = make_roles(5, [2500, 3], 2500), 2500
+    needing = {r["store"] for r in roles if r["role"] == "RECEPTOR"}
+    rnd = random.Random(5)
+    minutes = {(r["store"], n): rnd.choice([5, 10, 10, 20, 40]) for r in roles if r["role"] == "EMISOR" for n in needing if rnd.random() < 0.1}
     limits = al.Limits()
     expected, _ = walk(roles, minutes, limits.max_cover, limits.max_units)
-    split = network(spark, roles, minutes, max_pairs=100)
-    assert rows(al.transfer_allocation(split, limits, 16), *MOVE) == sorted(expected)
+    done = al.allocate(network(spark, roles, minutes, 20_000), limits)
+    assert stores > len(needing) > 500 and len(expected) > 500 and al.rounds_of(done.queue) > 2
+    assert rows(done.moves, *MOVE) == sorted(expected)
 
 
-@pytest.mark.parametrize("max_pairs", [pairs.MAX_PAIRS, 5])
-def test_pair_rank(spark, max_pairs):
+def test_routes_are_read_inside_the_pair(spark):
+    """No exchange by both store codes, even if nothing may be broadcast; of two times for one way the shorter counts."""
+    roles = [_role("1", "EMISOR", 2, 2), _role("2", "EMISOR", 1, 1), _role("8", "RECEPTOR", 3, sold=8), _role("9", "RECEPTOR", 0)]
+    held = network(spark, roles, {})
+    table = spark.createDataFrame(
+        [("1", "8", 9), ("1", "8", 5), ("2", "9", 7), ("2", "1", 3), ("7", "9", 1), ("1", "9", None)], "CODIGO_ORIGEN string, CODIGO_DESTINO string, DISTANCIA_MINUTOS int"
+    )
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = pairs.meet(pairs.senders(held.roles), pairs.receivers(held.roles), pairs.Network(held.roles, pairs.routes_of(table), 10))
+        assert rows(found, "EMISOR", "RECEPTOR", "DISTANCIA_MINUTOS") == [("1", "8", 5), ("2", "9", 7)]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    exchanges = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert exchanges and not any("EMISOR" in x and "RECEPTOR" in x for x in exchanges)
+
+
+def test_a_tie_of_many_pairs_is_numbered_in_parts(spark):
+    """All pairs agree in speed, weeks, stock and minutes: they are one value of the first level and are ranked by store codes."""
+    n = 300
+    table = spark.range(n * n).selectExpr("1 AS g", "0 AS tie", "CAST(id % 300 AS STRING) AS r", "CAST(id DIV 300 AS STRING) AS e")
+    ranked = pairs.numbered(stored(table, "ties"), {"tie": False}, {"r": False}, {"e": True}, "RANK", ["g"])
+    names = [str(k) for k in range(n)]
+    expected = {(r, e): k for k, (r, e) in enumerate(((r, e) for r in sorted(names) for e in sorted(names, reverse=True)), 1)}
+    assert {(x.r, x.e): x.RANK for x in ranked.collect()} == expected
+
+
+@pytest.mark.parametrize("at_once", [pairs.PAIRS_AT_ONCE, 5])
+def test_pair_rank(spark, at_once):
     roles, minutes = make_roles(4, [20, 10, 2], 25), make_minutes(4, 25)
     expected = [
         (product, colour, e["store"], r["store"], rank)
         for (product, colour), group in ranked_pairs(roles, minutes).items()
         for rank, (e, r, _) in enumerate(group, 1)
     ]
-    ranked = pairs.pair_rank(network(spark, roles, minutes, max_pairs))
+    ranked = pairs.pair_rank(network(spark, roles, minutes, at_once))
     assert rows(ranked, *PRODUCT, "EMISOR", "RECEPTOR", "PAIR_RANK") == sorted(expected)
     first = {}
     for product, colour, _, receiver, rank in expected:

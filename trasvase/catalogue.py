@@ -399,8 +399,7 @@ def size_coverage(g: Given) -> DataFrame:
 
 @query
 def size_coverage_flag(g: Given) -> DataFrame:
-    done = _allocation(g)
-    return al.size_coverage_flag(done, g.stored_stock, al.pair_outcomes(done))
+    return al.size_coverage_flag(_allocation(g), g.stored_stock)
 
 
 @query

@@ -2,8 +2,9 @@
 
 Within a product and colour, receivers are served in ranked order and each walks its senders in ranked order. A sender
 gives all it holds, once. A pair is refused when the receiver would pass the limit on weeks of cover or on units.
-Only that walk is sequential, so only it runs as a fold, over the pairs that could be accepted at all. Refusals, log and
-size coverage are derived from the moves with joins and windows.
+Only that walk is sequential, so only it runs as a fold, over the pairs that could be accepted at all. Receivers are cut
+into rounds by the running sum of such pairs, so that a fold is bounded however large a product and colour is; most have one
+round. Refusals, log and size coverage are derived from the moves with joins and windows.
 """
 
 from __future__ import annotations
@@ -12,21 +13,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from trasvase.functions.kpis import RECEIVER, SENDER
 from trasvase.operators.lookups import photo_lookup
 from trasvase.operators.pairs import (
     PRODUCT,
     Network,
-    all_pairs,
     available_by_size,
     best_pair,
     by_receiver,
     meet,
-    numbered,
     pair_order,
-    receiver_order,
     receivers,
     senders,
     with_names,
@@ -42,9 +39,6 @@ NO_SALES = "Sin venta en las ultimas 4 semanas"
 # Outcomes of a pair that are not refusals.
 ACCEPTED, EMPTY, NOT_SEEN = "ACEPTADO", "VACIO", "NO_EVALUADO"
 
-# Receivers of a large product and colour settled per round.
-RECEIVERS_PER_ROUND = 64
-
 
 @dataclass(frozen=True)
 class Limits:
@@ -60,10 +54,11 @@ class Limits:
 
 @dataclass(frozen=True)
 class Allocation:
-    """A network with its moves, stored because every report reads them."""
+    """A network with its receivers in the order they were served and its moves, stored because every report reads them."""
 
     network: Network
     limits: Limits
+    queue: DataFrame
     moves: DataFrame
 
 
@@ -138,97 +133,98 @@ def _fold(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _small_groups(network: Network, limits: Limits) -> DataFrame:
-    """Groups of at most ``max_pairs`` pairs: one fold each, in one job for all of them."""
-    part = network.small_part()
-    pairs = meet(senders(part), receivers(part), network.distance)
-    ordered = pairs.withColumn("ORDEN_RECEPTOR", receiver_order(best_pair().over(by_receiver())))
-    return _fold(ordered.withColumn("TECHO", _ceiling(limits)).filter(_could_accept()))
-
-
-def _large_groups(network: Network, limits: Limits, per_round: int) -> DataFrame:
-    """Larger groups: the next ``per_round`` receivers of each group per round, against senders not used before.
-
-    A round folds no more than a bounded number of pairs per group, whatever the group's size. Receivers before a
-    receiver in its round can take at most PREVIO units, and it can take HUECO, so among senders holding the same
-    amount A only its first (PREVIO + HUECO) / A can matter; the rest are left out of the fold without effect.
-    """
-    part = network.large_part()
-    pairs = meet(senders(part), receivers(part), network.distance, network.max_pairs)
-    best = pairs.groupBy(*PRODUCT, "RECEPTOR").agg(best_pair().alias("MEJOR"))
-    before = Window.partitionBy(*PRODUCT, "RONDA").orderBy("PUESTO").rowsBetween(Window.unboundedPreceding, -1)
-    needing = stored(
-        receivers(part)
-        .join(best, [*PRODUCT, "RECEPTOR"])
-        .withColumn("ORDEN_RECEPTOR", receiver_order(F.col("MEJOR")))
-        .withColumn("TECHO", _ceiling(limits))
-        .withColumn("HUECO", F.col("TECHO") - F.col("STOCK_RECEPTOR"))
-        .filter(F.col("HUECO") > 0)
-        .select("*", "MEJOR.*")
-        .drop("MEJOR"),
-        "needing",
+def receiver_queue(network: Network, limits: Limits) -> DataFrame:
+    """Receivers that have a pair: their place in their product and colour (ORDEN_RECEPTOR), the most units they may end up
+    with (TECHO), their pairs (PARES), those that could be accepted (TRABAJO) and the round these are walked in (RONDA)."""
+    who = receivers(network.roles).withColumn("TECHO", _ceiling(limits))
+    own = ["STOCK_RECEPTOR", "VELOCIDAD_REAL_RECEPTOR", "VELOCIDAD_OPERATIVA_RECEPTOR", "COBERTURA_INICIAL", "TECHO"]
+    # pairs are dealt out by receiver, so they are summed where they are
+    met = meet(senders(network.roles), who.withColumn("PIEZAS", F.col("TROZOS")), network)
+    served = met.groupBy(*PRODUCT, "TROZO", "RECEPTOR").agg(
+        *[F.any_value(name).alias(name) for name in [*own, "PIEZAS"]],
+        best_pair().alias("MEJOR"), F.count("*").alias("PARES"), F.count_if(_could_accept()).alias("TRABAJO"),
     )
-    leading = {"VELOCIDAD_REAL_RECEPTOR": True, "COBERTURA_INICIAL": False, "S": False}
-    queue = stored(
-        numbered(needing, leading, ["M", "RECEPTOR"], "PUESTO")
-        .withColumn("RONDA", F.floor((F.col("PUESTO") - 1) / per_round))
+    order = [F.desc("VELOCIDAD_REAL_RECEPTOR"), "COBERTURA_INICIAL", "MEJOR.S", "MEJOR.M", "RECEPTOR"]
+    line = Window.partitionBy(*PRODUCT).orderBy(*order)  # a row a store
+    before = line.rowsBetween(Window.unboundedPreceding, -1)
+    room = F.when(F.col("TRABAJO") > 0, F.col("TECHO") - F.col("STOCK_RECEPTOR")).otherwise(0)
+    return (
+        served.withColumn("HUECO", room)
+        .withColumn("ORDEN_RECEPTOR", F.row_number().over(line))
+        .withColumn("RONDA", F.floor(F.coalesce(F.sum("TRABAJO").over(before), F.lit(0)) / max(network.pairs_at_once, 1)))
         .withColumn("PREVIO", F.coalesce(F.sum("HUECO").over(before), F.lit(0)))
-        .drop("PUESTO", "S", "M"),
-        "queue",
+        .select(*PRODUCT, "RECEPTOR", F.col("PIEZAS").alias("TROZOS"), *own, "ORDEN_RECEPTOR", "PARES", "TRABAJO", "RONDA", "HUECO", "PREVIO")
     )
-    giving = stored(senders(part).filter(F.col("APORTE") > 0), "senders")
-    rounds = (queue.agg(F.max("RONDA")).first()[0] or 0) + 1
-    amount = Window.partitionBy(*PRODUCT, "RECEPTOR", "APORTE").orderBy(*pair_order())
-    spark = queue.sparkSession
-    root = scratch_path(spark, "rounds")  # one folder per round, read back as one table
 
-    def settled(schema: StructType) -> DataFrame:
-        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(root)
 
+def rounds_of(queue: DataFrame) -> int:
+    """Rounds the longest product and colour needs."""
+    return (queue.filter(F.col("TRABAJO") > 0).agg(F.max("RONDA")).first()[0] or 0) + 1
+
+
+def walk_rounds(network: Network, queue: DataFrame) -> DataFrame:
+    """Moves of all receivers of ``queue``, which must be stored, round by round against the senders not used before.
+
+    A round walks about ``pairs_at_once`` pairs of a product and colour. The receivers before a receiver can take at most
+    PREVIO units and it can take HUECO, so among senders holding the same amount A only its first (PREVIO + HUECO) / A can
+    matter; the rest are left out of the fold without effect. Products and colours that are done, and senders that gave,
+    leave the table of senders between rounds.
+    """
+    spark = queue.sparkSession
+    root = scratch_path(spark, "rounds")  # one folder a round, read back as one table
+    amount = Window.partitionBy(*PRODUCT, "RECEPTOR", "APORTE").orderBy(*pair_order())
+    left = senders(network.roles).filter(F.col("APORTE") > 0)
+    rounds = rounds_of(queue)
     for number in range(rounds):
-        left = giving
-        if number:
-            left = giving.join(settled(moves.schema).select(*PRODUCT, "EMISOR"), [*PRODUCT, "EMISOR"], "left_anti")
-        served = queue.filter(F.col("RONDA") == number).drop("RONDA")
+        served = queue.filter((F.col("RONDA") == number) & (F.col("TRABAJO") > 0))
         offers = (
-            meet(left, served, network.distance, network.max_pairs, _could_accept())
+            meet(left, served, network, _could_accept(), spread=False)
             .withColumn("N", F.row_number().over(amount))
             .filter(F.col("N") <= F.floor((F.col("PREVIO") + F.col("HUECO")) / F.col("APORTE")))
         )
         moves = _fold(offers)
         moves.write.parquet(f"{root}/{number:06d}")
-    return settled(moves.schema)
+        if number + 1 < rounds:
+            gone = spark.read.schema(moves.schema).parquet(f"{root}/{number:06d}").select(*PRODUCT, "EMISOR")
+            later = queue.filter((F.col("RONDA") > number) & (F.col("TRABAJO") > 0)).select(*PRODUCT)
+            left = stored(left.join(later, PRODUCT, "left_semi").join(gone, [*PRODUCT, "EMISOR"], "left_anti"), "left")
+    return spark.read.schema(moves.schema).option("recursiveFileLookup", "true").parquet(root)
 
 
-def transfer_allocation(network: Network, limits: Limits, per_round: int = RECEIVERS_PER_ROUND) -> DataFrame:
-    """Moves: sender, receiver, amount, and the receiver's stock and cover before and after."""
-    moves = _small_groups(network, limits)
-    if network.large is not None:
-        moves = moves.unionByName(_large_groups(network, limits, per_round))
-    return moves
+def allocate(network: Network, limits: Limits = Limits()) -> Allocation:
+    queue = stored(receiver_queue(network, limits), "queue")
+    return Allocation(network, limits, queue, walk_rounds(network, queue))
 
 
-def allocate(network: Network, limits: Limits = Limits()) -> Allocation:
-    return Allocation(network, limits, stored(transfer_allocation(network, limits), "moves"))
+def transfer_allocation(network: Network, limits: Limits) -> DataFrame:
+    """Moves: sender, receiver, amount, and the receiver's stock and cover before and after."""
+    return allocate(network, limits).moves
 
 
-def pair_outcomes(allocation: Allocation) -> DataFrame:
-    """Every pair with what became of it, its place in its receiver's list, and the receiver's stock at that point."""
-    limits = allocation.limits
+def pair_outcomes(allocation: Allocation, only: DataFrame | None = None) -> DataFrame:
+    """Every pair with what became of it, its place in its receiver's list, and the receiver's stock at that point.
+
+    ``only`` (product, colour, RECEPTOR) leaves all other receivers out before they meet their senders.
+    """
+    limits, queue = allocation.limits, allocation.queue
+    giving = senders(allocation.network.roles)
+    if only is not None:
+        queue = queue.join(only, [*PRODUCT, "RECEPTOR"], "left_semi")
+        giving = giving.join(only, PRODUCT, "left_semi")
     taken = allocation.moves.select(
         *PRODUCT, "EMISOR", F.col("RECEPTOR").alias("DESTINO"), F.col("ORDEN_RECEPTOR").alias("ORDEN_DESTINO")
     )
-    pairs = all_pairs(allocation.network, lambda giving: giving.join(taken, [*PRODUCT, "EMISOR"], "left"))
+    needing = queue.select(*PRODUCT, "TROZOS", "RECEPTOR", "ORDEN_RECEPTOR", "STOCK_RECEPTOR", "VELOCIDAD_OPERATIVA_RECEPTOR")
+    pairs = meet(giving.join(taken, [*PRODUCT, "EMISOR"], "left"), needing, allocation.network)
     walk = by_receiver().orderBy(*pair_order())
     earlier = walk.rowsBetween(Window.unboundedPreceding, -1)
     mine = F.coalesce(F.col("DESTINO") == F.col("RECEPTOR"), F.lit(False))
-    gone = F.coalesce(F.col("ORDEN_DESTINO") < F.col("ORDEN_RECEPTOR"), F.lit(False)) & ~mine
+    gone = F.coalesce(F.col("ORDEN_DESTINO") < F.col("ORDEN_RECEPTOR"), F.lit(False))
     got = F.when(mine, F.col("APORTE"))
     speed = F.col("VELOCIDAD_OPERATIVA_RECEPTOR")
     after = F.col("STOCK_ACUMULADO") + F.col("APORTE")
     return (
-        pairs.withColumn("ORDEN_RECEPTOR", receiver_order(best_pair().over(by_receiver())))
-        .withColumn("ORDEN_PAR", F.row_number().over(walk))
+        pairs.withColumn("ORDEN_PAR", F.row_number().over(walk))
         .withColumn("RECIBIDO", F.sum(got).over(earlier))
         .withColumn("STOCK_ACUMULADO", F.col("STOCK_RECEPTOR") + F.coalesce("RECIBIDO", F.lit(0)))
         .withColumn(
@@ -294,30 +290,32 @@ def receiver_final_sizes(allocation: Allocation, stock: DataFrame) -> DataFrame:
     )
 
 
-def size_coverage_flag(allocation: Allocation, stock: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Receivers whose sizes stay too thin after their moves. Names the last sender looked at; the moves stand."""
-    last = (
-        outcomes.filter(F.col("RESULTADO") != NOT_SEEN)
-        .groupBy(*PRODUCT, "RECEPTOR")
-        .agg(F.max_by("EMISOR", "ORDEN_PAR").alias("EMISOR"))
-    )
+def size_coverage_flag(allocation: Allocation, stock: DataFrame, outcomes: DataFrame | None = None) -> DataFrame:
+    """Receivers whose sizes stay too thin after their moves. Names the last sender looked at; the moves stand.
+
+    Without ``outcomes`` only the receivers found thin meet their senders again.
+    """
     final = _share_of_sizes(receiver_final_sizes(allocation, stock), "COBERTURA_FINAL")
     opening = size_coverage(allocation.network, stock).withColumnRenamed("COBERTURA_TALLAS", "COBERTURA_INICIAL")
-    thin = (F.col("COBERTURA_FINAL") < allocation.limits.size_share) & (
+    low = (F.col("COBERTURA_FINAL") < allocation.limits.size_share) & (
         F.col("COBERTURA_FINAL") <= F.col("COBERTURA_INICIAL")
     )
-    return (
-        final.join(opening, [*PRODUCT, "RECEPTOR"])
-        .filter(thin)
-        .join(last, [*PRODUCT, "RECEPTOR"])
-        .select(*PRODUCT, "EMISOR", "RECEPTOR", "COBERTURA_INICIAL", "COBERTURA_FINAL", F.lit(FEW_SIZES).alias("MOTIVO"))
+    thin = stored(final.join(opening, [*PRODUCT, "RECEPTOR"]).filter(low), "thin")
+    seen = pair_outcomes(allocation, thin.select(*PRODUCT, "RECEPTOR")) if outcomes is None else outcomes
+    last = (
+        seen.filter(F.col("RESULTADO") != NOT_SEEN)
+        .groupBy(*PRODUCT, "RECEPTOR")
+        .agg(F.max_by("EMISOR", "ORDEN_PAR").alias("EMISOR"))
+    )
+    return thin.join(last, [*PRODUCT, "RECEPTOR"]).select(
+        *PRODUCT, "EMISOR", "RECEPTOR", "COBERTURA_INICIAL", "COBERTURA_FINAL", F.lit(FEW_SIZES).alias("MOTIVO")
     )
 
 
 def stuck_products(allocation: Allocation, outcomes: DataFrame, flags: DataFrame) -> DataFrame:
     """Why stock stays where it is: refused pairs, thin sizes, and senders of products nobody can receive."""
     refused = rejected_pairs(outcomes).unionByName(flags.select(*PRODUCT, "EMISOR", "RECEPTOR", "MOTIVO"))
-    paired = outcomes.select(*PRODUCT).distinct()
+    paired = allocation.queue.select(*PRODUCT)
     alone = (
         senders(allocation.network.roles)
         .select(*PRODUCT, "EMISOR", F.lit(NO_SALES).alias("MOTIVO"))
@@ -334,7 +332,8 @@ def allocation_log(
     Opening events have ORDEN_RECEPTOR 0. Closing events of a receiver have no ORDEN_PAR and come after its pairs.
     """
     limits = allocation.limits
-    counts = outcomes.groupBy(*PRODUCT).agg(F.count("*").alias("N"))
+    queue = allocation.queue.select(*PRODUCT, "RECEPTOR", "ORDEN_RECEPTOR", "PARES")
+    counts = queue.groupBy(*PRODUCT).agg(F.sum("PARES").alias("N"))
     opening = (
         to_process.select(*PRODUCT)
         .distinct()
@@ -353,15 +352,6 @@ def allocation_log(
     )
 
     got = allocation.moves.groupBy(*PRODUCT, "RECEPTOR").agg(F.count("*").alias("MOVIMIENTOS"))
-    first = outcomes.filter(F.col("ORDEN_PAR") == 1).select(*PRODUCT, "RECEPTOR", "ORDEN_RECEPTOR")
-    if allocation.network.large is None:
-        place = F.row_number().over(Window.partitionBy(*PRODUCT).orderBy("ORDEN_RECEPTOR"))
-        queue = first.withColumn("ORDEN", place)
-    else:
-        leading = {"A": False, "B": False, "C": False}
-        queue = numbered(first.select("*", "ORDEN_RECEPTOR.*"), leading, ["D", "E"], "ORDEN")
-    queue = queue.select(*PRODUCT, "RECEPTOR", "ORDEN")
-
     seen = outcomes.filter(F.col("RESULTADO") != NOT_SEEN)
     given = F.when(F.col("RESULTADO") == EMPTY, F.lit(0)).otherwise(F.col("APORTE"))
     refused = F.concat(F.lit("Emisor "), "EMISOR", F.lit(" rebutjat. "))
@@ -378,11 +368,7 @@ def allocation_log(
             ),
         )
     )
-    walked = (
-        seen.drop("ORDEN_RECEPTOR")
-        .join(queue, [*PRODUCT, "RECEPTOR"])
-        .select(*PRODUCT, F.col("ORDEN").alias("ORDEN_RECEPTOR"), "ORDEN_PAR", F.posexplode(lines).alias("PASO", "MSG"))
-    )
+    walked = seen.select(*PRODUCT, "ORDEN_RECEPTOR", "ORDEN_PAR", F.posexplode(lines).alias("PASO", "MSG"))
 
     closing_text = F.when(
         F.col("MOVIMIENTOS").isNull(),
@@ -392,7 +378,7 @@ def allocation_log(
         queue.join(got, [*PRODUCT, "RECEPTOR"], "left")
         .join(flags.select(*PRODUCT, "RECEPTOR", "MOTIVO"), [*PRODUCT, "RECEPTOR"], "left")
         .select(
-            *PRODUCT, F.col("ORDEN").alias("ORDEN_RECEPTOR"), F.lit(None).cast("int").alias("ORDEN_PAR"),
+            *PRODUCT, "ORDEN_RECEPTOR", F.lit(None).cast("int").alias("ORDEN_PAR"),
             F.lit(0).alias("PASO"), closing_text.alias("MSG"),
         )
         .filter(F.col("MSG").isNotNull())

@@ -14,32 +14,51 @@ from trasvase.session import stored
 
 PRODUCT = ["CODEPRODUIT", "CODECOLORIS"]
 
-# A product and colour with more pairs than this is spread over several tasks.
-MAX_PAIRS = 50_000
+# Pairs of a product and colour that one task handles, about; pairs walked for it in one round.
+PAIRS_AT_ONCE = 50_000
 
 # Travel minutes between two stores: a table (CODIGO_ORIGEN, CODIGO_DESTINO, DISTANCIA_MINUTOS), or a function of
 # the two store columns giving null where there is no route.
 Distance = DataFrame | Callable[[Column, Column], Column]
 
 
+@dataclass(frozen=True)
+class Routes:
+    """A table of travel times turned to one row a sender, so that minutes are read inside a pair.
+
+    ``places`` numbers the stores there is a way to (RECEPTOR, LUGAR); ``minutes`` has each sender's minutes by place
+    (EMISOR, MINUTOS), null where there is no way.
+    """
+
+    places: DataFrame
+    minutes: DataFrame
+
+
 @dataclass(frozen=True)
 class Network:
     """Senders and receivers of each product and colour, stored, with the travel times between them.
 
-    ``large`` lists the products and colours with more than ``max_pairs`` pairs; None when there are none.
+    TROZOS in ``roles`` is over how many tasks the pairs of the product and colour are spread.
     """
 
     roles: DataFrame
-    distance: Distance
-    max_pairs: int
-    large: DataFrame | None
+    distance: Routes | Callable[[Column, Column], Column]
+    pairs_at_once: int
 
-    def small_part(self) -> DataFrame:
-        return self.roles if self.large is None else self.roles.join(self.large, PRODUCT, "left_anti")
 
-    def large_part(self) -> DataFrame:
-        """With EMISORES and PARES, the senders and pairs of each group."""
-        return self.roles.join(self.large, PRODUCT)
+def routes_of(distance: DataFrame) -> Routes:
+    """The shortest time of each way, by sender. One row, and one sorted place, a store."""
+    ways = distance.groupBy(F.col("CODIGO_ORIGEN").alias("EMISOR"), F.col("CODIGO_DESTINO").alias("RECEPTOR")).agg(
+        F.min("DISTANCIA_MINUTOS").alias("M")
+    )
+    ways = stored(ways.filter(F.col("M").isNotNull()), "ways")
+    place = F.row_number().over(Window.orderBy("RECEPTOR")) - 1
+    places = stored(ways.select("RECEPTOR").distinct().withColumn("LUGAR", place), "places")
+    listed = ways.join(places, "RECEPTOR").groupBy("EMISOR").agg(F.sort_array(F.collect_list(F.struct("LUGAR", "M"))).alias("W"))
+    skipped = lambda way, i: way["LUGAR"] - F.coalesce(F.get("W", i - 1)["LUGAR"], F.lit(-1)) - 1
+    none = F.lit(None).cast("int")
+    by_place = F.flatten(F.transform("W", lambda way, i: F.concat(F.array_repeat(none, skipped(way, i)), F.array(way["M"]))))
+    return Routes(places, stored(listed.select("EMISOR", by_place.alias("MINUTOS")), "minutes"))
 
 
 def available_by_size(stock: DataFrame) -> DataFrame:
@@ -64,24 +83,18 @@ def network_roles(kpis: DataFrame, stock: DataFrame, to_process: DataFrame | Non
     )
 
 
-def group_sizes(roles: DataFrame) -> DataFrame:
-    """Senders, and sender-receiver pairs, of each product and colour."""
-    return (
-        roles.groupBy(*PRODUCT)
-        .agg(
-            F.count_if(F.col("PERFIL") == SENDER).alias("EMISORES"),
-            F.count_if(F.col("PERFIL") == RECEIVER).alias("RECEPTORES"),
-        )
-        .select(*PRODUCT, "EMISORES", (F.col("EMISORES") * F.col("RECEPTORES")).alias("PARES"))
-    )
+def with_pieces(roles: DataFrame, pairs_at_once: int) -> DataFrame:
+    """Adds TROZOS, the pieces a product and colour is dealt out in so that each has about ``pairs_at_once`` pairs."""
+    group = Window.partitionBy(*PRODUCT)
+    sending = F.count_if(F.col("PERFIL") == SENDER).over(group)
+    needing = F.count_if(F.col("PERFIL") == RECEIVER).over(group)
+    pieces = F.least(F.ceil(sending * needing / F.lit(max(pairs_at_once, 1))), needing)
+    return roles.withColumn("TROZOS", F.greatest(pieces, F.lit(1)).cast("int"))
 
 
-def network_of(roles: DataFrame, distance: Distance, max_pairs: int = MAX_PAIRS) -> Network:
-    """``roles`` should be a stored table: it is read several times."""
-    sizes = group_sizes(roles)
-    largest = sizes.agg(F.max("PARES")).first()[0] or 0
-    large = stored(sizes.filter(F.col("PARES") > max_pairs), "large") if largest > max_pairs else None
-    return Network(roles, distance, max_pairs, large)
+def network_of(roles: DataFrame, distance: Distance, pairs_at_once: int = PAIRS_AT_ONCE) -> Network:
+    ways = routes_of(distance) if isinstance(distance, DataFrame) else distance
+    return Network(stored(with_pieces(roles, pairs_at_once), "roles"), ways, pairs_at_once)
 
 
 def build_network(
@@ -89,25 +102,21 @@ def build_network(
     stock: DataFrame,
     distance: Distance,
     to_process: DataFrame | None = None,
-    max_pairs: int = MAX_PAIRS,
+    pairs_at_once: int = PAIRS_AT_ONCE,
 ) -> Network:
-    return network_of(stored(network_roles(kpis, stock, to_process), "roles"), distance, max_pairs)
-
-
-def _size_columns(roles: DataFrame) -> list[str]:
-    return [name for name in ("PARES", "EMISORES") if name in roles.columns]
+    return network_of(network_roles(kpis, stock, to_process), distance, pairs_at_once)
 
 
 def senders(roles: DataFrame) -> DataFrame:
     return roles.filter(F.col("PERFIL") == SENDER).select(
-        *PRODUCT, *_size_columns(roles),
+        *PRODUCT, "TROZOS",
         F.col("CODEMAGASIN").alias("EMISOR"), F.col("STOCK_TOTAL").alias("STOCK_EMISOR"), "APORTE",
     )
 
 
 def receivers(roles: DataFrame) -> DataFrame:
     return roles.filter(F.col("PERFIL") == RECEIVER).select(
-        *PRODUCT,
+        *PRODUCT, "TROZOS",
         F.col("CODEMAGASIN").alias("RECEPTOR"), F.col("STOCK_TOTAL").alias("STOCK_RECEPTOR"),
         F.col("VELOCIDAD_SEMANAL_REAL").alias("VELOCIDAD_REAL_RECEPTOR"),
         F.col("VELOCIDAD_OPERATIVA").alias("VELOCIDAD_OPERATIVA_RECEPTOR"),
@@ -115,60 +124,32 @@ def receivers(roles: DataFrame) -> DataFrame:
     )
 
 
-def with_distance(pairs: DataFrame, distance: Distance) -> DataFrame:
-    """Adds DISTANCIA_MINUTOS from sender to receiver; a pair without a route drops out."""
-    if not isinstance(distance, DataFrame):
-        minutes = distance(F.col("EMISOR"), F.col("RECEPTOR"))
-        return pairs.withColumn("DISTANCIA_MINUTOS", minutes).filter(F.col("DISTANCIA_MINUTOS").isNotNull())
-    routes = distance.select(
-        F.col("CODIGO_ORIGEN").alias("EMISOR"), F.col("CODIGO_DESTINO").alias("RECEPTOR"), "DISTANCIA_MINUTOS"
-    )
-    return pairs.join(routes, ["EMISOR", "RECEPTOR"])
-
-
 def meet(
-    giving: DataFrame,
-    needing: DataFrame,
-    distance: Distance,
-    split_to: int | None = None,
-    keep: Column | None = None,
+    giving: DataFrame, needing: DataFrame, network: Network, keep: Column | None = None, spread: bool = True
 ) -> DataFrame:
-    """Equi join of senders and receivers of the same product and colour, then the travel time.
+    """Pairs of a sender and a receiver of the same product and colour between which there is a way, with its minutes.
 
-    With ``split_to`` (``giving`` then has PARES and EMISORES), the senders of a group are spread over as many join keys as bring each key to about that many
-    pairs, and its receivers are repeated for each, so that no task gets a whole large group. ``keep`` is a condition
-    on a pair, which Spark tests inside the join.
+    With ``spread`` each receiver belongs to one of the pieces (TROZO) of its product and colour and senders are repeated for each,
+    so no task gets a whole large group, and what follows per receiver needs no further exchange. ``keep`` is a
+    condition on a pair, which Spark tests inside the join.
     """
     keys = list(PRODUCT)
-    if split_to:
-        parts = F.least(F.ceil(F.col("PARES") / split_to), F.col("EMISORES")).cast("int")
-        counts = giving.select(*PRODUCT, parts.alias("TROZOS")).distinct()
-        needing = (
-            needing.join(counts, PRODUCT)
-            .withColumn("TROZO", F.explode(F.sequence(F.lit(0), F.col("TROZOS") - 1)))
-            .drop("TROZOS")
-        )
-        giving = giving.withColumn("TROZO", F.pmod(F.xxhash64("EMISOR"), parts).cast("int"))
+    if spread:
+        giving = giving.withColumn("TROZO", F.explode(F.sequence(F.lit(0), F.col("TROZOS") - 1)))
+        needing = needing.withColumn("TROZO", F.pmod(F.xxhash64("RECEPTOR"), "TROZOS").cast("int"))
         keys.append("TROZO")
-    met = giving.drop("PARES", "EMISORES").join(needing, keys)
+    giving, needing = giving.drop("TROZOS"), needing.drop("TROZOS")
+    if isinstance(network.distance, Routes):
+        giving = giving.join(network.distance.minutes, "EMISOR")
+        needing = needing.join(network.distance.places, "RECEPTOR")
+        minutes = F.get("MINUTOS", F.col("LUGAR"))
+    else:
+        minutes = network.distance(F.col("EMISOR"), F.col("RECEPTOR"))
+    met = giving.join(needing, keys)
     if keep is not None:
         met = met.filter(keep)
-    if split_to:
-        met = met.drop("TROZO")
-    return with_distance(met, distance)
-
-
-def all_pairs(network: Network, giving: Callable[[DataFrame], DataFrame] = lambda s: s) -> DataFrame:
-    """Every pair of the network; ``giving`` may add columns to the senders first."""
-
-    part = network.small_part()
-    pairs = meet(giving(senders(part)), receivers(part), network.distance)
-    if network.large is None:
-        return pairs
-    part = network.large_part()
-    return pairs.unionByName(
-        meet(giving(senders(part)), receivers(part), network.distance, network.max_pairs)
-    )
+    met = met.withColumn("DISTANCIA_MINUTOS", minutes).drop("MINUTOS", "LUGAR")
+    return met.filter(F.col("DISTANCIA_MINUTOS").isNotNull())
 
 
 def pair_order() -> list[Column]:
@@ -177,82 +158,78 @@ def pair_order() -> list[Column]:
 
 
 def by_receiver() -> WindowSpec:
-    return Window.partitionBy(*PRODUCT, "RECEPTOR")
-
-
-def receiver_order(first: Column) -> Column:
-    """Sort key of a receiver in its group; ``first`` is its best pair as (minus sender stock, minutes)."""
-    return F.struct(
-        (-F.col("VELOCIDAD_REAL_RECEPTOR")).alias("A"),
-        F.col("COBERTURA_INICIAL").alias("B"),
-        first.getField("S").alias("C"),
-        first.getField("M").alias("D"),
-        F.col("RECEPTOR").alias("E"),
-    )
+    """The pairs of a receiver, as they are dealt out."""
+    return Window.partitionBy(*PRODUCT, "TROZO", "RECEPTOR")
 
 
 def best_pair() -> Column:
     return F.min(F.struct((-F.col("STOCK_EMISOR")).alias("S"), F.col("DISTANCIA_MINUTOS").alias("M")))
 
 
-def numbered(
-    rows: DataFrame, leading: dict[str, bool], rest: list[str], name: str, group: list[str] = PRODUCT
-) -> DataFrame:
-    """Numbers the rows of each group from 1 without sorting a whole group in one task.
+Level = dict[str, bool]
 
-    Order is by the ``leading`` columns (True is descending), then ascending by ``rest``. Rows are counted per leading
-    values, the counts before each are added up, and rows are numbered inside each.
-    """
-    first = list(leading)
-    first_order = [F.desc(column) if down else F.asc(column) for column, down in leading.items()]
-    before = Window.partitionBy(*group).orderBy(*first_order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(*group, *first)
-        .agg(F.count("*").alias("_n"))
-        .select(*group, *first, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    )
-    inside = Window.partitionBy(*group, *first).orderBy(*[F.asc(column) for column in rest])
-    return (
-        rows.withColumn("_n", F.row_number().over(inside))
-        .join(offsets, [*group, *first])
-        .withColumn(name, (F.col("_before") + F.col("_n")).cast("int"))
-        .drop("_before", "_n")
-    )
 
+def _sorted(level: Level) -> list[Column]:
+    return [F.desc(column) if down else F.asc(column) for column, down in level.items()]
 
-def pair_rank(network: Network) -> DataFrame:
-    """Pairs with their rank in the product and colour: speed, weeks, sender stock, minutes, then store codes."""
-    leading = {"VELOCIDAD_REAL_RECEPTOR": True, "COBERTURA_INICIAL": False, "STOCK_EMISOR": True}
-    rest = ["DISTANCIA_MINUTOS", "RECEPTOR", "EMISOR"]
-    small = network.small_part()
-    order = [F.desc(column) if down else F.asc(column) for column, down in leading.items()] + [F.asc(c) for c in rest]
-    ranked = meet(senders(small), receivers(small), network.distance).withColumn(
-        "PAIR_RANK", F.row_number().over(Window.partitionBy(*PRODUCT).orderBy(*order))
-    )
-    if network.large is None:
-        return ranked
-    large = network.large_part()
-    pairs = meet(senders(large), receivers(large), network.distance, network.max_pairs)
-    return ranked.unionByName(numbered(pairs, leading, rest, "PAIR_RANK"))
+
+def numbered(rows: DataFrame, first: Level, second: Level, last: Level, name: str, group: list[str] = PRODUCT) -> DataFrame:
+    """Numbers the rows of each group from 1 without sorting a whole group in one task. ``rows`` is read twice.
+
+    A level is columns and whether each is descending. Rows are counted by the values of the first two levels; the counts before each value are added
+    up, over the first level inside a group and over the second inside each value of the first; rows are numbered by the last level inside
+    each value of both. So even rows that agree in all of the first level are spread.
+    """
+    def before(keys: list[str], level: Level) -> Column:
+        return F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy(*_sorted(level)).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    outer, inner = [*group, *first], [*group, *first, *second]
+    counts = rows.groupBy(*inner).agg(F.count("*").alias("_n"))
+    above = counts.groupBy(*outer).agg(F.sum("_n").alias("_n")).select(*outer, before(group, first).alias("_above"))
+    offsets = counts.select(*inner, before(outer, second).alias("_before")).join(above, outer)
+    place = F.row_number().over(Window.partitionBy(*inner).orderBy(*_sorted(last)))
+    ranked = rows.withColumn("_place", place).join(offsets, inner)
+    return ranked.withColumn(name, (F.col("_above") + F.col("_before") + F.col("_place")).cast("int")).drop("_above", "_before", "_place")
+
+
+def pair_rank(
+    network: Network,
+    giving: Callable[[DataFrame], DataFrame] = lambda s: s,
+    needing: Callable[[DataFrame], DataFrame] = lambda r: r,
+) -> DataFrame:
+    """Pairs with their rank in the product and colour: speed, weeks, sender stock, minutes, then store codes.
+
+    ``giving`` and ``needing`` may add columns to the senders and receivers before they meet.
+    """
+    pairs = stored(meet(giving(senders(network.roles)), needing(receivers(network.roles)), network).drop("TROZO"), "pairs")
+    first = {"VELOCIDAD_REAL_RECEPTOR": True, "COBERTURA_INICIAL": False, "STOCK_EMISOR": True, "DISTANCIA_MINUTOS": False}
+    return numbered(pairs, first, {"RECEPTOR": False}, {"EMISOR": False}, "PAIR_RANK")
 
 
 def receiver_rank(ranked: DataFrame) -> DataFrame:
     """Adds the rank at which a receiver first appears among the pairs of its product and colour."""
-    return ranked.withColumn("RECEIVER_RANK", F.min("PAIR_RANK").over(by_receiver()))
+    return ranked.withColumn("RECEIVER_RANK", F.min("PAIR_RANK").over(Window.partitionBy(*PRODUCT, "RECEPTOR")))
+
+
+def _store_names(stores: DataFrame, role: str) -> DataFrame:
+    return stores.select(F.col("CODIGO_TIENDA").alias(role), F.col("NOMBRE_TIENDA").alias(f"NOMBRE_{role}"))
+
+
+def _product_names(roles: DataFrame) -> DataFrame:
+    return roles.filter(F.col("PERFIL") == SENDER).select(*PRODUCT, "NOMPRODUIT", "LIBCOLORIS", F.col("CODEMAGASIN").alias("EMISOR"))
 
 
 def with_names(pairs: DataFrame, roles: DataFrame, stores: DataFrame) -> DataFrame:
     """Adds product, colour and store names to rows with a product, colour, sender and receiver."""
-    products = roles.filter(F.col("PERFIL") == SENDER).select(
-        *PRODUCT, "NOMPRODUIT", "LIBCOLORIS", F.col("CODEMAGASIN").alias("EMISOR")
-    )
-    named = pairs.join(products, [*PRODUCT, "EMISOR"])
-    for role in ("EMISOR", "RECEPTOR"):
-        names = stores.select(F.col("CODIGO_TIENDA").alias(role), F.col("NOMBRE_TIENDA").alias(f"NOMBRE_{role}"))
-        named = named.join(names, role)
-    return named
+    named = pairs.join(_product_names(roles), [*PRODUCT, "EMISOR"])
+    return named.join(_store_names(stores, "EMISOR"), "EMISOR").join(_store_names(stores, "RECEPTOR"), "RECEPTOR")
 
 
 def candidate_pairs(network: Network, stores: DataFrame) -> DataFrame:
-    """Ranked pairs with store and product names."""
-    return with_names(receiver_rank(pair_rank(network)), network.roles, stores)
+    """Ranked pairs with store and product names, which senders and receivers bring along."""
+    ranked = pair_rank(
+        network,
+        lambda s: s.join(_product_names(network.roles), [*PRODUCT, "EMISOR"]).join(_store_names(stores, "EMISOR"), "EMISOR"),
+        lambda r: r.join(_store_names(stores, "RECEPTOR"), "RECEPTOR"),
+    )
+    return receiver_rank(ranked)

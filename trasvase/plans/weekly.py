@@ -15,7 +15,7 @@ from trasvase.operators.assortment import assortment, assortment_candidates, ran
 from trasvase.operators.digests import receive_html, send_html
 from trasvase.operators.kpis import store_product_kpis
 from trasvase.operators.lookups import staffed_stores
-from trasvase.operators.pairs import MAX_PAIRS, Distance, build_network
+from trasvase.operators.pairs import PAIRS_AT_ONCE, Distance, build_network
 from trasvase.operators.sales import sales_clean, sales_scope
 from trasvase.operators.stock import stock_full
 from trasvase.session import stored
@@ -39,7 +39,7 @@ class Inputs:
     stores: DataFrame
     distance: Distance
     photos: DataFrame
-    max_pairs: int = MAX_PAIRS
+    pairs_at_once: int = PAIRS_AT_ONCE
 
 
 @dataclass(frozen=True)
@@ -83,7 +83,7 @@ def run(inputs: Inputs, products: DataFrame, stores: DataFrame, limits: al.Limit
         "stock",
     )
     kpis = stored(store_product_kpis(stock, sales, inputs.stores, products), "kpis")
-    network = build_network(kpis, stock, inputs.distance, products, inputs.max_pairs)
+    network = build_network(kpis, stock, inputs.distance, products, inputs.pairs_at_once)
     allocation = al.allocate(network, limits)
     moves = stored(al.move_table(allocation, stock, inputs.photos, inputs.stores), "moves")
     return Run(products, all_sales, sales, stock, kpis, allocation, moves)
