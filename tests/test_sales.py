@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 from trasvase.functions import sales as fx
 from trasvase.operators import sales
 from trasvase.plans import weekly
-from trasvase.schemas import VENTAS
-from trasvase.sources.sales_files import list_sales_files, read_sales_files, sales_file_scope
+from trasvase.schemas import FOTOS_PRODUCTOS, VENTAS, lost_values
+from trasvase.sources import tables
+from trasvase.sources.sales_files import (
+    list_sales_files, read_sales_files, reading_summary, rejected_cells, sales_file_scope, scan_sales_files,
+)
 
 HEAD = "FECHA;HORA;TIENDA;NUM_VENDEDOR;TALON;EAN;VENTA_DIRECTA;DEVOLUCION;IMPORTE"
 
@@ -134,3 +137,46 @@ def test_sale_times_do_not_depend_on_the_time_zone(spark, stores):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert (line.FECHA_HORA, line.FECHA, line.DIA_SEMANA_NOMBRE) == ("2025-03-30 02:30:00", "2025-03-30", "Domingo")
+
+
+def test_skipped_files_and_rejected_lines_are_listed(spark, folder, tmp_path):
+    third = tmp_path / "third folder"
+    third.mkdir()
+    (third / "202501071.csv").write_text('\ufeff"FECHA";"HORA";TIENDA;IMPORTE;PEDIDO\n07/01/2025;9;801;x y;\n07/01/2025;9;801\n07/01/2025;9;801;1;2;3\n32/01/2025;9h;801;5;z\n07/01/2025;9;801;5;1\n')
+    (third / "202501081.csv").write_text("FECHA;HORA;TIENDA;IMPORTE;HORA\n08/01/2025;9;801;1;9\n")
+    (third / "202501091.csv").write_text("FECHA;HORA;TIENDA;IMPORTE\n")
+    (third / "202501101.csv").write_text("\n  \n")
+    scan = scan_sales_files(spark, [*folder, str(third)], "2025-01-01", "2025-01-31")
+    skipped = {r.ARCHIVO: r.MOTIVO for r in scan.files.collect() if r.MOTIVO}
+    assert skipped == {"202501051.csv": "FALTAN COLUMNAS", "202501081.csv": "COLUMNAS REPETIDAS", "202501101.csv": "FICHERO VACIO"} | (
+        {"202501042.csv": "FICHERO VACIO"} if "202501042.csv" in skipped else {}
+    )
+    cells = sorted((r.ARCHIVO, r.MOTIVO, r.COLUMNA or "", r.VALOR) for r in rejected_cells(scan.lines).collect() if r.ARCHIVO == "202501071.csv")
+    assert cells == [
+        ("202501071.csv", "CAMPOS DE MAS O DE MENOS", "", "07/01/2025;9;801"),
+        ("202501071.csv", "CAMPOS DE MAS O DE MENOS", "", "07/01/2025;9;801;1;2;3"),
+        ("202501071.csv", "VALOR ILEGIBLE", "FECHA", "32/01/2025"),
+        ("202501071.csv", "VALOR ILEGIBLE", "HORA", "9h"),
+        ("202501071.csv", "VALOR ILEGIBLE", "IMPORTE", "x y"),
+        ("202501071.csv", "VALOR ILEGIBLE", "PEDIDO", "z"),
+    ]
+    summary = {(r.ARCHIVO, r.MOTIVO): r.LINEAS for r in reading_summary(spark, scan).collect()}
+    assert {k[1]: n for k, n in summary.items() if k[0] == "202501071.csv"} == {"CAMPOS DE MAS O DE MENOS": 2, "VALOR ILEGIBLE": 2, "CORRECTA": 1}
+    assert summary["202501051.csv", "FALTAN COLUMNAS"] == 1 and summary["202501081.csv", "COLUMNAS REPETIDAS"] == 1
+    assert sum(n for (name, _), n in summary.items() if name[:8] >= "20250107") == 6
+    assert scan_sales_files(spark, [folder[2]], "2025-01-01", "2025-01-31") is None
+
+
+def test_ranking_sheets_that_cannot_be_opened_are_listed(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Code produit;Code coloris\n1;2\n")
+    sheets, skipped = tables.ranking_sheets(spark, [str(tmp_path / "a.csv"), str(tmp_path / "missing.parquet")])
+    assert len(sheets) == 1 and [(r.RUTA, r.MOTIVO) for r in skipped.collect()] == [(str(tmp_path / "missing.parquet"), "PATH_NOT_FOUND")]
+    with pytest.raises(ValueError, match="PATH_NOT_FOUND"):
+        tables.read_ranking(spark, [str(tmp_path / "missing.parquet")])
+
+
+def test_values_that_conform_loses_are_counted(spark):
+    rows = spark.createDataFrame([("1", "x", " "), ("2", "x", None), ("3", "4", "5")], "ean string, codeproduit string, CODECOLORIS string")
+    lost = lost_values(rows, FOTOS_PRODUCTOS).collect()
+    assert [(r.COLUMNA, r.VALOR, r.FILAS) for r in lost] == [("CODEPRODUIT", "x", 2)]
+    assert lost_values(rows.select("ean"), FOTOS_PRODUCTOS).collect() == []

@@ -18,7 +18,7 @@ from trasvase.plans import weekly
 from trasvase.schemas import VENTAS_FICHERO, conform
 from trasvase.session import scratch_path, stored
 from trasvase.sinks import tables as sink
-from trasvase.sources.sales_files import sales_file_scope
+from trasvase.sources.sales_files import SalesScan, reading_summary, rejected_cells, sales_file_scope, scan_sales_files
 from trasvase.sources.tables import PHOTO_HEADINGS, code_list, read_delimited, read_move_sheet, read_photos, read_ranking
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,32 @@ def _timed(g: Given) -> DataFrame:
     return sales.sales_time(conform(g.ventas_raw, VENTAS_FICHERO))
 
 
+def _scanned(g: Given) -> SalesScan:
+    """All sales written as dated files of two shapes and a bad one, and read again."""
+    folder = scratch_path(g.spark, "sales-files")
+    sink.write_named_lines(g.sales_file_lines, folder, "ARCHIVO", ["ORDEN"], "LINEA")
+    return scan_sales_files(g.spark, [folder, f"{folder}-none"], "1900-01-01", "2100-01-01")
+
+
+@query
+def sales_files_read(g: Given) -> DataFrame:
+    return _scanned(g).lines.filter(F.col("MALFORMADA").isNull()).select(
+        "ARCHIVO", "FECHA", "HORA", "TIENDA", "TALON", "EAN", "VENTA_DIRECTA", "DEVOLUCION", "IMPORTE"
+    )
+
+
+@query
+def sales_files_summary(g: Given) -> DataFrame:
+    return reading_summary(g.spark, _scanned(g))
+
+
+@query
+def sales_rejects(g: Given) -> DataFrame:
+    return rejected_cells(_scanned(g).lines).groupBy("ARCHIVO", "MOTIVO", "COLUMNA").agg(
+        F.count("*").alias("CELDAS"), F.min("VALOR").alias("PRIMERO")
+    )
+
+
 @query
 def sales_time(g: Given) -> DataFrame:
     return _timed(g).select(
@@ -355,6 +381,13 @@ def transfer_allocation_tight(g: Given) -> DataFrame:
     return al.transfer_allocation(_network(g), TIGHT).drop("ORDEN_RECEPTOR")
 
 
+@query
+def transfer_allocation_rounds(g: Given) -> DataFrame:
+    """With so few pairs at once that most products need several rounds."""
+    network = pairs.network_of(_network(g, g.stored_stock).roles.drop("TROZOS"), travel_minutes, pairs_at_once=4)
+    return al.transfer_allocation(network, al.Limits()).drop("ORDEN_RECEPTOR")
+
+
 @query
 def candidate_pairs_routes(g: Given) -> DataFrame:
     return pairs.candidate_pairs(_network(g, g.stored_stock, g.distancias), g.centros)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import functools
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -115,6 +116,36 @@ class Given:
             " || CAST(l_orderkey % 3 + 1 AS STRING) || '.csv' AS ARCHIVO",
         )
 
+    @cached_property
+    def sales_file_lines(self) -> DataFrame:
+        """All sales as the lines of one file a month and kind: ARCHIVO, ORDEN (0 is the header) and LINEA.
+
+        Files ending in 1 have one order of columns, those in 2 another without tickets, and those in 3 lack the store. Some lines have a field too many, some
+        quantities and amounts are words.
+        """
+        shapes = {
+            "1": ["FECHA", "HORA", "TIENDA", "TALON", "EAN", "VENTA_DIRECTA", "DEVOLUCION", "IMPORTE"],
+            "2": ["IMPORTE", "EAN", "DEVOLUCION", "VENTA_DIRECTA", "TIENDA", "HORA", "FECHA"],
+            "3": ["FECHA", "HORA", "EAN", "IMPORTE"],
+        }
+        rows = self._read("lineitem").selectExpr(
+            "l_orderkey", "l_linenumber", "CAST(l_orderkey % 3 + 1 AS STRING) AS K", "date_format(l_shipdate, 'yyyyMM') || '01' AS MES",
+            "date_format(l_shipdate, 'dd/MM/yyyy') AS FECHA", "CAST((l_orderkey * 7) % 24 * 100 + l_partkey % 60 AS STRING) AS HORA",
+            "' TDA ' || lpad(CAST(l_suppkey AS STRING), 5, '0') AS TIENDA", "CAST(l_orderkey AS STRING) AS TALON", "CAST(l_partkey AS STRING) AS EAN",
+            "CASE WHEN l_orderkey % 41 = 7 THEN 'dos' WHEN l_returnflag <> 'R' THEN CAST(CAST(ceil(l_quantity / 10) AS INT) AS STRING) END AS VENTA_DIRECTA",
+            "CASE WHEN l_returnflag = 'R' THEN CAST(-CAST(ceil(l_quantity / 10) AS INT) AS STRING) END AS DEVOLUCION",
+            "CASE WHEN l_partkey % 53 = 9 THEN 'n/d' ELSE CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS STRING) END AS IMPORTE",
+            "CASE WHEN l_partkey % 37 = 5 THEN ';sobra' ELSE '' END AS SOBRA",
+        )
+        name = F.concat("MES", "K", F.lit(".csv")).alias("ARCHIVO")
+        found = []
+        for kind, columns in shapes.items():
+            mine = rows.filter(F.col("K") == kind)
+            line = F.concat(F.concat_ws(";", *[F.coalesce(c, F.lit("")) for c in columns]), F.col("SOBRA"))
+            found.append(mine.select(name, (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ORDEN"), line.alias("LINEA")))
+            found.append(mine.select(name).distinct().select("ARCHIVO", F.lit(0).cast("long").alias("ORDEN"), F.lit(";".join(columns)).alias("LINEA")))
+        return functools.reduce(DataFrame.unionByName, found)
+
     @cached_property
     def stock_cuentas(self) -> DataFrame:
         """Stock by account; account 7 is none of those the job looks at, so some articles have no stock row."""

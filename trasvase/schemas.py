@@ -130,3 +130,17 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
         return value.alias(field.name)
 
     return df.select(*[cast(field) for field in schema.fields])
+
+
+def lost_values(df: DataFrame, schema: StructType) -> DataFrame:
+    """What ``conform`` would turn to null although it holds something: COLUMNA, VALOR and how many rows (FILAS)."""
+    present = {name.upper(): name for name in df.columns}
+    cells = []
+    for field in schema.fields:
+        if field.name in present and field.dataType != S:
+            value = F.col(f"`{present[field.name]}`")
+            text = value.cast("string")
+            lost = (F.trim(text) != "") & value.try_cast(field.dataType).isNull()
+            cells.append(F.when(lost, F.struct(F.lit(field.name).alias("COLUMNA"), text.alias("VALOR"))))
+    found = df.select(F.explode(F.array_compact(F.array(*cells))).alias("C")) if cells else df.limit(0).select(F.struct(F.lit("").alias("COLUMNA"), F.lit("").alias("VALOR")).alias("C"))
+    return found.groupBy("C.COLUMNA", "C.VALOR").agg(F.count("*").alias("FILAS"))

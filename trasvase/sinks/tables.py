@@ -111,6 +111,21 @@ def write_run(moves: DataFrame, root: str, run_date: datetime.date) -> None:
     )
 
 
+def write_named_lines(lines: DataFrame, folder: str, name: str, order: list[str], text: str) -> None:
+    """One text file for each value of ``name``, called so, with its lines (``text``) in order.
+
+    Spark chooses the names of the files it writes, so they are renamed in the end, by the driver, one by one.
+    """
+    rows = lines.repartition(name).sortWithinPartitions(name, *order)
+    rows.select(name, text).write.partitionBy(name).text(f"{folder}/_written")
+    jvm = lines.sparkSession._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{folder}/_written")
+    files = root.getFileSystem(lines.sparkSession._jsc.hadoopConfiguration())
+    for part in files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{folder}/_written/{name}=*/part-*")):
+        value = part.getPath().getParent().getName().partition("=")[2]
+        files.rename(part.getPath(), jvm.org.apache.hadoop.fs.Path(f"{folder}/{value}"))
+
+
 def write_digest(lines: DataFrame, path: str) -> None:
     """HTML lines to one folder per store. A long digest spans several files; in name order they are the page."""
     order = ["CENTRO", "OTRO", "ITEM", "LINEA"]

@@ -35,16 +35,23 @@ def stack_by_name(tables: Sequence[DataFrame]) -> DataFrame:
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
-def read_ranking(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Ranking sheets delivered as ``;`` CSV or Parquet, stacked by column name; unreadable ones are skipped."""
-    sheets = []
+def ranking_sheets(spark: SparkSession, paths: Sequence[str]) -> tuple[list[DataFrame], DataFrame]:
+    """The ranking sheets that can be opened, and of the others RUTA and MOTIVO, the name of the error."""
+    sheets, skipped = [], []
     for path in paths:
         try:
             sheets.append(spark.read.parquet(path) if path.endswith(".parquet") else read_delimited(spark, path))
-        except AnalysisException:
-            continue
+        except AnalysisException as error:
+            skipped.append((path, error.getCondition()))
+    return sheets, spark.createDataFrame(skipped, "RUTA string, MOTIVO string")
+
+
+def read_ranking(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Ranking sheets delivered as ``;`` CSV or Parquet, stacked by column name; ``ranking_sheets`` says which were skipped."""
+    sheets, skipped = ranking_sheets(spark, paths)
     if not sheets:
-        raise ValueError("no readable ranking sheet")
+        reasons = ", ".join(f"{row.RUTA}: {row.MOTIVO}" for row in skipped.collect())
+        raise ValueError(f"no readable ranking sheet ({reasons})")
     return stack_by_name(sheets)
 
 
