@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 from trasvase.llm import exchange as ex
-from trasvase.llm.tokens import PieceEncoder, Remembered, encoder, give_back, held_by_worker, slices
+from trasvase.llm.tokens import PieceEncoder, Remembered, encoder, held_by_worker, slices
 from trasvase.session import stored
 
 #: Buckets of pairs, by A id: all pairs of an id are in one, and none can have more than its ids times the B vocabulary.
@@ -302,7 +302,6 @@ def _count(a: str, b: str):
                 if size > HELD:
                     found = _summed(keys, counts)
                     keys, counts, size = [found[0]], [found[1]], 0
-        give_back()
         if not keys:
             return
         every, held = _summed(keys, counts)
@@ -364,7 +363,7 @@ def _add_vectors(table: pa.Table) -> pa.Table:
 def _tree(rows: DataFrame, merge: Callable[[pa.Table], pa.Table], shape: str, parts: int) -> DataFrame:
     """Rows of a bucket merged ``FAN`` at a time until at most ``FAN`` are left."""
     while parts > FAN:
-        rows = rows.groupBy("bucket", F.floor(F.col("part") / FAN)).applyInArrow(merge, shape)
+        rows = rows.groupBy("bucket", F.floor(F.col("part") / FAN)).applyInArrow(ex.handing_back(merge), shape)
         parts = -(-parts // FAN)
     return rows
 
@@ -374,13 +373,13 @@ def pair_counts(tokens: DataFrame, a: str, b: str) -> DataFrame:
     parts = stored(tokens.select("a", "b").mapInArrow(_count(a, b), _PARTS), "pairs")
     tasks = (parts.agg(F.max("part")).first()[0] or 0) + 1
     keys = _tree(parts.select("bucket", "part", "keys"), _join_keys, _KEYS, tasks)
-    hashes = stored(keys.groupBy("bucket").applyInArrow(_build, _HASHES), "pair-hashes")
+    hashes = stored(keys.groupBy("bucket").applyInArrow(ex.handing_back(_build), _HASHES), "pair-hashes")
     group = F.floor(F.col("part") / FAN)
     groups = -(-tasks // FAN)
     spread = hashes.select("bucket", "sizes", "bits", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("g"))
-    vectors = parts.withColumn("g", group).groupBy("bucket", "g").cogroup(spread.groupBy("bucket", "g")).applyInArrow(_vector, _VECTORS)
+    vectors = parts.withColumn("g", group).groupBy("bucket", "g").cogroup(spread.groupBy("bucket", "g")).applyInArrow(ex.handing_back(_vector), _VECTORS)
     while groups > 1:
-        vectors = vectors.groupBy("bucket", group).applyInArrow(_add_vectors, _VECTORS)
+        vectors = vectors.groupBy("bucket", group).applyInArrow(ex.handing_back(_add_vectors), _VECTORS)
         groups = -(-groups // FAN)
     return stored(hashes.join(vectors.select("bucket", "vector"), "bucket"), "pair-counts")
 

@@ -8,9 +8,14 @@ than a fixed amount, and one frequent hash is one number a chunk.
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import math
+import sys
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -23,6 +28,29 @@ CHUNK_BYTES, RANGE_HASHES = 8 << 20, 1 << 19
 _ODD = np.array([xxhash.xxh64_intdigest(b"window%d" % k) | 1 for k in range(64)], np.uint64)
 
 
+def give_back() -> None:
+    """Hands memory that is free back to the system, so that a reused worker does not keep what its largest group took."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def handing_back(group: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """A function of a group (or of two that belong together) after which its memory is handed back."""
+
+    def one(table: pa.Table) -> pa.Table:
+        found = group(table)
+        give_back()
+        return found
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = group(left, right)
+        give_back()
+        return found
+
+    return one if len(inspect.signature(group).parameters) == 1 else two
+
+
 def corpus_bytes(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))))).first()[0] or 0
 

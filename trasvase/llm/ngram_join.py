@@ -149,10 +149,10 @@ def profiles(docs: DataFrame) -> DataFrame:
     size = ex.corpus_bytes(plain)
     bits, ranges = ex.bits_for(size), ex.ranges_for(size)
     chunked, _ = ex.in_chunks(plain, size)
-    sent = chunked.groupBy("_chunk").applyInArrow(_send(bits, ranges), _SENT)
-    answer = sent.groupBy("_range").applyInArrow(_frequencies, _ANSWER)
+    sent = chunked.groupBy("_chunk").applyInArrow(ex.handing_back(_send(bits, ranges)), _SENT)
+    answer = sent.groupBy("_range").applyInArrow(ex.handing_back(_frequencies), _ANSWER)
     shape = _PROFILE.format(id=dict(plain.dtypes)["doc_id"])
-    return chunked.groupBy("_chunk").cogroup(answer.groupBy("_chunk")).applyInArrow(_profiles(bits), shape)
+    return chunked.groupBy("_chunk").cogroup(answer.groupBy("_chunk")).applyInArrow(ex.handing_back(_profiles(bits)), shape)
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -274,7 +274,7 @@ def open_links(postings: DataFrame, sets: DataFrame, labels: DataFrame) -> DataF
     right = members.join(parts, "comp").withColumns({"block": deal("sig", "blocks"), "cell": spread}).withColumn("way", all_of("ways"))
     right = right.select(*names).toDF(*names)
     by = names[:3]
-    return left.groupBy(by).cogroup(right.groupBy(by)).applyInArrow(_meet, "a long, b long")
+    return left.groupBy(by).cogroup(right.groupBy(by)).applyInArrow(ex.handing_back(_meet), "a long, b long")
 
 
 def _joined(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -332,7 +332,7 @@ def class_links(sets: DataFrame, comps: DataFrame) -> DataFrame:
     each = each.withColumns({"block": F.pmod(F.xxhash64("sig"), F.col("ways")), "cell": F.pmod(F.xxhash64("comp"), F.lit(cells))})
     each = each.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ways") - 1)))
     each = each.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("ways", "other")
-    found = each.groupBy("cell", "low", "high").applyInArrow(_count_links, "sig long, links long")
+    found = each.groupBy("cell", "low", "high").applyInArrow(ex.handing_back(_count_links), "sig long, links long")
     return found.groupBy("sig").agg(F.sum("links").alias("links"))
 
 

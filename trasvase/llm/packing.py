@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from trasvase.llm import exchange as ex
 from trasvase.llm.substring_dedup import _in_order
-from trasvase.llm.tokens import encoder, give_back, line_of
+from trasvase.llm.tokens import encoder, line_of
 
 #: Tokens of a sequence; id that ends a document; longest stretch of a sentence without a place to cut.
 LENGTH, END, STRIDE = 4096, 2, 256
@@ -103,7 +103,6 @@ def _pack(path: str, length: int, with_ids: bool):
         }
         if with_ids:
             out["ids"] = pa.array([line[a:b].astype(np.int32) for a, b in zip(starts.tolist(), stops.tolist())], pa.list_(pa.int32()))
-        give_back()
         return pa.table(out)
 
     return pack
@@ -121,4 +120,4 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, wi
     chunked, _ = ex.in_chunks(plain, ex.corpus_bytes(plain))
     shape = f"doc_id {dict(docs.dtypes)['doc_id']}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
-    return chunked.groupBy("_chunk").applyInArrow(_pack(path, length, with_ids), shape + (", ids array<int>" if with_ids else ""))
+    return chunked.groupBy("_chunk").applyInArrow(ex.handing_back(_pack(path, length, with_ids)), shape + (", ids array<int>" if with_ids else ""))

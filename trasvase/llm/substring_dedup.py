@@ -223,10 +223,10 @@ def _passes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     size = ex.corpus_bytes(docs)
     bits, ranges = ex.bits_for(size), ex.ranges_for(size)
     chunked, _ = ex.in_chunks(docs, size)
-    sent = chunked.groupBy("_chunk").applyInArrow(_send(bits, ranges), _SENT)
-    hits = sent.groupBy("_range").applyInArrow(_hits, _ANSWER)
-    windows = chunked.groupBy("_chunk").cogroup(hits.groupBy("_chunk")).applyInArrow(_extend(bits, ranges), _WINDOWS)
-    return chunked, windows.groupBy("_range").applyInArrow(_earlier, _ANSWER)
+    sent = chunked.groupBy("_chunk").applyInArrow(ex.handing_back(_send(bits, ranges)), _SENT)
+    hits = sent.groupBy("_range").applyInArrow(ex.handing_back(_hits), _ANSWER)
+    windows = chunked.groupBy("_chunk").cogroup(hits.groupBy("_chunk")).applyInArrow(ex.handing_back(_extend(bits, ranges)), _WINDOWS)
+    return chunked, windows.groupBy("_range").applyInArrow(ex.handing_back(_earlier), _ANSWER)
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
@@ -237,11 +237,11 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     """
     chunked, answer = _passes(docs.select("doc_id", "text"))
     shape = f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, n_removed long, kept_sha256 string, spans array<struct<start: long, end: long>>"
-    return chunked.groupBy("_chunk").cogroup(answer.groupBy("_chunk")).applyInArrow(_digest, shape)
+    return chunked.groupBy("_chunk").cogroup(answer.groupBy("_chunk")).applyInArrow(ex.handing_back(_digest), shape)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``; texts without any stay as they are, other columns always."""
     chunked, answer = _passes(docs)
     shape = T.StructType([f for f in chunked.schema.fields if f.name != "_chunk"])
-    return chunked.groupBy("_chunk").cogroup(answer.groupBy("_chunk")).applyInArrow(_cut_out, shape)
+    return chunked.groupBy("_chunk").cogroup(answer.groupBy("_chunk")).applyInArrow(ex.handing_back(_cut_out), shape)

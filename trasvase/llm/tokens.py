@@ -8,7 +8,6 @@ a special token where those count, are encoded whole.
 
 from __future__ import annotations
 
-import ctypes
 import os
 import re
 import sys
@@ -22,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of memory a worker's remembered pieces may take for a tokenizer, about; longest piece that is remembered.
-REMEMBERED_BYTES, LONGEST = 64 << 20, 64
+REMEMBERED_BYTES, LONGEST = 96 << 20, 64
 #: Of it, what one piece takes beside its characters and ids.
 _EACH = 150
 #: Text handled at once, in bytes.
@@ -40,7 +39,8 @@ _SPACE_SIGN = "\u2581"
 
 
 class Remembered:
-    """Ids of pieces, encoded once while they are remembered. When they take too much, those not met again are forgotten."""
+    """Ids of pieces, encoded once while they are remembered. When they take too much, those not met
+    again since they took half of it are forgotten."""
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]]):
         self.encode, self.known, self.again, self.size = encode, {}, set(), 0
@@ -54,7 +54,8 @@ class Remembered:
             self.size += self._size(new)
         found = [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), np.uint16) for pieces in texts]
         self.forget([piece for piece in new if len(piece) > LONGEST])
-        self.again.update(distinct.difference(new))
+        if 2 * self.size > REMEMBERED_BYTES:
+            self.again.update(distinct.difference(new))
         if self.size > REMEMBERED_BYTES:
             self.known = {piece: self.known[piece] for piece in self.again}
             self.size = self._size(self.again)
@@ -214,13 +215,6 @@ def line_of(texts: pa.ChunkedArray, encode: Encoder, end: int) -> tuple[np.ndarr
     return np.frombuffer(ids, np.uint16), np.array(lengths, np.int64)
 
 
-def give_back() -> None:
-    """Hands memory that a group has freed back to the system, so that a reused worker does not keep its largest group's."""
-    pa.default_memory_pool().release_unused()
-    if sys.platform == "linux":
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """A batch in runs of rows of about ``most`` bytes of a column; a longer value is alone."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from trasvase.llm import exchange as ex
 from trasvase.llm.substring_dedup import _in_order
-from trasvase.llm.tokens import encoder, give_back, line_of
+from trasvase.llm.tokens import encoder, line_of
 from trasvase.session import scratch_path
 
 #: Bits counted together in a plane's directory; first bytes of a file; id that ends a document.
@@ -173,7 +173,6 @@ def _encode(path: str):
         table = _in_order(table)
         ids, lengths = line_of(table["text"], encoder(path), END)
         data = shard_file(table["doc_id"].combine_chunks(), lengths, ids)
-        give_back()
         return pa.table({"shard": table["_chunk"][:1], "tokens": pa.array([len(ids)], pa.int64()), "file": pa.array([data], pa.binary())})
 
     return encode
@@ -187,7 +186,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str) -> None:
     """
     plain = docs.select("doc_id", "text")
     chunked, _ = ex.in_chunks(plain, ex.corpus_bytes(plain))
-    files = chunked.groupBy("_chunk").applyInArrow(_encode(tokenizer), "shard int, tokens long, file binary")
+    files = chunked.groupBy("_chunk").applyInArrow(ex.handing_back(_encode(tokenizer)), "shard int, tokens long, file binary")
     files.write.option("compression", "uncompressed").parquet(folder)
 
 
