@@ -10,6 +10,7 @@ from trasvase.operators import allocate as al
 from trasvase.operators import digests
 from trasvase.plans import weekly
 from trasvase.schemas import MOVIMIENTOS
+from trasvase.sinks import publishing
 from trasvase.sinks import tables as sink
 from trasvase.sources.tables import code_list, read_delimited, read_move_sheet
 
@@ -169,3 +170,30 @@ def test_digest_lines_make_one_page_per_store(spark):
     received = digests.receive_html(moves).filter("CENTRO = '8'").orderBy("OTRO", "ITEM", "LINEA").collect()
     assert "2 referencias</b> con un total de <b>4 unidades" in received[0].HTML
     assert "A&lt;1&gt;" in received[1].HTML
+
+
+def test_readers_see_a_whole_version_or_the_one_before(spark, tmp_path):
+    root, stores = str(tmp_path), spark.createDataFrame([("1", "A"), ("2", "B")], "CODIGO_TIENDA string, NOMBRE_TIENDA string")
+    assert publishing.current_version(spark, root) is None
+    with pytest.raises(FileNotFoundError):
+        publishing.current_table(spark, root, "centros")
+    assert publishing.publish_version({"centros": stores}, root) == 1
+    publishing.write_version({"centros": stores.limit(1)}, root, 2)
+    assert publishing.current_table(spark, root, "centros").count() == 2
+    with pytest.raises(publishing.KeysBroken, match="centros: 1 keys, such as '1'"):
+        publishing.publish_version({"centros": stores.unionByName(stores.limit(1))}, root)
+    assert (publishing.current_version(spark, root), publishing.current_table(spark, root, "centros").count()) == (1, 2)
+    assert publishing.publish_version({"centros": stores.limit(1)}, root) == 2
+    assert publishing.current_table(spark, root, "centros").count() == 1
+
+
+def test_seeds_are_published_if_their_keys_hold(spark, tmp_path):
+    (tmp_path / "centros.csv").write_text("NOMBRE_TIENDA;CODIGO_TIENDA;TIENE_PERSONAL\nA;1;true\nB;;false\nC;1;true\nD;2;true\n")
+    (tmp_path / "distancias.csv").write_text("CODIGO_ORIGEN;CODIGO_DESTINO;DISTANCIA_MINUTOS\n1;2;30\n")
+    files = {name: str(tmp_path / f"{name}.csv") for name in ("centros", "distancias")}
+    broken = publishing.load_seeds(spark, files, f"{tmp_path}/root")
+    assert sorted((r.TABLA, r.CLAVE, r.FILAS, r.MOTIVO) for r in broken.collect()) == [("centros", "", 1, "CLAVE VACIA"), ("centros", "1", 2, "CLAVE REPETIDA")]
+    assert publishing.current_version(spark, f"{tmp_path}/root") is None
+    (tmp_path / "centros.csv").write_text("NOMBRE_TIENDA;CODIGO_TIENDA;TIENE_PERSONAL\nA;1;true\n")
+    assert publishing.load_seeds(spark, files, f"{tmp_path}/root").isEmpty()
+    assert publishing.current_table(spark, f"{tmp_path}/root", "distancias").first().DISTANCIA_MINUTOS == 30

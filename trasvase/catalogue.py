@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from trasvase.operators import stock as st
 from trasvase.plans import weekly
 from trasvase.schemas import VENTAS_FICHERO, conform
 from trasvase.session import scratch_path, stored
+from trasvase.sinks import publishing
 from trasvase.sinks import tables as sink
 from trasvase.sources.sales_files import SalesScan, reading_summary, rejected_cells, sales_file_scope, scan_sales_files
 from trasvase.sources.tables import PHOTO_HEADINGS, code_list, read_delimited, read_move_sheet, read_photos, read_ranking
@@ -527,6 +529,37 @@ def stock_table(g: Given) -> DataFrame:
     return sink.table(g.spark, root, "stock")
 
 
+@query
+def published_versions(g: Given) -> DataFrame:
+    """What readers see after a whole run, after one that was interrupted, and after the next whole one."""
+    root, found = scratch_path(g.spark, "published"), []
+
+    def seen(step: str) -> DataFrame:
+        version = publishing.current_version(g.spark, root)
+        stock, stores = (publishing.version_table(g.spark, root, version, name) for name in ("stock", "centros"))
+        each = stock.selectExpr("1L AS FILAS", "TOTAL AS UNIDADES", "0L AS CENTROS").unionByName(stores.selectExpr("0L AS FILAS", "0L AS UNIDADES", "1L AS CENTROS"))
+        return each.agg(F.lit(step).alias("PASO"), *[F.sum(name).alias(name) for name in each.columns])
+
+    staffed = g.centros.filter("TIENE_PERSONAL")
+    publishing.publish_version({"stock": g.stock, "centros": g.centros}, root)
+    found.append(seen("1 COMPLETA"))
+    publishing.write_version({"stock": g.stock.filter("TOTAL > 1")}, root, 2)  # and then it stopped
+    found.append(seen("2 INTERRUMPIDA"))
+    publishing.publish_version({"stock": g.stock.filter("TOTAL > 2"), "centros": staffed}, root)
+    found.append(seen("3 COMPLETA"))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+@query
+def key_violations(g: Given) -> DataFrame:
+    """Tables with rows planted twice and without a key."""
+    stores = g.centros.unionByName(g.centros.filter("CATEGORIA = 'G'")).unionByName(g.centros.filter("CATEGORIA = 'P'").withColumn("CODIGO_TIENDA", F.lit(None).cast("string")))
+    stock = g.stock.unionByName(g.stock.filter("TOTAL % 5 = 3"))
+    listed = g.productos_procesar.unionByName(g.productos_procesar.filter("CODECOLORIS = 1"))
+    parts = [publishing.key_violations(rows, name) for name, rows in (("centros", stores), ("stock", stock), ("productos_procesar", listed))]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @query
 def products_to_process(g: Given) -> DataFrame:
     root = scratch_path(g.spark, "tables")
