@@ -29,8 +29,8 @@ SLICE_BYTES = 1 << 20
 
 #: Not plain: apostrophes and underscores (they join words in some patterns), odd spaces, a letter whose small form is two
 #: characters, and all beyond Latin.
-_NOT_PLAIN = re.compile("['_\x1c-\x1f\x85\xa0İ]|[^\x00-ɏ]")
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+_NOT_PLAIN = re.compile("['_\x1c-\x1f\x85\xa0\u0130\u0250-\U0010ffff]")
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _SPACED = (re.compile(r"\s*\w+|\s*[^\w\s]+|\s+"), re.compile(r"\s*\S+|\s+"))
 _BARE = (re.compile(r"\w+|[^\w\s]+"), re.compile(r"\S+"))
 #: One space and then something: the piece stays apart from what stands before it.
