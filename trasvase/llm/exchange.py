@@ -18,9 +18,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trasvase.session import stored
+
 #: Bytes of text a chunk should have; hashes a range should have.
 CHUNK_BYTES, RANGE_HASHES = 8 << 20, 1 << 19
 
@@ -58,13 +60,10 @@ def corpus_bytes(docs: DataFrame) -> int:
 def in_chunks(docs: DataFrame, size: int) -> tuple[DataFrame, int]:
     """``docs`` with ``_chunk``, the number of a range of ascending doc_id (nulls are in the first), and how many there are.
 
-    ``size`` is the bytes of text; limits are approximate quantiles of the id, a number a chunk.
+    ``size`` is the bytes of text. An id's chunk is the whole ``CHUNK_BYTES`` of text of all smaller ids, so limits depend on
+    the data alone; they are a number a chunk. All rows with one id, or with none, are in one chunk, whatever they take.
     """
-    parts = max(1, math.ceil(size / CHUNK_BYTES))
-    limits = []
-    if parts > 1:
-        at = [k / parts for k in range(1, parts)]
-        limits = sorted(set(docs.agg(F.percentile_approx("doc_id", at, max(10_000, 50 * parts))).first()[0] or []))
+    limits = chunk_limits(docs) if size > CHUNK_BYTES else []
     if not limits:
         return docs.withColumn("_chunk", F.lit(0)), 1
     held = F.array(*[F.lit(x) for x in limits])
@@ -73,6 +72,20 @@ def in_chunks(docs: DataFrame, size: int) -> tuple[DataFrame, int]:
     return docs.withColumn("_chunk", F.coalesce(found, F.lit(0))), len(limits) + 1
 
 
+def chunk_limits(docs: DataFrame) -> list:
+    """The smallest id of each chunk but the first. Bytes are added up inside ranges of ids and over the ranges before."""
+    sizes = docs.groupBy("doc_id").agg(F.sum(F.octet_length(F.coalesce("text", F.lit("")))).alias("_bytes"))
+    sizes = stored(sizes.repartitionByRange("doc_id").withColumn("_range", F.spark_partition_id()), "sizes")
+    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one number a range
+    ranges = sizes.groupBy("_range").agg(F.sum("_bytes").alias("_all"))
+    ranges = ranges.select("_range", F.coalesce(F.sum("_all").over(ahead), F.lit(0)).alias("_ahead"))
+    smaller = Window.partitionBy("_range").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_ahead") + F.coalesce(F.sum("_bytes").over(smaller), F.lit(0))
+    chunk = F.floor(before / CHUNK_BYTES).alias("_chunk")
+    firsts = sizes.join(ranges, "_range").select("doc_id", chunk).groupBy("_chunk").agg(F.min("doc_id").alias("first"))
+    return sorted(row[0] for row in firsts.filter("_chunk > 0 AND first IS NOT NULL").select("first").collect())
+
+
 def bits_for(size: int) -> int:
     """Bits of a hash so that about one in a thousand windows of ``size`` bytes of text meets another by chance."""
     return min(63, max(24, math.ceil(math.log2(size / 4 + 2)) + 10))
