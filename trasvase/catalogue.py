@@ -529,6 +529,38 @@ def stock_table(g: Given) -> DataFrame:
     return sink.table(g.spark, root, "stock")
 
 
+def _listing(g: Given, rows: DataFrame) -> DataFrame:
+    """Sorted rows written as a listing and read again with their places."""
+    path = scratch_path(g.spark, "listing")
+    sink.write_ordered(rows, path)
+    return sink.read_ordered(g.spark, path, rows.schema)
+
+
+@query
+def stock_listing(g: Given) -> DataFrame:
+    """Place and order columns of each row: rows that tie in all of them may change places."""
+    listed = _listing(g, st.stock_order(st.stock_full(g.stock_cuentas, g.articles, g.remote_products, g.remote_sizes, g.remote_colours)))
+    return listed.select("POSICION", "CODEMAGASIN", "CODEPRODUIT", "CODEGRILLETAILLE", "INDICE")
+
+
+@query
+def kpi_listing(g: Given) -> DataFrame:
+    listed = _listing(g, kpis.kpi_order(kpis.store_product_kpis(g.stored_stock, g.recent, g.centros, g.productos)))
+    return listed.select("POSICION", "CODEMAGASIN", "NOMPRODUIT", "LIBCOLORIS")
+
+
+@query
+def exported_tables(g: Given) -> DataFrame:
+    """Three tables of a session of their own, exported and counted from their files."""
+    apart, root = g.spark.newSession(), scratch_path(g.spark, "export")
+    for name, rows in (("centros", g.centros), ("productos", g.productos), ("stock", g.stock)):
+        path = scratch_path(g.spark, name)
+        rows.write.parquet(path)
+        apart.read.schema(rows.schema).parquet(path).createOrReplaceTempView(f"trasvase_{name}")
+    names = [name for name in sink.export_tables(apart, root) if name.startswith("trasvase_")]
+    return sink.exported(g.spark, root, sorted(names))
+
+
 @query
 def published_versions(g: Given) -> DataFrame:
     """What readers see after a whole run, after one that was interrupted, and after the next whole one."""

@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 import datetime
+import functools
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from trasvase.schemas import MOVIMIENTOS, MOVIMIENTOS_HISTORICO, TABLES, conform
+from trasvase.sources.tables import read_delimited
+
+#: Tables written side by side in an export.
+EXPORTS_AT_ONCE = 8
 
 
 def refresh(df: DataFrame, root: str, table: str) -> None:
@@ -144,13 +152,46 @@ def write_stuck(stuck: DataFrame, path: str) -> None:
 
 
 def export_tables(spark: SparkSession, root: str) -> list[str]:
-    """Every table and view of the session catalogue as ``;`` CSV. Returns the names."""
+    """Every table and view of the session catalogue as ``;`` CSV, by jobs that run side by side. Returns the names.
+
+    The driver holds the names; each table is a job of its own, so one that fails leaves the others whole and is raised in the end.
+    """
     names = [entry.name for entry in spark.catalog.listTables()]
-    for name in names:
-        write_delimited(spark.table(name), f"{root}/{name}")
+    with ThreadPoolExecutor(EXPORTS_AT_ONCE) as pool:
+        jobs = [pool.submit(write_delimited, spark.table(name), f"{root}/{name}") for name in names]
+    for job in jobs:
+        job.result()
     return names
 
 
+def exported(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
+    """What the files of exported tables hold, one row a table: TABLA, FILAS and CELDAS (its cells that are not empty)."""
+    parts = []
+    for name in names:
+        rows = read_delimited(spark, f"{root}/{name}")
+        cells = sum((F.col(f"`{c}`").isNotNull().cast("long") for c in rows.columns), F.lit(0).cast("long"))
+        parts.append(rows.agg(F.lit(name).alias("TABLA"), F.count("*").alias("FILAS"), F.coalesce(F.sum(cells), F.lit(0)).alias("CELDAS")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def write_ordered(rows: DataFrame, path: str) -> None:
+    """Rows in the order they are sorted in, as a listing whose files, by name, are the whole in order.
+
+    A sort deals ranges out to tasks, one file each or several in a row; nothing passes through one task.
+    """
+    rows.write.mode("overwrite").parquet(path)
+
+
+def read_ordered(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A listing with POSICION, the place (from 1) of each row: rows of the files before, and the place in the file."""
+    rows = spark.read.schema(schema).parquet(path)
+    rows = rows.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    ahead = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # one number a file
+    files = rows.groupBy("_file").agg(F.count("*").alias("_rows"))
+    files = files.select("_file", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_ahead"))
+    return rows.join(files, "_file").withColumn("POSICION", F.col("_ahead") + F.col("_row") + 1).drop("_file", "_row", "_ahead")
+
+
 def register(spark: SparkSession, root: str) -> list[str]:
     """The stored tables as temp views, for SQL text."""
     found = []
