@@ -26,6 +26,8 @@ from trasvase.llm.tokens import encoder, line_of
 LENGTH, END, STRIDE = 4096, 2, 256
 #: Penalties, in tokens of padding, of a cut at a sentence end and of one inside a sentence.
 SENTENCE, INSIDE = 4, 64
+#: Bytes of text encoded at once: the last stage of a pipeline shares its worker's memory with what came before.
+AT_ONCE = 1 << 20
 
 _ENDS = re.compile(r"[.!?]+(</w>)?")
 
@@ -80,7 +82,7 @@ def _sentence_ids(path: str) -> np.ndarray:
 def _pack(path: str, length: int, with_ids: bool):
     def pack(table: pa.Table) -> pa.Table:
         table = _in_order(table)
-        line, sizes = line_of(table["text"], encoder(path), END)
+        line, sizes = line_of(table["text"], encoder(path), END, AT_ONCE)
         doc_ids, chunk = table["doc_id"].combine_chunks(), table["_chunk"][0].as_py()
         del table
         closes = np.zeros(65536, bool)

@@ -265,10 +265,10 @@ def encoder(path: str, plain: bool = False) -> Encoder:
     return held_by_worker(Encoder, path, plain)
 
 
-def line_of(texts: pa.ChunkedArray, encode: Encoder, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts one after the other, each followed by ``end``, and how many each has with it; a slice of texts at a time."""
+def line_of(texts: pa.ChunkedArray, encode: Encoder, end: int, most: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts one after the other, each followed by ``end``, and how many each has with it; ``most`` bytes of text at a time."""
     ids, lengths = array("H"), []
-    for some in slices(pa.record_batch({"text": texts.combine_chunks()})):
+    for some in slices(pa.record_batch({"text": texts.combine_chunks()}), most=most):
         for found in encode.many(some["text"]):
             ids.frombytes(found.tobytes())
             ids.append(end)
