@@ -14,10 +14,10 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
     """At most ``most`` training documents (doc_id, text, y), the first by a hash of their id.
 
-    A document labelled more than once takes the smallest label; null labels are ignored. The ids are bounded by
-    ``most``, so they are broadcast and the documents are only filtered.
+    A document labelled more than once takes the smallest label, an id with several texts the smallest text that is not
+    null; null labels are ignored. The ids are bounded by ``most``, so they are broadcast and the documents are only filtered.
     """
     known = labels.where(F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min(F.col(label)).cast("int").alias("y"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
+    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y"))

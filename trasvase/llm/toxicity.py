@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 
 from trasvase.llm.labelled import held_out, training_sample
 from trasvase.llm.quality_classifier import curve
+from trasvase.session import stored
 
-#: Labelled documents used at most; tokens kept at most and times they must occur; every PART-th document is for the curve.
-SAMPLE, TOKENS, LEAST, PART = 20_000, 100_000, 3, 4
+#: Labelled documents used at most; every PART-th document is for the curve.
+SAMPLE, PART = 20_000, 4
 #: Prior documents a token has in each class besides its part of the common weight; standard errors that a log odds must
 #: exceed by ``EFFECT``; drift per token; largest score of a token.
 LEAST_PRIOR, PRIOR, ERRORS, EFFECT, DRIFT, TOP = 0.5, 100.0, 2.5, 1.0, 0.25, 8.0
@@ -106,25 +107,28 @@ def evidence(scores: list[float], n: int, rate: float, factor: float) -> float:
     return math.log1p(best)
 
 
-def token_scores(counts: pd.DataFrame) -> dict[str, float]:
-    """Scores from ``counts`` (token, toxic, other: documents that hold it); tokens without a clear difference score as neutral ones."""
-    y, x = counts["toxic"].to_numpy(float), counts["other"].to_numpy(float)
-    if not len(y) or not y.sum() or not x.sum():
-        return {}
-    prior = LEAST_PRIOR + PRIOR * (x + y) / (x + y).sum()
-    weight = prior.sum()
-    odds = np.log((y + prior) / (y.sum() + weight - y - prior)) - np.log((x + prior) / (x.sum() + weight - x - prior))
+def scores_of(counts: pd.DataFrame) -> np.ndarray:
+    """Scores for ``counts`` (toxic, other: documents that hold a token; tokens: how many tokens have these two counts).
+
+    A token without a clear difference is not a number: it scores as neutral text does.
+    """
+    y, x, many = (counts[c].to_numpy(float) for c in ("toxic", "other", "tokens"))
+    ys, xs = (y * many).sum(), (x * many).sum()
+    if not ys or not xs:
+        return np.full(len(y), np.nan)
+    prior = LEAST_PRIOR + PRIOR * (x + y) / (xs + ys)
+    weight = (prior * many).sum()
+    odds = np.log((y + prior) / (ys + weight - y - prior)) - np.log((x + prior) / (xs + weight - x - prior))
     error = ERRORS * np.sqrt(1 / (y + prior) + 1 / (x + prior))
-    sure = np.abs(odds) - error > EFFECT
     shrunk = np.clip(odds / (1 + error**2 / np.maximum(odds**2, 1e-9)), -TOP, TOP) - DRIFT
-    return {t: round(float(s), 6) for t, s, k in zip(counts["token"], shrunk, sure) if k}
+    return np.where(np.abs(odds) - error > EFFECT, shrunk.round(6), np.nan)
 
 
-def background_rate(scores: dict[str, float], counts: pd.DataFrame) -> float:
-    """The positive root of E[exp(rate * score)] = 1 over the other text, smoothed by the prior."""
-    x, y = counts["other"].to_numpy(float), counts["toxic"].to_numpy(float)
-    share = x + LEAST_PRIOR + PRIOR * (x + y) / max((x + y).sum(), 1)
-    s = np.array([scores.get(t, -DRIFT) for t in counts["token"]])
+def background_rate(scores: np.ndarray, counts: pd.DataFrame) -> float:
+    """The positive root of E[exp(rate * score)] = 1 over the other text, smoothed by the prior; ``counts`` and scores as above."""
+    y, x, many = (counts[c].to_numpy(float) for c in ("toxic", "other", "tokens"))
+    share = many * (x + LEAST_PRIOR + PRIOR * (x + y) / max((many * (x + y)).sum(), 1))
+    s = np.where(np.isnan(scores), -DRIFT, scores)
     if not len(s) or s.max() <= 0:
         return 1.0
     low, high = 1e-6, 20.0
@@ -135,8 +139,12 @@ def background_rate(scores: dict[str, float], counts: pd.DataFrame) -> float:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Model from at most ``sample`` labelled training documents; counts come to the driver for ``TOKENS`` tokens at most."""
+    """Model from at most ``sample`` labelled training documents, all their tokens counted.
+
+    The driver holds one row a pair of counts, and the tokens whose counts differ clearly between the classes.
+    """
     some = training_sample(docs, labels, "toxic", sample).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PART)))
+    some = stored(some, "toxicity-sample")
 
     @F.pandas_udf("array<string>")
     def held(texts: pd.Series) -> pd.Series:
@@ -144,10 +152,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     tokens = some.where("part > 0").select("y", F.explode(held("text")).alias("token"))
     counts = tokens.groupBy("token").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("other"))
-    counts = counts.where(F.col("toxic") + F.col("other") >= LEAST)
-    counts = counts.orderBy((F.col("toxic") + F.col("other")).desc(), "token").limit(TOKENS).toPandas()
-    scores = token_scores(counts)
-    rate = background_rate(scores, counts)
+    counts = stored(counts, "toxicity-counts")
+    pairs = counts.groupBy("toxic", "other").agg(F.count("*").alias("tokens")).orderBy("toxic", "other").toPandas()
+    found = scores_of(pairs)
+    rate = background_rate(found, pairs)
+    sure = [(int(y), int(x), float(s)) for y, x, s in zip(pairs["toxic"], pairs["other"], found) if not math.isnan(s)]
+    clear = docs.sparkSession.createDataFrame(sure, "toxic long, other long, score double")
+    scores = {r["token"]: r["score"] for r in counts.join(clear, ["toxic", "other"]).select("token", "score").collect()}
     first = Model(scores, rate, 1.0, 1.0, 0.0)
 
     @F.pandas_udf("struct<best: double, n: long>")
