@@ -138,24 +138,29 @@ def mix_sources(docs: DataFrame, mix: Mix = PRODUCTION) -> DataFrame:
     """Each row of ``docs`` once per epoch it is taken in, with a struct ``_mix`` (domain, lang, source, n_tokens, epoch).
 
     Null languages and sources are nodes of their own, null texts have no tokens, rows with one doc_id stand or fall
-    together within a leaf, and a leaf without tokens gives nothing. All other columns pass through.
+    together within a leaf, and a leaf without tokens gives nothing. All other columns pass through, whatever their names,
+    but for a column ``_mix``, which is replaced.
     """
-    plan = leaf_plan(docs, mix).select(*[F.col(c).alias(f"_m_{c}") for c in LEVELS], F.col("epochs").alias("_m_epochs"), F.col("cut").alias("_m_cut"))
+    own = "_mix_"
+    while any(c.lower().startswith(own) for c in docs.columns):
+        own += "_"
+    plan = leaf_plan(docs, mix).select(*[F.col(c).alias(f"{own}of_{c}") for c in (*LEVELS, "epochs", "cut")])
     leaf = docs.withColumns(
         {
-            "_n_lang": F.coalesce(F.col("lang").cast("string"), F.lit("(none)")),
-            "_n_source": F.coalesce(F.col("source").cast("string"), F.lit("(none)")),
-            "_n_domain": domain_of(F.col("source")),
+            f"{own}lang": F.coalesce(F.col("lang").cast("string"), F.lit("(none)")),
+            f"{own}source": F.coalesce(F.col("source").cast("string"), F.lit("(none)")),
+            f"{own}domain": domain_of(F.col("source")),
         }
     )
-    held = leaf.join(plan, [F.col(f"_n_{c}") == F.col(f"_m_{c}") for c in LEVELS])
-    key = _key(mix.seed, F.col("_m_epochs"), F.col("doc_id"))
-    last = F.col("_m_epochs") - F.when(F.col("_m_cut").isNotNull() & (key <= F.col("_m_cut")), 0).otherwise(1)
-    taken = held.withColumn("_last", last).where("_last >= 0").withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("_last"))))
+    held = leaf.join(plan, [F.col(f"{own}{c}") == F.col(f"{own}of_{c}") for c in LEVELS])
+    epochs, cut = F.col(f"{own}of_epochs"), F.col(f"{own}of_cut")
+    last = epochs - F.when(cut.isNotNull() & (_key(mix.seed, epochs, F.col("doc_id")) <= cut), 0).otherwise(1)
+    taken = held.withColumn(f"{own}last", last).where(F.col(f"{own}last") >= 0)
+    taken = taken.withColumn(f"{own}epoch", F.explode(F.sequence(F.lit(0), F.col(f"{own}last"))))
     count = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
     return taken.select(
-        *docs.columns,
+        *[docs[f"`{c}`"] for c in docs.columns if c.lower() != "_mix"],
         F.struct(
-            *[F.col(f"_n_{c}").alias(c) for c in LEVELS], count.alias("n_tokens"), F.col("_epoch").cast("int").alias("epoch")
+            *[F.col(f"{own}{c}").alias(c) for c in LEVELS], count.alias("n_tokens"), F.col(f"{own}epoch").cast("int").alias("epoch")
         ).alias("_mix"),
     )

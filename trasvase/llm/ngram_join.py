@@ -363,10 +363,10 @@ def jaccard_links(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """``docs`` without those whose component has a smaller doc_id; all columns as they were.
+    """``docs`` without those whose component has a smaller doc_id; all columns as they were, whatever their names.
 
     Only the ids to drop are joined back, so a document meets at most one row. Documents with no id stay.
     """
     found = jaccard_components(docs)
-    drop = found.where("component_id != doc_id").select(F.col("doc_id").alias("_drop")).distinct()
-    return docs.join(stored(drop, "join-drop"), F.col("doc_id") == F.col("_drop"), "left_anti")
+    drop = stored(found.where("component_id != doc_id").select("doc_id").distinct(), "join-drop")
+    return docs.join(drop, docs["doc_id"] == drop["doc_id"], "left_anti")

@@ -241,7 +241,8 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated passages cut out of ``text``; texts without any stay as they are, other columns always."""
-    chunked, answer = _passes(docs)
+    """``docs`` with repeated passages cut out of ``text``; texts without any stay as they are, other columns always, whatever their names."""
+    chunked, answer = _passes(docs.toDF(*[c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)]))
     shape = T.StructType([f for f in chunked.schema.fields if f.name != "_chunk"])
-    return chunked.groupBy("_chunk").cogroup(answer.groupBy("_chunk")).applyInArrow(ex.handing_back(_cut_out), shape)
+    cut = chunked.groupBy("_chunk").cogroup(answer.groupBy("_chunk")).applyInArrow(ex.handing_back(_cut_out), shape)
+    return cut.toDF(*docs.columns)
