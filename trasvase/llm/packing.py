@@ -20,14 +20,14 @@ from pyspark.sql import DataFrame
 
 from trasvase.llm import exchange as ex
 from trasvase.llm.substring_dedup import _in_order
-from trasvase.llm.tokens import encoder, line_of
+from trasvase.llm.tokens import encoder, held_by_worker, line_of
 
 #: Tokens of a sequence; id that ends a document; longest stretch of a sentence without a place to cut.
 LENGTH, END, STRIDE = 4096, 2, 256
 #: Penalties, in tokens of padding, of a cut at a sentence end and of one inside a sentence.
 SENTENCE, INSIDE = 4, 64
 #: Bytes of text encoded at once: the last stage of a pipeline shares its worker's memory with what came before.
-AT_ONCE = 1 << 20
+AT_ONCE = 2 << 20
 
 _ENDS = re.compile(r"[.!?]+(</w>)?")
 
@@ -37,16 +37,16 @@ def places(lengths: np.ndarray, sentence_end: np.ndarray) -> tuple[np.ndarray, n
 
     ``sentence_end`` tells of each token whether a sentence ends after it.
     """
-    doc_ends = np.cumsum(lengths)
-    soft = np.union1d(doc_ends, np.flatnonzero(sentence_end) + 1)
+    kinds = np.zeros(len(sentence_end) + 1, np.uint8)  # of each place: none, inside a sentence, sentence end, document end
+    kinds[1:] = sentence_end
+    kinds *= 2
+    kinds[np.cumsum(lengths)] = 3
+    soft = np.flatnonzero(kinds)
     gaps = np.diff(soft, prepend=0)
-    long = np.flatnonzero(gaps > STRIDE)
-    hard = [np.arange(soft[k] - gaps[k] + STRIDE, soft[k], STRIDE) for k in long]
-    every = np.union1d(soft, np.concatenate(hard)) if hard else soft
-    penalty = np.full(len(every), INSIDE)
-    penalty[np.searchsorted(every, soft)] = SENTENCE
-    penalty[np.searchsorted(every, doc_ends)] = 0
-    return every, penalty
+    for k in np.flatnonzero(gaps > STRIDE):
+        kinds[soft[k] - gaps[k] + STRIDE : soft[k] : STRIDE] = 1
+    every = np.flatnonzero(kinds)
+    return every, np.array([0, INSIDE, SENTENCE, 0])[kinds[every]]
 
 
 def cuts(at: np.ndarray, penalty: np.ndarray, length: int = LENGTH) -> list[int]:
@@ -54,29 +54,34 @@ def cuts(at: np.ndarray, penalty: np.ndarray, length: int = LENGTH) -> list[int]
 
     No two neighbouring places may be more than ``length`` apart. Ties go to the earlier beginning of a window.
     """
-    at, penalty = [0, *at.tolist()], [0, *penalty.tolist()]
-    cost, back = [0] * len(at), [0] * len(at)
+    at = np.concatenate([[0], at])
+    least = np.searchsorted(at, at - length).tolist()  # first beginning of a window that ends here
+    value, back = [0], [0]  # cost and place together: what a window costs beyond it, but for its end, which all share
     queue: deque[int] = deque([0])  # beginnings by place, each cheaper than all before it
-    for j in range(1, len(at)):
-        while at[j] - at[queue[0]] > length:
+    for j, extra in enumerate((penalty + length).tolist(), 1):
+        first = least[j]
+        while queue[0] < first:
             queue.popleft()
         i = queue[0]
-        cost[j] = cost[i] + length - (at[j] - at[i]) + penalty[j]
-        back[j] = i
-        here = cost[j] + at[j]
-        while queue and cost[queue[-1]] + at[queue[-1]] > here:
+        back.append(i)
+        here = value[i] + extra
+        value.append(here)
+        while queue and value[queue[-1]] > here:
             queue.pop()
         queue.append(j)
     found, j = [], len(at) - 1
     while j:
-        found.append(at[j])
+        found.append(int(at[j]))
         j = back[j]
     return found[::-1]
 
 
-def _sentence_ids(path: str) -> np.ndarray:
-    vocabulary = encoder(path).tokenizer.get_vocab()
-    return np.array(sorted(i for token, i in vocabulary.items() if _ENDS.fullmatch(token)), np.uint16)
+class SentenceEnds:
+    """Which ids end a sentence."""
+
+    def __init__(self, path: str):
+        self.closes = np.zeros(65536, bool)
+        self.closes[[i for token, i in encoder(path).tokenizer.get_vocab().items() if _ENDS.fullmatch(token)]] = True
 
 
 def _pack(path: str, length: int, with_ids: bool):
@@ -85,11 +90,9 @@ def _pack(path: str, length: int, with_ids: bool):
         line, sizes = line_of(table["text"], encoder(path), END, AT_ONCE)
         doc_ids, chunk = table["doc_id"].combine_chunks(), table["_chunk"][0].as_py()
         del table
-        closes = np.zeros(65536, bool)
-        closes[_sentence_ids(path)] = True
-        ends = np.array(cuts(*places(sizes, closes[line]), length))
+        ends = np.array(cuts(*places(sizes, held_by_worker(SentenceEnds, path).closes[line]), length))
         doc_ends = np.cumsum(sizes)
-        stops = np.union1d(doc_ends, ends)
+        stops = np.unique(np.concatenate([doc_ends, ends]))
         starts = np.concatenate([[0], stops[:-1]])
         doc = np.searchsorted(doc_ends, starts, side="right")
         sequence = np.searchsorted(ends, starts, side="right")

@@ -62,8 +62,11 @@ class Remembered:
 
     def distinct(self, pieces: list[str]) -> list[bytes]:
         """Ids of each of distinct pieces."""
-        new = self.meet(pieces)
-        found = list(map(self.known.__getitem__, pieces))
+        found = list(map(self.known.get, pieces))
+        places = [k for k, ids in enumerate(found) if ids is None]
+        new = self.meet([pieces[k] for k in places])
+        for k, piece in zip(places, new):
+            found[k] = self.known[piece]
         self.bound(pieces, new)
         return found
 
@@ -79,7 +82,8 @@ class Remembered:
         """Forget what takes too much, after ``pieces`` were met, of which ``new`` for the first time."""
         self.forget([piece for piece in new if len(piece) > LONGEST])
         if 2 * self.size > REMEMBERED_BYTES:
-            self.again.update(set(pieces).difference(new))
+            self.again.update(pieces)
+            self.again.difference_update(new)
         if self.size > REMEMBERED_BYTES:
             self.known = {piece: self.known[piece] for piece in self.again}
             self.size = self._size(self.again)
