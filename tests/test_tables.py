@@ -175,3 +175,15 @@ def test_profile_view_shows_listed_stores(spark):
     assert shown(kpis.SHOWN_STORES) == [("801", "EMISOR"), ("803", "RECEPTOR")]
     assert shown() == [("7", "EMISOR"), ("801", "EMISOR"), ("803", "RECEPTOR")]
     assert shown(src.code_list(spark, ["7"], "CODIGO_TIENDA")) == [("7", "EMISOR")]
+
+
+def test_sums_by_near_keys_keep_the_number_of_tasks(spark):
+    """Lines are dealt out by key over a given number of tasks, so that packed bytes do not decide what one task sums up."""
+    accounts = spark.createDataFrame([("1", "a", 1, 2), ("1", "a", 2, 3)], "CODEMAGASIN string, CODEINTERNEARTICLE string, CODECPTSTOCKMAG int, QTEENSTOCK int")
+    accounts = accounts.withColumns({name: F.lit(None).cast("timestamp_ntz") for name in ("DATEMODIFICATION", "DATECREATION")})
+    sold = spark.createDataFrame([("1", "a", 2, None), ("1", "a", None, -1)], "CODIGO_TIENDA string, EAN string, VENTA_DIRECTA int, DEVOLUCION int")
+    held, net = st.stock_pivot(accounts), kpis.net_sales_ean(sold)
+    for found in (held, net):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 1
+    assert [tuple(r)[2:5] for r in held.collect()] == [(2, 3, 0)] and [r.TOTAL_VENTAS_BRUTAS for r in net.collect()] == [1]

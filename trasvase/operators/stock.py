@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trasvase.functions.kpis import floored
 from trasvase.schemas import STOCK
+from trasvase.session import dealt
 
 # Stock accounts.
 AVAILABLE, IN_TRANSIT, IN_PREPARATION = 1, 2, 10
@@ -35,9 +36,10 @@ def stock_pivot(
     def account(code: int, name: str):
         return F.sum(F.when(F.col("CODECPTSTOCKMAG") == code, F.col("QTEENSTOCK")).otherwise(0)).alias(name)
 
+    keys = ["CODEMAGASIN", "CODEINTERNEARTICLE"]
     return (
-        stock_account_scope(accounts, stores, articles)
-        .groupBy("CODEMAGASIN", "CODEINTERNEARTICLE")
+        dealt(stock_account_scope(accounts, stores, articles), *keys)
+        .groupBy(*keys)
         .agg(
             account(AVAILABLE, "DISPONIBLE"),
             account(IN_TRANSIT, "TRANSITO"),

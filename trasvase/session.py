@@ -42,3 +42,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out by key over as many tasks as ``spark.sql.shuffle.partitions`` says, before they are summed by these keys.
+
+    Where keys hardly repeat, sums before the exchange hold every row and save none. And tasks of few packed bytes are put
+    together by adaptive execution, however much their sums take in memory, unless their number is given.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
