@@ -285,3 +285,19 @@ def test_published_cover_rounds_half_to_even(spark):
     photos = spark.createDataFrame([], "EAN string, CODEPRODUIT int, CODECOLORIS int, URL_FOTO string")
     (move,) = al.move_table(done, _stock(spark, []), photos, _stores(spark, roles)).collect()
     assert (move.STOCK_DESPUES, move.COBERTURA_DESPUES, move.URL_FOTO, move.TALLAS) == (5, 2, "#", "")
+
+
+def test_routes_keep_only_ways_of_stores_that_meet(spark):
+    """Ways between stores without a product in common leave the table as it is read, and no row holds all ways of a store."""
+    roles = [_role(str(n), "EMISOR", 2, 2) for n in range(3)] + [_role("900", "RECEPTOR", 0), _role("901", "RECEPTOR", 1)]
+    held = network(spark, roles, {(str(a), str(b)): (a + b) % 50 + 1 for a in range(3) for b in range(400, 1000)})
+    kept = held.distance.minutes.select("EMISOR", F.explode(F.map_keys("MINUTOS")).alias("RECEPTOR"))
+    assert kept.count() < 3 * 30 and held.distance.minutes.agg(F.max(F.size("MINUTOS"))).first()[0] < 30
+    found = pairs.meet(pairs.senders(held.roles), pairs.receivers(held.roles), held)
+    assert rows(found, "EMISOR", "RECEPTOR", "DISTANCIA_MINUTOS") == sorted((str(a), str(b), (a + b) % 50 + 1) for a in range(3) for b in (900, 901))
+
+
+def test_a_large_route_table_is_built_in_many_tasks(spark):
+    from trasvase.fixtures import Given
+
+    assert Given(spark, "/root/testdata/sf0.001").distancias.rdd.getNumPartitions() == 8

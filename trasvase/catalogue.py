@@ -397,13 +397,13 @@ def candidate_pairs_routes(g: Given) -> DataFrame:
 
 @query
 def transfer_allocation_routes(g: Given) -> DataFrame:
-    network = _network(g, g.stored_stock, stored(g.distancias, "routes"))
+    network = _network(g, g.stored_stock, g.distancias)
     return al.transfer_allocation(network, al.Limits()).drop("ORDEN_RECEPTOR")
 
 
 @query
 def rejected_pairs_routes(g: Given) -> DataFrame:
-    network = _network(g, g.stored_stock, stored(g.distancias, "routes"))
+    network = _network(g, g.stored_stock, g.distancias)
     return al.rejected_pairs(al.pair_outcomes(al.allocate(network)))
 
 

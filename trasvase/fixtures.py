@@ -226,12 +226,17 @@ class Given:
 
     @cached_property
     def distancias(self) -> DataFrame:
-        """Routes between stores of one cluster; between clusters there is none."""
-        origin = self.centros.select("CLUSTER", F.col("CODIGO_TIENDA").alias("CODIGO_ORIGEN"))
-        destination = self.centros.select("CLUSTER", F.col("CODIGO_TIENDA").alias("CODIGO_DESTINO"))
-        minutes = travel_minutes(F.col("CODIGO_ORIGEN"), F.col("CODIGO_DESTINO"))
-        routes = origin.join(destination, "CLUSTER").withColumn("DISTANCIA_MINUTOS", minutes)
-        return routes.drop("CLUSTER").filter(F.col("DISTANCIA_MINUTOS").isNotNull())
+        """Routes between stores of one cluster; between clusters there is none.
+
+        The table has the square of the stores, so its origins are dealt out first; one file of stores would be one task.
+        """
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        code = F.col("CODIGO_TIENDA")  # read as a number once a store, not once a route
+        origin = self.centros.select("CLUSTER", code.alias("CODIGO_ORIGEN"), code.cast("bigint").alias("_a")).repartition(tasks, "CODIGO_ORIGEN")
+        destination = self.centros.select("CLUSTER", code.alias("CODIGO_DESTINO"), code.cast("bigint").alias("_b"))
+        minutes = travel_minutes(F.col("_a"), F.col("_b"))
+        routes = origin.join(F.broadcast(destination), "CLUSTER").withColumn("DISTANCIA_MINUTOS", minutes)
+        return routes.drop("CLUSTER", "_a", "_b").filter(F.col("DISTANCIA_MINUTOS").isNotNull())
 
     @cached_property
     def articles(self) -> DataFrame:

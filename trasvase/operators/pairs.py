@@ -22,15 +22,15 @@ PAIRS_AT_ONCE = 50_000
 Distance = DataFrame | Callable[[Column, Column], Column]
 
 
+# Parts the receivers of a sender are dealt out in; words of 64 bits in a sender's mask.
+BLOCKS, WORDS = 256, 128
+
+
 @dataclass(frozen=True)
 class Routes:
-    """A table of travel times turned to one row a sender, so that minutes are read inside a pair.
+    """A table of travel times turned to a row for each sender and block of receivers: EMISOR, BLOQUE, and MINUTOS, the
+    minutes by receiver. A row holds a 256th of a sender's ways, about."""
 
-    ``places`` numbers the stores there is a way to (RECEPTOR, LUGAR); ``minutes`` has each sender's minutes by place
-    (EMISOR, MINUTOS), null where there is no way.
-    """
-
-    places: DataFrame
     minutes: DataFrame
 
 
@@ -46,19 +46,37 @@ class Network:
     pairs_at_once: int
 
 
-def routes_of(distance: DataFrame) -> Routes:
-    """The shortest time of each way, by sender. One row, and one sorted place, a store."""
-    ways = distance.groupBy(F.col("CODIGO_ORIGEN").alias("EMISOR"), F.col("CODIGO_DESTINO").alias("RECEPTOR")).agg(
-        F.min("DISTANCIA_MINUTOS").alias("M")
-    )
-    ways = stored(ways.filter(F.col("M").isNotNull()), "ways")
-    place = F.row_number().over(Window.orderBy("RECEPTOR")) - 1
-    places = stored(ways.select("RECEPTOR").distinct().withColumn("LUGAR", place), "places")
-    listed = ways.join(places, "RECEPTOR").groupBy("EMISOR").agg(F.sort_array(F.collect_list(F.struct("LUGAR", "M"))).alias("W"))
-    skipped = lambda way, i: way["LUGAR"] - F.coalesce(F.get("W", i - 1)["LUGAR"], F.lit(-1)) - 1
-    none = F.lit(None).cast("int")
-    by_place = F.flatten(F.transform("W", lambda way, i: F.concat(F.array_repeat(none, skipped(way, i)), F.array(way["M"]))))
-    return Routes(places, stored(listed.select("EMISOR", by_place.alias("MINUTOS")), "minutes"))
+def _slot(receiver: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(receiver), F.lit(slots)).cast("int")
+
+
+def _masks(met: DataFrame) -> DataFrame:
+    """For each sender, bits of the receivers it meets, by their hash: a fixed size, whatever the number of stores."""
+    bit = _slot(F.col("RECEPTOR"), WORDS * 64)
+    words = met.select("EMISOR", bit.alias("_bit")).selectExpr("EMISOR", "_bit div 64 AS W", "shiftleft(1L, _bit % 64) AS B")
+    words = words.groupBy("EMISOR", "W").agg(F.bit_or("B").alias("B"))
+    listed = words.groupBy("EMISOR").agg(F.map_from_entries(F.collect_list(F.struct("W", "B"))).alias("M"))
+    word = lambda w: F.coalesce(F.try_element_at("M", w), F.lit(0).cast("long"))
+    return listed.select("EMISOR", F.transform(F.sequence(F.lit(0).cast("long"), F.lit(WORDS - 1).cast("long")), word).alias("MASCARA"))
+
+
+def routes_of(distance: DataFrame, met: DataFrame | None = None) -> Routes:
+    """The shortest time of each way, by sender. The table is read once and dealt out by sender.
+
+    With ``met`` (EMISOR, RECEPTOR; repeats do no harm) ways between stores that never meet are dropped as they are read: a table
+    has a row for any two stores, those that share a product are far fewer. A way whose bit is set by another receiver stays, without effect.
+    """
+    ways = distance.select(
+        F.col("CODIGO_ORIGEN").alias("EMISOR"), F.col("CODIGO_DESTINO").alias("RECEPTOR"), F.col("DISTANCIA_MINUTOS").alias("M")
+    ).filter(F.col("M").isNotNull() & F.col("RECEPTOR").isNotNull())
+    if met is not None:
+        bit = _slot(F.col("RECEPTOR"), WORDS * 64)
+        # the masks are the small side, and the ways need no sort then
+        ways = ways.join(_masks(met).hint("shuffle_hash"), "EMISOR").withColumn("_bit", bit)
+        ways = ways.filter("getbit(MASCARA[_bit div 64], _bit % 64) = 1").drop("MASCARA", "_bit")
+    shortest = ways.groupBy("EMISOR", "RECEPTOR").agg(F.min("M").alias("M"))
+    minutes = F.map_from_entries(F.collect_list(F.struct("RECEPTOR", "M"))).alias("MINUTOS")
+    return Routes(stored(shortest.groupBy("EMISOR", _slot(F.col("RECEPTOR"), BLOCKS).alias("BLOQUE")).agg(minutes), "minutes"))
 
 
 def available_by_size(stock: DataFrame) -> DataFrame:
@@ -93,8 +111,11 @@ def with_pieces(roles: DataFrame, pairs_at_once: int) -> DataFrame:
 
 
 def network_of(roles: DataFrame, distance: Distance, pairs_at_once: int = PAIRS_AT_ONCE) -> Network:
-    ways = routes_of(distance) if isinstance(distance, DataFrame) else distance
-    return Network(stored(with_pieces(roles, pairs_at_once), "roles"), ways, pairs_at_once)
+    roles = stored(with_pieces(roles, pairs_at_once), "roles")
+    if isinstance(distance, DataFrame):
+        anywhere = Network(roles, lambda origin, destination: F.lit(0), pairs_at_once)
+        distance = routes_of(distance, meet(senders(roles), receivers(roles), anywhere).select("EMISOR", "RECEPTOR"))
+    return Network(roles, distance, pairs_at_once)
 
 
 def build_network(
@@ -139,16 +160,16 @@ def meet(
         needing = needing.withColumn("TROZO", F.pmod(F.xxhash64("RECEPTOR"), "TROZOS").cast("int"))
         keys.append("TROZO")
     giving, needing = giving.drop("TROZOS"), needing.drop("TROZOS")
-    if isinstance(network.distance, Routes):
-        giving = giving.join(network.distance.minutes, "EMISOR")
-        needing = needing.join(network.distance.places, "RECEPTOR")
-        minutes = F.get("MINUTOS", F.col("LUGAR"))
-    else:
-        minutes = network.distance(F.col("EMISOR"), F.col("RECEPTOR"))
     met = giving.join(needing, keys)
     if keep is not None:
         met = met.filter(keep)
-    met = met.withColumn("DISTANCIA_MINUTOS", minutes).drop("MINUTOS", "LUGAR")
+    if isinstance(network.distance, Routes):
+        # minutes come to the pairs, by sender and block; with the senders every row would carry all of a store's ways
+        met = met.withColumn("BLOQUE", _slot(F.col("RECEPTOR"), BLOCKS)).join(network.distance.minutes, ["EMISOR", "BLOQUE"])
+        minutes = F.try_element_at("MINUTOS", F.col("RECEPTOR"))
+    else:
+        minutes = network.distance(F.col("EMISOR"), F.col("RECEPTOR"))
+    met = met.withColumn("DISTANCIA_MINUTOS", minutes).drop("MINUTOS", "BLOQUE")
     return met.filter(F.col("DISTANCIA_MINUTOS").isNotNull())
 
 
