@@ -107,10 +107,14 @@ def write_delimited(df: DataFrame, path: str) -> None:
 
 
 def write_run(moves: DataFrame, root: str, run_date: datetime.date) -> None:
-    """A run's move sheet under its own date, one folder per sender; sheets of earlier dates stay."""
+    """A run's move sheet under its own date, one folder per sender; sheets of earlier dates stay.
+
+    Folders take time, not bytes, so the number of tasks is given: adaptive execution would put these few bytes into a few tasks.
+    """
+    tasks = int(moves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         moves.withColumn("CENTRO", F.col("EMISOR"))
-        .repartitionByRange("CENTRO", "RECEPTOR", "CODIGO_PRODUCTO", "CODIGO_COLOR")
+        .repartitionByRange(tasks, "CENTRO", "RECEPTOR", "CODIGO_PRODUCTO", "CODIGO_COLOR")
         .write.mode("overwrite")
         .option("sep", ";")
         .option("header", "true")
