@@ -89,6 +89,23 @@ def test_groups_in_several_rounds_have_the_same_result(spark, at_once):
     assert found == sorted((*key, value) for key, value in outcomes.items())
 
 
+def test_senders_and_receivers_meet_once_for_all_rounds(spark, monkeypatch):
+    """A round reads its own offers, not all senders and receivers again; rounds without work are not run."""
+    roles, minutes = make_roles(3, [20, 9, 4], 24), make_minutes(3, 24)
+    expected, _ = walk(roles, minutes, 6, 9)
+    held = network(spark, roles + [r for r in roles if r["role"] == "EMISOR"], minutes, 2)  # senders listed twice give once
+    limits, met, folds = al.Limits(max_cover=6, max_units=9), [], []
+    queue = stored(al.receiver_queue(held, limits), "queue")
+    meet, fold = al.meet, al._fold
+    monkeypatch.setattr(al, "meet", lambda *args, **named: met.append(1) or meet(*args, **named))
+    monkeypatch.setattr(al, "_fold", lambda offers: folds.append(1) or fold(offers))
+    moves = al.walk_rounds(held, queue)
+    used = queue.filter("TRABAJO > 0").select("RONDA").distinct().count()
+    assert al.rounds_of(queue) > used > 1
+    assert (len(met), len(folds)) == (1, used)
+    assert len(expected) > 3 and rows(moves, *MOVE) == sorted(expected)
+
+
 def test_log_is_the_same_in_any_number_of_rounds(spark):
     roles, minutes = make_roles(8, [14, 5], 16), make_minutes(8, 16)
     logs = []

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from trasvase.functions.kpis import RECEIVER, SENDER
 from trasvase.operators.lookups import photo_lookup
@@ -28,7 +29,7 @@ from trasvase.operators.pairs import (
     senders,
     with_names,
 )
-from trasvase.session import scratch_path, stored
+from trasvase.session import dealt, scratch_path, stored
 
 # Reasons as users see them.
 OVER_COVER = "Supera cobertura maxima"
@@ -36,6 +37,9 @@ OVER_UNITS = "Supera cantitat de producte"
 FEW_SIZES = "Coberturas de tallas insuficiente"
 NO_SALES = "Sin venta en las ultimas 4 semanas"
 
+# Files the offers of one round are written to, at most.
+FILES_A_ROUND = 32
+
 # Outcomes of a pair that are not refusals.
 ACCEPTED, EMPTY, NOT_SEEN = "ACEPTADO", "VACIO", "NO_EVALUADO"
 
@@ -157,37 +161,66 @@ def receiver_queue(network: Network, limits: Limits) -> DataFrame:
     )
 
 
+def _round_numbers(queue: DataFrame) -> list[int]:
+    """Rounds in which some product and colour has a pair to walk."""
+    return sorted(row[0] for row in queue.filter(F.col("TRABAJO") > 0).select("RONDA").distinct().collect())
+
+
 def rounds_of(queue: DataFrame) -> int:
     """Rounds the longest product and colour needs."""
     return (queue.filter(F.col("TRABAJO") > 0).agg(F.max("RONDA")).first()[0] or 0) + 1
 
 
+def _offered() -> WindowSpec:
+    """What senders holding the same amount offer a receiver, in its order."""
+    return Window.partitionBy(*PRODUCT, "RECEPTOR", "APORTE").orderBy(*pair_order())
+
+
+def _that_matter(offers: DataFrame) -> DataFrame:
+    last = F.floor((F.col("PREVIO") + F.col("HUECO")) / F.col("APORTE"))
+    return offers.withColumn("N", F.row_number().over(_offered())).filter(F.col("N") <= last)
+
+
+def _write_offers(offers: DataFrame, path: str) -> None:
+    """Offers of all rounds, a folder a round.
+
+    At most PREVIO / A senders of an amount A are gone before a receiver, so those that matter to it then are among its first
+    (2 PREVIO + HUECO) / A of all. Senders are counted once, however often they are listed.
+    """
+    last = F.floor((2 * F.col("PREVIO") + F.col("HUECO")) / F.col("APORTE"))
+    near = offers.withColumn("N", F.dense_rank().over(_offered())).filter(F.col("N") <= last).drop("N")
+    # a round in a bounded number of files, each with whole products
+    part = F.pmod(F.xxhash64(*PRODUCT), F.lit(FILES_A_ROUND))
+    dealt(near.withColumn("_part", part), "RONDA", "_part").drop("_part").write.partitionBy("RONDA").parquet(path)
+
+
 def walk_rounds(network: Network, queue: DataFrame) -> DataFrame:
     """Moves of all receivers of ``queue``, which must be stored, round by round against the senders not used before.
 
     A round walks about ``pairs_at_once`` pairs of a product and colour. The receivers before a receiver can take at most
     PREVIO units and it can take HUECO, so among senders holding the same amount A only its first (PREVIO + HUECO) / A can
-    matter; the rest are left out of the fold without effect. Products and colours that are done, and senders that gave,
-    leave the table of senders between rounds.
+    matter; the rest are left out of the fold without effect. With several rounds, senders and receivers meet once and
+    a round reads only its own offers, and the moves before it.
     """
     spark = queue.sparkSession
     root = scratch_path(spark, "rounds")  # one folder a round, read back as one table
-    amount = Window.partitionBy(*PRODUCT, "RECEPTOR", "APORTE").orderBy(*pair_order())
-    left = senders(network.roles).filter(F.col("APORTE") > 0)
-    rounds = rounds_of(queue)
-    for number in range(rounds):
-        served = queue.filter((F.col("RONDA") == number) & (F.col("TRABAJO") > 0))
-        offers = (
-            meet(left, served, network, _could_accept(), spread=False)
-            .withColumn("N", F.row_number().over(amount))
-            .filter(F.col("N") <= F.floor((F.col("PREVIO") + F.col("HUECO")) / F.col("APORTE")))
-        )
-        moves = _fold(offers)
-        moves.write.parquet(f"{root}/{number:06d}")
-        if number + 1 < rounds:
-            gone = spark.read.schema(moves.schema).parquet(f"{root}/{number:06d}").select(*PRODUCT, "EMISOR")
-            later = queue.filter((F.col("RONDA") > number) & (F.col("TRABAJO") > 0)).select(*PRODUCT)
-            left = stored(left.join(later, PRODUCT, "left_semi").join(gone, [*PRODUCT, "EMISOR"], "left_anti"), "left")
+    numbers = _round_numbers(queue)
+    served = queue.filter(F.col("TRABAJO") > 0)
+    offers = meet(senders(network.roles).filter(F.col("APORTE") > 0), served, network, _could_accept(), spread=False)
+    if len(numbers) < 2:
+        moves = _fold(_that_matter(offers))
+        moves.write.parquet(f"{root}/{0:06d}")
+    else:
+        apart = scratch_path(spark, "offers")
+        _write_offers(offers, apart)
+        schema = offers.drop("RONDA").schema
+        for number in numbers:
+            mine = spark.read.schema(schema).parquet(f"{apart}/RONDA={number}")
+            if number != numbers[0]:
+                gone = spark.read.schema(moves.schema).option("recursiveFileLookup", "true").parquet(root)
+                mine = mine.join(gone.select(*PRODUCT, "EMISOR"), [*PRODUCT, "EMISOR"], "left_anti")
+            moves = _fold(_that_matter(mine))
+            moves.write.parquet(f"{root}/{number:06d}")
     return spark.read.schema(moves.schema).option("recursiveFileLookup", "true").parquet(root)
 
 
