@@ -318,3 +318,27 @@ def test_a_large_route_table_is_built_in_many_tasks(spark):
     from trasvase.fixtures import Given
 
     assert Given(spark, "/root/testdata/sf0.001").distancias.rdd.getNumPartitions() == 8
+
+
+def test_pairs_of_one_piece_are_ranked_and_named_without_an_exchange(spark):
+    """Senders and receivers are dealt out, their pairs are not; a store listed twice brings its pairs with each of its names."""
+    roles, minutes = make_roles(6, [12, 9, 3], 15), make_minutes(6, 15)
+    codes = sorted({r["store"] for r in roles})
+    stores = spark.createDataFrame([(c, f"N{c}") for c in codes] + [(codes[0], "again")], "CODIGO_TIENDA string, NOMBRE_TIENDA string")
+    names = {c: [f"N{c}"] + (["again"] if c == codes[0] else []) for c in codes}
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        held = network(spark, roles, {})
+        held = pairs.Network(held.roles, pairs.routes_of(spark.createDataFrame([(a, b, m) for (a, b), m in minutes.items()], "CODIGO_ORIGEN string, CODIGO_DESTINO string, DISTANCIA_MINUTOS int")), held.pairs_at_once)
+        flat = pairs.Network(held.roles, lambda a, b: F.when(a != b, F.lit(7)), held.pairs_at_once)
+        found = pairs.candidate_pairs(held, stores).collect()
+        plan = pairs.receiver_rank(pairs.pair_rank(flat))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    expected = {
+        (key, e["store"], r["store"], a, b) for key, group in ranked_pairs(roles, minutes).items() for e, r, _ in group for a in names[e["store"]] for b in names[r["store"]]
+    }
+    assert sorted(expected) == sorted(((x.CODEPRODUIT, x.CODECOLORIS), x.EMISOR, x.RECEPTOR, x.NOMBRE_EMISOR, x.NOMBRE_RECEPTOR) for x in found)
+    exchanges = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert exchanges and not any("RECEPTOR" in x or "EMISOR" in x for x in exchanges)

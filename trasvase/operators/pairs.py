@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from trasvase.functions.kpis import RECEIVER, SENDER
-from trasvase.session import stored
+from trasvase.session import dealt, stored
 
 PRODUCT = ["CODEPRODUIT", "CODECOLORIS"]
 
@@ -128,9 +128,9 @@ def build_network(
     return network_of(network_roles(kpis, stock, to_process), distance, pairs_at_once)
 
 
-def senders(roles: DataFrame) -> DataFrame:
+def senders(roles: DataFrame, *carried: str) -> DataFrame:
     return roles.filter(F.col("PERFIL") == SENDER).select(
-        *PRODUCT, "TROZOS",
+        *PRODUCT, "TROZOS", *carried,
         F.col("CODEMAGASIN").alias("EMISOR"), F.col("STOCK_TOTAL").alias("STOCK_EMISOR"), "APORTE",
     )
 
@@ -217,14 +217,25 @@ def pair_rank(
     network: Network,
     giving: Callable[[DataFrame], DataFrame] = lambda s: s,
     needing: Callable[[DataFrame], DataFrame] = lambda r: r,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
     """Pairs with their rank in the product and colour: speed, weeks, sender stock, minutes, then store codes.
 
-    ``giving`` and ``needing`` may add columns to the senders and receivers before they meet.
+    ``giving`` and ``needing`` may add columns to the senders, which bring the ``carried`` columns of their roles, and to the receivers before
+    they meet. A product and colour of one piece is numbered where its pairs are made: its senders and receivers are dealt out,
+    its pairs are not. Those of several pieces are numbered in two levels.
     """
-    pairs = stored(meet(giving(senders(network.roles)), needing(receivers(network.roles)), network).drop("TROZO"), "pairs")
     first = {"VELOCIDAD_REAL_RECEPTOR": True, "COBERTURA_INICIAL": False, "STOCK_EMISOR": True, "DISTANCIA_MINUTOS": False}
-    return numbered(pairs, first, {"RECEPTOR": False}, {"EMISOR": False}, "PAIR_RANK")
+    second, last = {"RECEPTOR": False}, {"EMISOR": False}
+    one, several = network.roles.filter("TROZOS = 1"), network.roles.filter("TROZOS > 1")
+
+    met = meet(giving(dealt(senders(one, *carried), *PRODUCT)), needing(receivers(one)), network, spread=False)
+    whole = Window.partitionBy(*PRODUCT).orderBy(*_sorted({**first, **second, **last}))
+    ranked = met.withColumn("PAIR_RANK", F.row_number().over(whole))
+    if several.isEmpty():
+        return ranked
+    pairs = stored(meet(giving(senders(several, *carried)), needing(receivers(several)), network).drop("TROZO"), "pairs")
+    return ranked.unionByName(numbered(pairs, first, second, last, "PAIR_RANK"))
 
 
 def receiver_rank(ranked: DataFrame) -> DataFrame:
@@ -248,9 +259,20 @@ def with_names(pairs: DataFrame, roles: DataFrame, stores: DataFrame) -> DataFra
 
 def candidate_pairs(network: Network, stores: DataFrame) -> DataFrame:
     """Ranked pairs with store and product names, which senders and receivers bring along."""
+    names = stored(stores.select("CODIGO_TIENDA", "NOMBRE_TIENDA"), "store-names")
+    # a sender comes once for each name of its product, found where senders are dealt out to
+    own = F.collect_list(F.struct("NOMPRODUIT", "LIBCOLORIS")).over(Window.partitionBy(*PRODUCT, "EMISOR"))
     ranked = pair_rank(
         network,
-        lambda s: s.join(_product_names(network.roles), [*PRODUCT, "EMISOR"]).join(_store_names(stores, "EMISOR"), "EMISOR"),
-        lambda r: r.join(_store_names(stores, "RECEPTOR"), "RECEPTOR"),
+        lambda s: (
+            s.withColumn("N", own)
+            .drop("NOMPRODUIT", "LIBCOLORIS")
+            .select("*", F.explode("N").alias("_n"))
+            .select("*", "_n.*")
+            .drop("N", "_n")
+            .join(_store_names(names, "EMISOR"), "EMISOR")
+        ),
+        lambda r: r.join(_store_names(names, "RECEPTOR"), "RECEPTOR"),
+        ("NOMPRODUIT", "LIBCOLORIS"),
     )
     return receiver_rank(ranked)
