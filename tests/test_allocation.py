@@ -342,3 +342,27 @@ def test_pairs_of_one_piece_are_ranked_and_named_without_an_exchange(spark):
     assert sorted(expected) == sorted(((x.CODEPRODUIT, x.CODECOLORIS), x.EMISOR, x.RECEPTOR, x.NOMBRE_EMISOR, x.NOMBRE_RECEPTOR) for x in found)
     exchanges = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
     assert exchanges and not any("RECEPTOR" in x or "EMISOR" in x for x in exchanges)
+
+
+def _three_stores(spark):
+    """Store 1 gives to 8 and 2 does not; nobody needs the product that 3 holds."""
+    roles = [_role("1", "EMISOR", 2, 2), _role("2", "EMISOR", 0, 0), _role("8", "RECEPTOR", 3, sold=8), {**_role("3", "EMISOR", 5, 5), "product": 77}]
+    held = network(spark, roles, {("1", "8"): 5, ("2", "8"): 9})
+    product, colour = roles[0]["product"], roles[0]["colour"]
+    stock = _stock(spark, [("1", product, colour, "a", "S", 2), ("2", product, colour, "a", "S", 0), ("8", product, colour, "b", "M", 3), ("3", 77, colour, "c", "S", 5)])
+    return held, stock
+
+
+def test_only_stock_of_stores_that_gave_is_summed(spark, monkeypatch):
+    """Sizes of the receivers are read once for both shares, and senders of products nobody needs meet nobody."""
+    held, stock = _three_stores(spark)
+    summed, own, met = [], [], []
+    available, sizes, meet = al.available_by_size, al.receiver_sizes, al.meet
+    monkeypatch.setattr(al, "available_by_size", lambda rows: summed.append(rows) or available(rows))
+    monkeypatch.setattr(al, "receiver_sizes", lambda *args: own.append(1) or sizes(*args))
+    monkeypatch.setattr(al, "meet", lambda giving, *args, **named: met.append(giving) or meet(giving, *args, **named))
+    done = al.allocate(held)
+    al.size_coverage_flag(done, stock)
+    assert rows(done.moves, "EMISOR", "RECEPTOR") == [("1", "8")]
+    assert [rows(found, "CODEMAGASIN") for found in summed] == [[("1",)]] and len(own) == 1
+    assert all(("3",) not in rows(giving, "EMISOR") for giving in met) and len(met) >= 3

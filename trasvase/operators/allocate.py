@@ -27,6 +27,7 @@ from trasvase.operators.pairs import (
     pair_order,
     receivers,
     senders,
+    wanted,
     with_names,
 )
 from trasvase.session import dealt, scratch_path, stored
@@ -143,7 +144,7 @@ def receiver_queue(network: Network, limits: Limits) -> DataFrame:
     who = receivers(network.roles).withColumn("TECHO", _ceiling(limits))
     own = ["STOCK_RECEPTOR", "VELOCIDAD_REAL_RECEPTOR", "VELOCIDAD_OPERATIVA_RECEPTOR", "COBERTURA_INICIAL", "TECHO"]
     # pairs are dealt out by receiver, so they are summed where they are
-    met = meet(senders(network.roles), who.withColumn("PIEZAS", F.col("TROZOS")), network)
+    met = meet(senders(wanted(network.roles)), who.withColumn("PIEZAS", F.col("TROZOS")), network)
     served = met.groupBy(*PRODUCT, "TROZO", "RECEPTOR").agg(
         *[F.any_value(name).alias(name) for name in [*own, "PIEZAS"]],
         best_pair().alias("MEJOR"), F.count("*").alias("PARES"), F.count_if(_could_accept()).alias("TRABAJO"),
@@ -206,7 +207,7 @@ def walk_rounds(network: Network, queue: DataFrame) -> DataFrame:
     root = scratch_path(spark, "rounds")  # one folder a round, read back as one table
     numbers = _round_numbers(queue)
     served = queue.filter(F.col("TRABAJO") > 0)
-    offers = meet(senders(network.roles).filter(F.col("APORTE") > 0), served, network, _could_accept(), spread=False)
+    offers = meet(senders(wanted(network.roles)).filter(F.col("APORTE") > 0), served, network, _could_accept(), spread=False)
     if len(numbers) < 2:
         moves = _fold(_that_matter(offers))
         moves.write.parquet(f"{root}/{0:06d}")
@@ -240,7 +241,7 @@ def pair_outcomes(allocation: Allocation, only: DataFrame | None = None) -> Data
     ``only`` (product, colour, RECEPTOR) leaves all other receivers out before they meet their senders.
     """
     limits, queue = allocation.limits, allocation.queue
-    giving = senders(allocation.network.roles)
+    giving = senders(wanted(allocation.network.roles))
     if only is not None:
         queue = queue.join(only, [*PRODUCT, "RECEPTOR"], "left_semi")
         giving = giving.join(only, PRODUCT, "left_semi")
@@ -298,21 +299,28 @@ def _share_of_sizes(sizes: DataFrame, name: str) -> DataFrame:
     return sizes.groupBy(*PRODUCT, "RECEPTOR").agg(share.alias(name))
 
 
-def size_coverage(network: Network, stock: DataFrame) -> DataFrame:
-    """Share of its sizes each receiver has in stock; 0 for a receiver without stock rows."""
+def size_coverage(network: Network, stock: DataFrame, own: DataFrame | None = None) -> DataFrame:
+    """Share of its sizes each receiver has in stock; 0 for a receiver without stock rows. ``own`` are the ``receiver_sizes``, if at hand."""
     who = network.roles.filter(F.col("PERFIL") == RECEIVER).select(*PRODUCT, F.col("CODEMAGASIN").alias("RECEPTOR"))
-    shares = _share_of_sizes(receiver_sizes(network, stock), "COBERTURA_TALLAS")
+    shares = _share_of_sizes(receiver_sizes(network, stock) if own is None else own, "COBERTURA_TALLAS")
     return who.join(shares, [*PRODUCT, "RECEPTOR"], "left").withColumn(
         "COBERTURA_TALLAS", F.coalesce("COBERTURA_TALLAS", F.lit(0.0))
     )
 
 
-def receiver_final_sizes(allocation: Allocation, stock: DataFrame) -> DataFrame:
-    """Stock per article and size, after the moves, of each receiver that got any."""
+def _held_by(moves: DataFrame, stock: DataFrame) -> DataFrame:
+    """Stock of the stores that give a product, by ``moves``."""
+    keys = [*PRODUCT, "CODEMAGASIN"]
+    return stock.join(moves.select(*PRODUCT, F.col("EMISOR").alias("CODEMAGASIN")), keys, "left_semi")
+
+
+def receiver_final_sizes(allocation: Allocation, stock: DataFrame, own: DataFrame | None = None) -> DataFrame:
+    """Stock per article and size, after the moves, of each receiver that got any. ``own`` are the ``receiver_sizes``, if at hand."""
     got = allocation.moves.select(*PRODUCT, "RECEPTOR").distinct()
-    own = receiver_sizes(allocation.network, stock).join(got, [*PRODUCT, "RECEPTOR"], "left_semi")
+    opening = receiver_sizes(allocation.network, stock) if own is None else own
+    own = opening.join(got, [*PRODUCT, "RECEPTOR"], "left_semi")
     sent = (
-        available_by_size(stock)
+        available_by_size(_held_by(allocation.moves, stock))
         .join(allocation.moves.select(*PRODUCT, "EMISOR", "RECEPTOR"), [*PRODUCT, "EMISOR"])
         .select(*PRODUCT, "RECEPTOR", "CODEBARRES", "TAILLE", F.col("STOCK_DISPONIBLE").alias("STOCK_TOTAL"))
     )
@@ -328,8 +336,9 @@ def size_coverage_flag(allocation: Allocation, stock: DataFrame, outcomes: DataF
 
     Without ``outcomes`` only the receivers found thin meet their senders again.
     """
-    final = _share_of_sizes(receiver_final_sizes(allocation, stock), "COBERTURA_FINAL")
-    opening = size_coverage(allocation.network, stock).withColumnRenamed("COBERTURA_TALLAS", "COBERTURA_INICIAL")
+    own = stored(receiver_sizes(allocation.network, stock), "receiver-sizes")
+    final = _share_of_sizes(receiver_final_sizes(allocation, stock, own), "COBERTURA_FINAL")
+    opening = size_coverage(allocation.network, stock, own).withColumnRenamed("COBERTURA_TALLAS", "COBERTURA_INICIAL")
     low = (F.col("COBERTURA_FINAL") < allocation.limits.size_share) & (
         F.col("COBERTURA_FINAL") <= F.col("COBERTURA_INICIAL")
     )
@@ -430,10 +439,8 @@ def sender_sizes(stock: DataFrame) -> DataFrame:
 def move_table(allocation: Allocation, stock: DataFrame, photos: DataFrame, stores: DataFrame) -> DataFrame:
     """Moves as they are published: store and product names, sizes, rounded cover, photo address."""
     moving = allocation.moves
-    held = stock.join(
-        moving.select(*PRODUCT, F.col("EMISOR").alias("CODEMAGASIN")), [*PRODUCT, "CODEMAGASIN"], "left_semi"
-    )
-    named = with_names(moving, allocation.network.roles, stores).join(
+    held = _held_by(moving, stock)
+    named = with_names(moving, wanted(allocation.network.roles), stores).join(
         sender_sizes(held), [*PRODUCT, "EMISOR"], "left"
     )
     return photo_lookup(named, photos).select(

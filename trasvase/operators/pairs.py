@@ -38,7 +38,7 @@ class Routes:
 class Network:
     """Senders and receivers of each product and colour, stored, with the travel times between them.
 
-    TROZOS in ``roles`` is over how many tasks the pairs of the product and colour are spread.
+    TROZOS in ``roles`` is over how many tasks the pairs of the product and colour are spread, RECEPTORES how many receivers it has.
     """
 
     roles: DataFrame
@@ -102,19 +102,20 @@ def network_roles(kpis: DataFrame, stock: DataFrame, to_process: DataFrame | Non
 
 
 def with_pieces(roles: DataFrame, pairs_at_once: int) -> DataFrame:
-    """Adds TROZOS, the pieces a product and colour is dealt out in so that each has about ``pairs_at_once`` pairs."""
+    """Adds RECEPTORES, the receivers of a product and colour, and TROZOS, the pieces it is dealt out in so that each has about
+    ``pairs_at_once`` pairs."""
     group = Window.partitionBy(*PRODUCT)
     sending = F.count_if(F.col("PERFIL") == SENDER).over(group)
     needing = F.count_if(F.col("PERFIL") == RECEIVER).over(group)
     pieces = F.least(F.ceil(sending * needing / F.lit(max(pairs_at_once, 1))), needing)
-    return roles.withColumn("TROZOS", F.greatest(pieces, F.lit(1)).cast("int"))
+    return roles.withColumns({"TROZOS": F.greatest(pieces, F.lit(1)).cast("int"), "RECEPTORES": needing})
 
 
 def network_of(roles: DataFrame, distance: Distance, pairs_at_once: int = PAIRS_AT_ONCE) -> Network:
     roles = stored(with_pieces(roles, pairs_at_once), "roles")
     if isinstance(distance, DataFrame):
         anywhere = Network(roles, lambda origin, destination: F.lit(0), pairs_at_once)
-        distance = routes_of(distance, meet(senders(roles), receivers(roles), anywhere).select("EMISOR", "RECEPTOR"))
+        distance = routes_of(distance, meet(senders(wanted(roles)), receivers(roles), anywhere).select("EMISOR", "RECEPTOR"))
     return Network(roles, distance, pairs_at_once)
 
 
@@ -135,6 +136,11 @@ def senders(roles: DataFrame, *carried: str) -> DataFrame:
     )
 
 
+def wanted(roles: DataFrame) -> DataFrame:
+    """Roles in products and colours somebody needs; senders of all others meet nobody, so they are not read."""
+    return roles.filter(F.col("RECEPTORES") > 0)
+
+
 def receivers(roles: DataFrame) -> DataFrame:
     return roles.filter(F.col("PERFIL") == RECEIVER).select(
         *PRODUCT, "TROZOS",
@@ -227,7 +233,8 @@ def pair_rank(
     """
     first = {"VELOCIDAD_REAL_RECEPTOR": True, "COBERTURA_INICIAL": False, "STOCK_EMISOR": True, "DISTANCIA_MINUTOS": False}
     second, last = {"RECEPTOR": False}, {"EMISOR": False}
-    one, several = network.roles.filter("TROZOS = 1"), network.roles.filter("TROZOS > 1")
+    roles = wanted(network.roles)
+    one, several = roles.filter("TROZOS = 1"), roles.filter("TROZOS > 1")
 
     met = meet(giving(dealt(senders(one, *carried), *PRODUCT)), needing(receivers(one)), network, spread=False)
     whole = Window.partitionBy(*PRODUCT).orderBy(*_sorted({**first, **second, **last}))
