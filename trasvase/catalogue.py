@@ -633,8 +633,9 @@ def moves_history(g: Given) -> DataFrame:
     root = scratch_path(g.spark, "history")
     network = _network(g, g.stored_stock)
     # the second date is run twice: the rerun replaces its own date only
-    for day, limits in ((RUN_DATES[0], al.Limits()), (RUN_DATES[1], al.Limits()), (RUN_DATES[1], TIGHT)):
-        moves = al.move_table(al.allocate(network, limits), g.stored_stock, g.fotos_productos, g.centros)
+    runs = ((RUN_DATES[0], al.Limits()), (RUN_DATES[1], al.Limits()), (RUN_DATES[1], TIGHT))
+    done = [al.allocate(network, limits) for _, limits in runs]
+    for (day, _), moves in zip(runs, al.move_tables(done, g.stored_stock, g.fotos_productos, g.centros), strict=True):
         sink.archive_moves(sink.published_moves(moves), root, day)
     return sink.move_store(g.spark, root)
 

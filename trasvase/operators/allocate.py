@@ -9,7 +9,8 @@ round. Refusals, log and size coverage are derived from the moves with joins and
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import functools
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -453,3 +454,13 @@ def move_table(allocation: Allocation, stock: DataFrame, photos: DataFrame, stor
         F.bround("COBERTURA_DESPUES").cast("int").alias("COBERTURA_DESPUES"),
         "URL_FOTO",
     )
+
+
+def move_tables(allocations: list[Allocation], stock: DataFrame, photos: DataFrame, stores: DataFrame) -> list[DataFrame]:
+    """The move table of each of several allocations of one network. Stock and roles of the stores that give in any are picked out once."""
+    network = allocations[0].network
+    given = functools.reduce(DataFrame.unionByName, [done.moves.select(*PRODUCT, "EMISOR") for done in allocations])
+    held = stored(_held_by(given, stock), "held")
+    giving = stored(_held_by(given, wanted(network.roles).filter(F.col("PERFIL") == SENDER)), "giving")
+    apart = replace(network, roles=giving)
+    return [move_table(replace(done, network=apart), held, photos, stores) for done in allocations]
