@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from trasvase.operators import allocate as al
 from trasvase.operators import digests
 from trasvase.plans import weekly
-from trasvase.schemas import MOVIMIENTOS
+from trasvase.schemas import HOJA_MOVIMIENTOS, MOVIMIENTOS
 from trasvase.sinks import publishing
 from trasvase.sinks import tables as sink
 from trasvase.sources.tables import code_list, read_delimited, read_move_sheet
@@ -138,6 +138,26 @@ def test_publish_and_history(done, spark, tmp_path):
         spark.catalog.dropTempView(name)
 
 
+def test_sheet_of_many_senders_is_written_and_read_some_folders_at_a_time(spark, tmp_path, monkeypatch):
+    def row(sender, receiver):
+        return (sender, f"S{sender}; \"x\"", receiver, None, "P", "C", "M, S", 1, 2, 3, 4, 5, 6, 7, None, "#")
+
+    rows = [row(sender, receiver) for sender in ("1", "2", "3", "4/5", "a, b", "7", "{8}") for receiver in ("8", "9")]
+    moves, path = spark.createDataFrame(rows, HOJA_MOVIMIENTOS), f"{tmp_path}/run_date=2025-01-29"
+    jobs, write = [], sink._write_folders
+    monkeypatch.setattr(sink, "_write_folders", lambda mine, *how: (jobs.append((mine.select("EMISOR").distinct().count(), *how[1:])), write(mine, *how)))
+    sink.write_run(moves, str(tmp_path), ASOF)
+    assert jobs == [(7, "overwrite", True)] and sorted(read_move_sheet(spark, path).collect(), key=str) == sorted(moves.collect(), key=str)
+    jobs.clear()
+    sink.write_run(moves.filter("EMISOR <> '3'"), str(tmp_path), ASOF, folders_at_once=2)  # a rerun replaces the whole sheet
+    assert sum(n for n, _, _ in jobs) == 6 and [how for _, *how in jobs] == [["overwrite", False], ["append", False], ["append", True]]
+    assert len(list(Path(path).glob("CENTRO=*"))) == 6 and Path(path, "_SUCCESS").exists()
+    left = moves.filter("EMISOR <> '3'")
+    for sheet in (read_move_sheet(spark, path), read_move_sheet(spark, path, folders_at_once=2)):
+        assert sheet.schema == HOJA_MOVIMIENTOS and sorted(sheet.collect(), key=str) == sorted(left.collect(), key=str)
+    assert not [file for file in sheet.inputFiles() if "CENTRO=" in file]  # none of the folders stays on the driver
+
+
 def test_limits_from_a_form():
     assert al.Limits.of_form("9", "60", "12") == al.Limits(max_cover=9, size_share=0.6, max_units=12)
 

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from trasvase.schemas import MOVIMIENTOS, MOVIMIENTOS_HISTORICO, TABLES, conform
-from trasvase.sources.tables import read_delimited
+from trasvase.session import scratch_path, stored
+from trasvase.sources.tables import FOLDERS_AT_ONCE, read_delimited
 
 #: Tables written side by side in an export.
 EXPORTS_AT_ONCE = 8
@@ -106,23 +107,42 @@ def write_delimited(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("sep", ";").option("header", "true").csv(path)
 
 
-def write_run(moves: DataFrame, root: str, run_date: datetime.date) -> None:
-    """A run's move sheet under its own date, one folder per sender; sheets of earlier dates stay.
-
-    Folders take time, not bytes, so the number of tasks is given: adaptive execution would put these few bytes into a few tasks.
-    """
+def _write_folders(moves: DataFrame, path: str, mode: str, last: bool) -> None:
+    """One folder per sender. Folders take time, not bytes, so the number of tasks is given: adaptive execution would put these few bytes into a few tasks."""
     tasks = int(moves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         moves.withColumn("CENTRO", F.col("EMISOR"))
         .repartitionByRange(tasks, "CENTRO", "RECEPTOR", "CODIGO_PRODUCTO", "CODIGO_COLOR")
-        .write.mode("overwrite")
+        .write.mode(mode)
         .option("sep", ";")
         .option("header", "true")
+        .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(last).lower())
         .partitionBy("CENTRO")
-        .csv(f"{root}/run_date={run_date.isoformat()}")
+        .csv(path)
     )
 
 
+def write_run(moves: DataFrame, root: str, run_date: datetime.date, folders_at_once: int = FOLDERS_AT_ONCE) -> None:
+    """A run's move sheet under its own date, one folder per sender; sheets of earlier dates stay.
+
+    The driver holds the folders of a job until it is committed. So senders are dealt out over as many jobs as give each about
+    ``folders_at_once``; the last one marks the sheet as whole (``_SUCCESS``).
+    """
+    path = f"{root}/run_date={run_date.isoformat()}"
+    moves = stored(moves, "sheet-moves")  # counted, sampled and written
+    batches = -(-moves.select("EMISOR").distinct().count() // folders_at_once)
+    if batches < 2:
+        return _write_folders(moves, path, "overwrite", True)
+    tasks = int(moves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    apart = scratch_path(moves.sparkSession, "sheet-batches")
+    dealt_out = moves.withColumn("TANDA", F.pmod(F.xxhash64("EMISOR"), F.lit(batches)).cast("int"))
+    dealt_out.repartitionByRange(tasks, "TANDA", "EMISOR", "RECEPTOR").write.partitionBy("TANDA").parquet(apart)
+    dealt_out = moves.sparkSession.read.schema(dealt_out.schema).parquet(apart)
+    for batch in range(batches):
+        mine = dealt_out.filter(F.col("TANDA") == batch).drop("TANDA")
+        _write_folders(mine, path, "append" if batch else "overwrite", batch == batches - 1)
+
+
 def write_named_lines(lines: DataFrame, folder: str, name: str, order: list[str], text: str) -> None:
     """One text file for each value of ``name``, called so, with its lines (``text``) in order.
 

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from trasvase.schemas import FOTOS_PRODUCTOS, HOJA_MOVIMIENTOS, conform
+from trasvase.session import scratch_path
+
+# Folders of one sender each that a job writes or a table is read from, about; the driver holds them all.
+FOLDERS_AT_ONCE = 10_000
 
 # Headings of a photo sheet.
 PHOTO_HEADINGS = {"EAN": "EAN", "Code Produit": "CODEPRODUIT", "Code Coloris": "CODECOLORIS",
@@ -55,12 +59,46 @@ def read_ranking(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return stack_by_name(sheets)
 
 
-def read_move_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """A move sheet, as written or after moves were deleted from it by hand. A value of another type is an error."""
-    sheet = read_delimited(spark, path)
+def _sender_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders of senders below ``path``, as the file system lists them, a page at a time where it has pages."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = []
+    if files.exists(root):
+        entries = files.listStatusIterator(root)
+        while entries.hasNext():
+            name = entries.next().getPath().getName()
+            if name.startswith("CENTRO="):
+                names.append(name)
+    return names
+
+
+def _typed_sheet(sheet: DataFrame) -> DataFrame:
     return sheet.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in HOJA_MOVIMIENTOS.fields])
 
 
+def read_move_sheet(spark: SparkSession, path: str, folders_at_once: int = FOLDERS_AT_ONCE) -> DataFrame:
+    """A move sheet, as written or after moves were deleted from it by hand. A value of another type is an error.
+
+    A table keeps every file it is read from on the driver. So a sheet of more than ``folders_at_once`` folders of senders is read that many at
+    a time into a table of few files; the driver holds the names of the folders only.
+    """
+    folders = _sender_folders(spark, path)
+    if len(folders) <= folders_at_once:
+        return _typed_sheet(read_delimited(spark, path))
+    heads = StructType([StructField(name, StringType()) for name in read_delimited(spark, f"{path}/{folders[0]}").columns])
+    whole = scratch_path(spark, "sheet-read")
+    # in a session of its own, folders are not looked into by a task each (up to 10,000), and what was found in them is not kept
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", spark.conf.get("spark.sql.shuffle.partitions"))
+    apart.conf.set("spark.sql.hive.filesourcePartitionFileCacheSize", "0")
+    for at in range(0, len(folders), folders_at_once):
+        mine = [f"{path}/{name}" for name in folders[at : at + folders_at_once]]
+        sheet = apart.read.schema(heads).option("sep", ";").option("header", "true").csv(mine)
+        sheet.write.mode("append").parquet(whole)
+    return _typed_sheet(spark.read.schema(heads).parquet(whole))
+
+
 def read_photos(spark: SparkSession, path: str) -> DataFrame:
     """Photo sheet as ``;`` CSV: four columns by their headings, whatever their order or case."""
     sheet = read_delimited(spark, path)
