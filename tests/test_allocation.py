@@ -366,3 +366,12 @@ def test_only_stock_of_stores_that_gave_is_summed(spark, monkeypatch):
     assert rows(done.moves, "EMISOR", "RECEPTOR") == [("1", "8")]
     assert [rows(found, "CODEMAGASIN") for found in summed] == [[("1",)]] and len(own) == 1
     assert all(("3",) not in rows(giving, "EMISOR") for giving in met) and len(met) >= 3
+
+
+def test_hardly_a_way_between_stores_that_never_meet_is_kept(spark):
+    stores = spark.range(20_000).selectExpr("cast(id as string) AS CODIGO_DESTINO")
+    table = stores.selectExpr("'S' AS CODIGO_ORIGEN", "CODIGO_DESTINO", "1 AS DISTANCIA_MINUTOS")
+    met = stores.filter("CODIGO_DESTINO % 100 = 7").selectExpr("'S' AS EMISOR", "CODIGO_DESTINO AS RECEPTOR")
+    kept = pairs.routes_of(table, met).minutes.select("EMISOR", F.explode("MINUTOS").alias("RECEPTOR", "M"))
+    assert kept.join(met, ["EMISOR", "RECEPTOR"]).count() == 200
+    assert kept.count() < 200 + 100  # one bit a receiver kept some 480 more

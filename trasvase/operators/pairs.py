@@ -50,30 +50,37 @@ def _slot(receiver: Column, slots: int) -> Column:
     return F.pmod(F.xxhash64(receiver), F.lit(slots)).cast("int")
 
 
+def _mark(receiver: Column) -> tuple[Column, Column]:
+    """Where a receiver stands in a mask, by its hash: a word, and three bits of it (by chance fewer)."""
+    code = F.xxhash64(receiver)
+    word = (code.bitwiseAND(F.lit(WORDS - 1).cast("long"))).cast("int")
+    bit = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(code, at).bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    return word, bit(7).bitwiseOR(bit(13)).bitwiseOR(bit(19))
+
+
 def _masks(met: DataFrame) -> DataFrame:
     """For each sender, bits of the receivers it meets, by their hash: a fixed size, whatever the number of stores."""
-    bit = _slot(F.col("RECEPTOR"), WORDS * 64)
-    words = met.select("EMISOR", bit.alias("_bit")).selectExpr("EMISOR", "_bit div 64 AS W", "shiftleft(1L, _bit % 64) AS B")
-    words = words.groupBy("EMISOR", "W").agg(F.bit_or("B").alias("B"))
+    word, bits = _mark(F.col("RECEPTOR"))
+    words = met.select("EMISOR", word.alias("W"), bits.alias("B")).groupBy("EMISOR", "W").agg(F.bit_or("B").alias("B"))
     listed = words.groupBy("EMISOR").agg(F.map_from_entries(F.collect_list(F.struct("W", "B"))).alias("M"))
-    word = lambda w: F.coalesce(F.try_element_at("M", w), F.lit(0).cast("long"))
-    return listed.select("EMISOR", F.transform(F.sequence(F.lit(0).cast("long"), F.lit(WORDS - 1).cast("long")), word).alias("MASCARA"))
+    held = lambda w: F.coalesce(F.try_element_at("M", w), F.lit(0).cast("long"))
+    return listed.select("EMISOR", F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), held).alias("MASCARA"))
 
 
 def routes_of(distance: DataFrame, met: DataFrame | None = None) -> Routes:
     """The shortest time of each way, by sender. The table is read once and dealt out by sender.
 
     With ``met`` (EMISOR, RECEPTOR; repeats do no harm) ways between stores that never meet are dropped as they are read: a table
-    has a row for any two stores, those that share a product are far fewer. A way whose bit is set by another receiver stays, without effect.
+    has a row for any two stores, those that share a product are far fewer. A way whose bits are set by other receivers stays, without effect.
     """
     ways = distance.select(
         F.col("CODIGO_ORIGEN").alias("EMISOR"), F.col("CODIGO_DESTINO").alias("RECEPTOR"), F.col("DISTANCIA_MINUTOS").alias("M")
     ).filter(F.col("M").isNotNull() & F.col("RECEPTOR").isNotNull())
     if met is not None:
-        bit = _slot(F.col("RECEPTOR"), WORDS * 64)
-        # the masks are the small side, and the ways need no sort then
-        ways = ways.join(_masks(met).hint("shuffle_hash"), "EMISOR").withColumn("_bit", bit)
-        ways = ways.filter("getbit(MASCARA[_bit div 64], _bit % 64) = 1").drop("MASCARA", "_bit")
+        word, bits = _mark(F.col("RECEPTOR"))
+        # the masks are the small side, and the ways need no sort then; in the condition of the join, hashes would be taken again and again
+        ways = ways.withColumns({"_word": word, "_bits": bits}).join(_masks(met).hint("shuffle_hash"), "EMISOR")
+        ways = ways.filter("MASCARA[_word] & _bits = _bits").drop("MASCARA", "_word", "_bits")
     shortest = ways.groupBy("EMISOR", "RECEPTOR").agg(F.min("M").alias("M"))
     minutes = F.map_from_entries(F.collect_list(F.struct("RECEPTOR", "M"))).alias("MINUTOS")
     return Routes(stored(shortest.groupBy("EMISOR", _slot(F.col("RECEPTOR"), BLOCKS).alias("BLOQUE")).agg(minutes), "minutes"))
